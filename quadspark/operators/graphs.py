@@ -36,7 +36,7 @@ def graph_union(*graphs: DataFrame | None, spark: SparkSession | None = None) ->
 def into_graph(triples: DataFrame, g: str | Column | None) -> DataFrame:
     """Put triples into a graph; null or blank is the default graph."""
     name = F.lit(g).cast("string") if g is None or isinstance(g, str) else g
-    return as_quads(triples).withColumn("g", F.nullif(F.trim(name), F.lit("")))
+    return as_quads(triples.withColumn("g", F.nullif(F.trim(name), F.lit(""))))
 
 
 def natural_graph(quads: DataFrame, resource: str = "s") -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadspark.functions.terms import BNODE, IRI, LITERAL, QUAD_COLUMNS, XSD_STRING, null
-from quadspark.sinks.rdf import path_exists, publish_if_changed, read_quad_table, save, write_quad_table
+from quadspark.sinks.rdf import publish_if_changed, read_quad_table, save, write_quad_table
 from quadspark.sources.rdf import scan_rdf_lines
+from quadspark.sources.storage import path_exists
 
 STATE_SCHEMA = "source string, graphs array<string>, length bigint, modified timestamp, loaded_at timestamp"
 

@@ -1,8 +1,8 @@
 """Map tables to triples with declarative triples maps.
 
 A mapping is a Python value.  Each source is scanned once: its object maps
-become one array of structs that ``inline`` turns into rows, so that neither the
-scan nor the subject template is repeated per predicate.
+become one array that is exploded into rows, so that neither the scan nor the
+subject template is repeated per predicate.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +21,9 @@ from quadspark.functions.terms import (
     IRI,
     LANG_STRING,
     LITERAL,
-    QUAD_COLUMNS,
     QUAD_SCHEMA,
     RDF_TYPE,
     XSD_STRING,
-    known,
     null,
 )
 from quadspark.functions.terms import Literal as LiteralValue
@@ -213,10 +212,7 @@ def apply_mappings(
     results = [r for r in results if r is not None]
     if not results:
         return next(iter(sources.values())).sparkSession.createDataFrame([], QUAD_SCHEMA)
-    merged = results[0]
-    for r in results[1:]:
-        merged = merged.unionByName(r)
-    return merged
+    return reduce(lambda x, y: x.unionByName(y), results)
 
 
 @dataclass(frozen=True)
@@ -235,50 +231,90 @@ class MappedGraph:
 
 
 def _map_source(df, maps, sources, only):
-    plain: list[Column] = []
-    base = df
     subjects: list[Column] = []
+    rows: list[_Row] = []
     joined: list[DataFrame] = []
-    for number, m in enumerate(maps):
-        subject = f"__s{number}"
-        structs: list[Column] = []
-        if not _available(base, m.subject, m):
+    for m in maps:
+        if not _available(df, m.subject, m) or (m.graph is not None and not _available(df, m.graph, m)):
             continue
-        graph = F.lit(None).cast("string")
-        if m.graph is not None:
-            if not _available(base, m.graph, m):
-                continue
-            graph = F.nullif(F.trim(m.graph.value(base)), F.lit(""))
+        graph = None if m.graph is None else F.nullif(F.trim(m.graph.value(df)), F.lit(""))
+        start, number = len(rows), len(subjects)
         if only is None or RDF_TYPE in only:
-            for cls in m.classes:
-                structs.append(_struct(subject, m, RDF_TYPE, F.lit(cls), IRI, None, None, graph))
+            rows += [_Row(number, RDF_TYPE, F.lit(cls), IRI, None, None, graph) for cls in m.classes]
         for om in m.objects:
             if only is not None and om.predicate not in only:
                 continue
             if isinstance(om.object, ParentRef):
-                joined.append(_parent_quads(base, m, om, sources, graph))
-                continue
-            if not _available(base, om.object, m):
-                continue
-            structs.append(_struct(
-                subject, m, om.predicate, om.object.value(base), om.object.term_type,
-                om.datatype, _language(base, om), graph,
-            ))
-        if structs:
-            subjects.append(m.subject.value(base).alias(subject))
-            plain.extend(structs)
-    results = []
-    if plain:
-        # The subject is computed in the projection below the generator, once per row.
-        rows = base.select("*", *subjects).select(F.inline(F.array(*plain)))
-        results.append(rows.filter(F.col("s").isNotNull() & F.col("o").isNotNull()))
-    results.extend(joined)
-    if not results:
-        return None
-    merged = results[0]
-    for r in results[1:]:
-        merged = merged.unionByName(r)
-    return merged.select(*QUAD_COLUMNS)
+                joined.append(_parent_quads(df, m, om, sources, graph))
+            elif _available(df, om.object, m):
+                kind = om.object.term_type
+                language = _language(df, om) if kind == LITERAL else None
+                rows.append(_Row(number, om.predicate, om.object.value(df), kind, om.datatype, language, graph))
+        if len(rows) > start:
+            subjects.append(m.subject)
+    results = joined
+    if rows:
+        results = [_exploded(df, subjects, rows), *joined]
+    return reduce(lambda x, y: x.unionByName(y), results) if results else None
+
+
+@dataclass(frozen=True, eq=False)
+class _Row:
+    """One triple that every source row gives."""
+
+    subject: int
+    predicate: str
+    value: Column
+    kind: str
+    datatype: str | None
+    language: Column | None
+    graph: Column | None
+
+
+def _exploded(df: DataFrame, subjects: Sequence[TermMap], rows: Sequence[_Row]) -> DataFrame:
+    """One array of object values per source row; ``posexplode`` makes the triples.
+
+    The subject and whatever else varies by row is computed below the generator,
+    once per source row; the constants of a triple are looked up by position.
+    """
+    below = [subject.value(df).alias(f"__s{i}") for i, subject in enumerate(subjects)]
+    for i, r in enumerate(rows):
+        below += [c.alias(f"__{name}{i}") for name, c in (("lang", r.language), ("g", r.graph)) if c is not None]
+    values = F.array(*(r.value for r in rows)).alias("__values")
+    keep = [c for c in df.select(*below).columns]
+    triples = df.select(*below, values).select(*keep, F.posexplode("__values").alias("__i", "o"))
+
+    def computed(name: str, used: Sequence[bool]) -> Column:
+        picked = null()
+        for i, present in enumerate(used):
+            if present:
+                picked = F.when(F.col("__i") == i, F.col(f"__{name}{i}")).otherwise(picked)
+        return picked
+
+    subject = F.col("__s0")
+    for n in range(1, len(subjects)):
+        first = next(i for i, r in enumerate(rows) if r.subject == n)
+        subject = F.when(F.col("__i") >= first, F.col(f"__s{n}")).otherwise(subject)
+    lang = computed("lang", [r.language is not None for r in rows])
+    dt = _lookup([(r.datatype or XSD_STRING) if r.kind == LITERAL else None for r in rows])
+    if any(r.language is not None for r in rows):
+        dt = F.when(lang.isNotNull(), LANG_STRING).otherwise(dt)
+    return triples.filter(F.col("o").isNotNull()).select(
+        subject.alias("s"), _lookup([_subject_kind(subjects[r.subject]) for r in rows]).alias("s_kind"),
+        _lookup([r.predicate for r in rows]).alias("p"), "o", _lookup([r.kind for r in rows]).alias("o_kind"),
+        dt.alias("o_dt"), lang.alias("o_lang"), computed("g", [r.graph is not None for r in rows]).alias("g"),
+    ).filter(F.col("s").isNotNull())
+
+
+def _lookup(values: Sequence[str | None]) -> Column:
+    """Constant by position; one value for all needs no lookup."""
+    if len(set(values)) == 1:
+        return F.lit(values[0]).cast("string")
+    return F.get(F.array(*(F.lit(v).cast("string") for v in values)), F.col("__i"))
+
+
+def _subject_kind(subject: TermMap) -> str:
+    return IRI if subject.term_type == LITERAL else subject.term_type
 
 
 def _available(df: DataFrame, term_map: TermMap, m: TriplesMap) -> bool:
@@ -296,26 +332,6 @@ def _language(df: DataFrame, om: ObjectMap) -> Column | None:
     return F.lower(om.language.value(df) if isinstance(om.language, TermMap) else F.lit(om.language))
 
 
-def _struct(subject, m, predicate, value, kind, datatype, language, graph) -> Column:
-    if kind == LITERAL:
-        # A row without a tag is a plain string.
-        dt = F.lit(datatype or XSD_STRING)
-        if language is not None:
-            dt = F.coalesce(known(language, LANG_STRING), F.lit(XSD_STRING))
-    else:
-        dt, language = null(), None
-    return F.struct(
-        F.col(subject).alias("s"),
-        F.lit(m.subject.term_type if m.subject.term_type != LITERAL else IRI).alias("s_kind"),
-        F.lit(predicate).alias("p"),
-        value.alias("o"),
-        F.lit(kind).alias("o_kind"),
-        dt.alias("o_dt"),
-        (null() if language is None else language).alias("o_lang"),
-        graph.alias("g"),
-    )
-
-
 def _parent_quads(df, m, om, sources, graph):
     """Child rows joined to parent rows on the condition; the object is the parent's subject."""
     ref = om.object
@@ -323,14 +339,15 @@ def _parent_quads(df, m, om, sources, graph):
     if parent_df is None:
         raise ValueError(f"no source {ref.parent.source} for the parent map")
     child = df.select(
-        m.subject.value(df).alias("s"), F.col(ref.child_key).alias("__child"), graph.alias("g"),
+        m.subject.value(df).alias("s"), F.col(ref.child_key).alias("__child"),
+        (null() if graph is None else graph).alias("g"),
     ).filter(F.col("s").isNotNull())
     parent = parent_df.select(
         ref.parent.subject.value(parent_df).alias("o"), F.col(ref.parent_key).alias("__parent"),
     ).filter(F.col("o").isNotNull())
     kind = ref.parent.subject.term_type
     return child.join(parent, F.col("__child") == F.col("__parent")).select(
-        "s", F.lit(m.subject.term_type).alias("s_kind"), F.lit(om.predicate).alias("p"),
+        "s", F.lit(_subject_kind(m.subject)).alias("s_kind"), F.lit(om.predicate).alias("p"),
         "o", F.lit(kind).alias("o_kind"), null().alias("o_dt"), null().alias("o_lang"), "g",
     )
 

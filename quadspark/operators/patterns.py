@@ -487,7 +487,11 @@ def lateral(sol: DataFrame, branches: Sequence[dict[str, Term]], guard: str | No
 
 
 def lateral_join(sol: DataFrame, subquery: DataFrame, condition: Column | None = None, how: str = "inner") -> DataFrame:
-    """General correlated sub-pattern: ``subquery`` refers to ``sol`` by ``Column.outer()``."""
+    """General correlated sub-pattern.
+
+    ``subquery`` refers to ``sol`` by ``Column.outer()``; aggregate in it with
+    ``select``, since ``agg`` is resolved before the outer side is known.
+    """
     return sol.lateralJoin(subquery, condition, how)
 
 

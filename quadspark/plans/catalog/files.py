@@ -12,7 +12,7 @@ from quadspark.operators.graphs import into_graph
 from quadspark.operators.mapping import TriplesMap, apply_mapping, pom, reference
 from quadspark.operators.patterns import match
 from quadspark.plans.catalog.statistics import document_graph
-from quadspark.plans.registry import query, table
+from quadspark.plans.registry import query, spread_table, table
 from quadspark.plans.testgraph import EX, graph, node
 from quadspark.session import scratch_path
 from quadspark.sinks.rdf import (
@@ -76,7 +76,7 @@ FROM documents
 def k1_s1_round_trip(spark, sf):
     """Whole texts with line breaks, quotes and non-ASCII letters as N-Quads."""
     m = TriplesMap("documents", node("doc", "doc_id"), [pom(EX + "text", "text", language=reference("lang"))])
-    quads = into_graph(apply_mapping(table(spark, sf, "documents"), m), EX + "all")
+    quads = into_graph(apply_mapping(spread_table(spark, sf, "documents", "doc_id"), m), EX + "all")
     path = scratch_path(spark, "quads")
     write_rdf(quads, path, output_format="nq")
     return read_rdf_lines(spark, path).select("s", F.md5("o").alias("o_md5"), "o_lang", "g")
@@ -101,7 +101,7 @@ SELECT 'http://example.org/page/' || page_id AS s, md5(html) AS html_md5 FROM pa
 def k1_page_sources(spark, sf):
     m = TriplesMap("pages", node("page", "page_id"), [pom(EX + "html", "html")])
     path = scratch_path(spark, "pages")
-    write_rdf(apply_mapping(table(spark, sf, "pages"), m), path, output_format="ttl")
+    write_rdf(apply_mapping(spread_table(spark, sf, "pages", "page_id"), m), path, output_format="ttl")
     return read_rdf_lines(spark, path).select("s", F.md5("o").alias("html_md5"))
 
 
@@ -225,7 +225,7 @@ def k2_s9_trig_blocks(spark, sf):
     orders = graph(spark, sf, "orders").quads([EX + "status", EX + "customer"])
     customer = orders.filter(F.col("p") == EX + "customer").select(F.col("s").alias("x"), F.col("o").alias("cust"))
     status = orders.filter(F.col("p") == EX + "status").join(customer, F.col("s") == F.col("x"))
-    docs = apply_mapping(table(spark, sf, "documents"), TriplesMap(
+    docs = apply_mapping(spread_table(spark, sf, "documents", "doc_id"), TriplesMap(
         "documents", node("doc", "doc_id"), [pom(EX + "text", "text")]))
     path = scratch_path(spark, "blocks")
     write_trig_blocks(into_graph(status, F.col("cust")).unionByName(docs), path, block_triples=200)

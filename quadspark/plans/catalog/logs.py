@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quadspark.operators import benchplan, querylog
 from quadspark.operators.graphs import natural_graph
-from quadspark.plans.registry import query, table
+from quadspark.plans.registry import query, spread_table, table
 from quadspark.plans.testgraph import EX
 from quadspark.session import scratch_path
 from quadspark.sources.querylog import parse_query_log, query_id, read_query_log
@@ -20,7 +20,7 @@ _TEXT = ("'SELECT ?x WHERE { ?x <http://example.org/type> \"' || event_type || '
 
 def _queries(spark, sf):
     """Query texts with the spacing that the query id has to ignore."""
-    events = table(spark, sf, "events")
+    events = spread_table(spark, sf, "events", "event_id")
     number = F.regexp_extract("props", r"\d+", 0)
     tidy = F.concat(
         F.lit('SELECT ?x WHERE { ?x <http://example.org/type> "'), F.col("event_type"),

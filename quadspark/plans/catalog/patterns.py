@@ -117,7 +117,7 @@ def q7_lateral_join(spark, sf):
     """A correlated aggregate per nation; Spark turns it into a join."""
     nations = match(graph(spark, sf, "nation"), "?n", RDF_TYPE, EX + "Nation")
     members = match(graph(spark, sf, "customer"), "?c", EX + "nation", "?m")
-    nested = members.filter(F.col("m") == F.col("n").outer()).agg(F.count(F.lit(1)).alias("customers"))
+    nested = members.filter(F.col("m") == F.col("n").outer()).select(F.count(F.lit(1)).alias("customers"))
     return lateral_join(nations, nested).select("n", "customers")
 
 

@@ -6,11 +6,11 @@ build triples.
 
 from pyspark.sql import functions as F
 
-from quadspark.functions.terms import RDF_TYPE
+from quadspark.functions.terms import BNODE, RDF_TYPE, XSD_INTEGER
 from quadspark.operators import void
-from quadspark.operators.mapping import MappedGraph, TriplesMap, expression, pom
+from quadspark.operators.mapping import MappedGraph, TriplesMap, expression, pom, reference, template
 from quadspark.plans.metadata import dcat_records
-from quadspark.plans.registry import query, table
+from quadspark.plans.registry import query, spread_table, table
 from quadspark.plans.testgraph import EX, graph, maps, node
 
 # Values of each property, as the oracles need them: property, class, key, value, datatype.
@@ -174,14 +174,11 @@ def v8_node_kind_profile(spark, sf):
 
 def document_graph(spark, sf):
     """Documents with tagged text, a size, a language IRI and a blank source node."""
-    from quadspark.functions.terms import BNODE, XSD_INTEGER
-    from quadspark.operators.mapping import reference, template
-
     docs = TriplesMap("documents", node("doc", "doc_id"), [
         pom(EX + "text", "text", language=reference("lang")), pom(EX + "chars", "n_chars", XSD_INTEGER),
         pom(EX + "lang", node("lang", "lang")), pom(EX + "source", template("source-{source}", BNODE))])
     sources = TriplesMap("documents", template("source-{source}", BNODE), [pom(EX + "label", "source")])
-    return MappedGraph({"documents": table(spark, sf, "documents")}, [docs, sources])
+    return MappedGraph({"documents": spread_table(spark, sf, "documents", "doc_id")}, [docs, sources])
 
 
 @query("v9_void_to_rdf", f"""{_VALUES},

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quadspark.functions.xml import field_text, xml_parse, xml_path, xml_unnest
 from quadspark.plans.metadata import xml_contacts
-from quadspark.plans.registry import query, table
+from quadspark.plans.registry import query, spread_table, table
 
 _NS = "urn:example:project"
 
@@ -12,7 +12,7 @@ _NS = "urn:example:project"
 def documents(spark, sf):
     """A project per customer: a licence, the customer as developer (with a URL
     only if the balance is positive), and the nation as a developer with a name only."""
-    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = spread_table(spark, sf, "customer", "c_custkey").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     url = F.when(F.col("c_acctbal") > 0, F.concat(F.lit("<url>http://example.org/u/"), "c_custkey", F.lit("</url>")))
     xml = F.concat(
         F.lit(f'<project xmlns="{_NS}"><name>p</name><licenses><license><url>http://example.org/licence/'),

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quadspark.sources.storage import spread_small
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -23,5 +25,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table whose rows are about to be multiplied or parsed."""
+    return spread_small(table(spark, sf_dir, name), f"{sf_dir}/{name}.parquet", *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

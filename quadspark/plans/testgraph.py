@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quadspark.functions.terms import IRI, XSD_DECIMAL, XSD_INTEGER
+from quadspark.functions.terms import XSD_DECIMAL, XSD_INTEGER
 from quadspark.operators.mapping import MappedGraph, TriplesMap, expression, pom, template
-from quadspark.plans.registry import table
+from quadspark.plans.registry import spread_table
 
 EX = "http://example.org/"
 MONEY = "decimal(18,2)"
@@ -55,7 +55,5 @@ def graph(spark: SparkSession, sf_dir: str, *tables: str) -> MappedGraph:
     """The graph over some tables, all but ``lineitem`` by default."""
     names = tables or GRAPH_TABLES
     known = maps()
-    return MappedGraph({n: table(spark, sf_dir, n) for n in names}, [known[n] for n in names])
-
-
-__all__ = ["EX", "GRAPH_TABLES", "IRI", "MONEY", "graph", "maps", "node"]
+    sources = {n: spread_table(spark, sf_dir, n, *known[n].subject.references()) for n in names}
+    return MappedGraph(sources, [known[n] for n in names])

@@ -20,7 +20,8 @@ DEFAULTS = {
 def build_session(cpus: int | str = "*", app: str = "quadspark", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster use the given one."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
-    for key, value in {**DEFAULTS, "spark.ui.enabled": "false", **conf}.items():
+    local = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    for key, value in {**DEFAULTS, **local, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quadspark.functions.terms import IRI, LANG_STRING, LITERAL, QUAD_COLUMNS, XSD_STRING, as_quads
 from quadspark.operators.patterns import predicate_key
+from quadspark.sources.storage import path_exists
 
 _MODES = {"ERROR": "errorifexists", "OVERWRITE": "overwrite", "SKIP": "ignore"}
 _CODECS = {"gz": "gzip", "gzip": "gzip", "bz2": "bzip2", "zst": "zstd", "deflate": "deflate"}
@@ -162,10 +163,3 @@ def publish_if_changed(spark: SparkSession, df: DataFrame, path: str, changed: b
         return False
     save(df, path, "OVERWRITE", fmt)
     return True
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a committed dataset is at the path (any Hadoop file system)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-

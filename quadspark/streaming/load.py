@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quadspark.functions.terms import QUAD_COLUMNS
-from quadspark.sinks.rdf import path_exists, read_quad_table, write_quad_table
+from quadspark.sinks.rdf import read_quad_table, write_quad_table
 from quadspark.sources.rdf import parse_rdf_lines
+from quadspark.sources.storage import path_exists
 
 
 def load_stream(
