@@ -145,9 +145,14 @@ def columns_of(sol: DataFrame, name: str) -> list[str]:
     return [c for c in (name, *(name + suffix for suffix in SUFFIXES)) if c in present]
 
 
-def object_key(prefix: str = "o") -> Column:
-    """An object as one never-null value, for distinct counts over whole terms."""
-    return F.struct(*(F.col(prefix + suffix) for suffix in ("", *SUFFIXES)))
+def term_key(name: str, present: Iterable[str] = SUFFIXES) -> Column:
+    """A whole term as one string, for distinct counts.
+
+    The value comes last and the other parts hold no separator, so different
+    terms have different keys.  A string groups much faster than a struct.
+    """
+    parts = [F.coalesce(F.col(name + suffix), F.lit("")) for suffix in SUFFIXES if suffix in present]
+    return F.concat_ws("\u0001", *parts, F.col(name))
 
 
 def maybe_unbound(sol: DataFrame, name: str) -> bool:

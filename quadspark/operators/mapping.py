@@ -277,12 +277,18 @@ def _exploded(df: DataFrame, subjects: Sequence[TermMap], rows: Sequence[_Row])
     The subject and whatever else varies by row is computed below the generator,
     once per source row; the constants of a triple are looked up by position.
     """
+    if len(subjects) == 1:
+        # A null slot gives no subject: tested on the source columns, so that the scan can skip.
+        for name in subjects[0].references():
+            df = df.filter(F.col(name).isNotNull())
     below = [subject.value(df).alias(f"__s{i}") for i, subject in enumerate(subjects)]
     for i, r in enumerate(rows):
         below += [c.alias(f"__{name}{i}") for name, c in (("lang", r.language), ("g", r.graph)) if c is not None]
-    values = F.array(*(r.value for r in rows)).alias("__values")
-    keep = [c for c in df.select(*below).columns]
-    triples = df.select(*below, values).select(*keep, F.posexplode("__values").alias("__i", "o"))
+    wide = df.select("*", *below)
+    keep = wide.columns[len(df.columns):]
+    # The array is written inside the generator: over a column, Spark would infer
+    # filters on it and evaluate the values twice.
+    triples = wide.select(*keep, F.posexplode(F.array(*(r.value for r in rows))).alias("__i", "o"))
 
     def computed(name: str, used: Sequence[bool]) -> Column:
         picked = null()
@@ -299,11 +305,14 @@ def _exploded(df: DataFrame, subjects: Sequence[TermMap], rows: Sequence[_Row])
     dt = _lookup([(r.datatype or XSD_STRING) if r.kind == LITERAL else None for r in rows])
     if any(r.language is not None for r in rows):
         dt = F.when(lang.isNotNull(), LANG_STRING).otherwise(dt)
-    return triples.filter(F.col("o").isNotNull()).select(
+    checked = triples.filter(F.col("o").isNotNull())
+    if len(subjects) > 1 or not subjects[0].references():
+        checked = checked.filter(subject.isNotNull())
+    return checked.select(
         subject.alias("s"), _lookup([_subject_kind(subjects[r.subject]) for r in rows]).alias("s_kind"),
         _lookup([r.predicate for r in rows]).alias("p"), "o", _lookup([r.kind for r in rows]).alias("o_kind"),
         dt.alias("o_dt"), lang.alias("o_lang"), computed("g", [r.graph is not None for r in rows]).alias("g"),
-    ).filter(F.col("s").isNotNull())
+    )
 
 
 def _lookup(values: Sequence[str | None]) -> Column:

@@ -36,6 +36,7 @@ from quadspark.functions.terms import (
     maybe_unbound,
     null,
     term,
+    term_key,
     variables,
 )
 
@@ -582,8 +583,8 @@ def group(
 def count_of(sol: DataFrame, name: str, distinct: bool = False) -> Column:
     if not distinct:
         return F.count(F.col(name))
-    whole = F.struct(*columns_of(sol, name))
-    return F.count_distinct(F.when(F.col(name).isNotNull(), whole))
+    present = {c[len(name):] for c in columns_of(sol, name)}
+    return F.count_distinct(F.when(F.col(name).isNotNull(), term_key(name, present)))
 
 
 def sum_of(value: Column, distinct: bool = False) -> Column:

@@ -89,7 +89,6 @@ def rdfize_log(log: DataFrame, base_iri: str) -> DataFrame:
     Host and time are written only if the log has these columns; enricher
     columns (``uses_*``, ``form``) become properties of the query.
     """
-    log = log.filter(F.col("query").isNotNull())
     columns = set(log.columns)
     query = F.concat(F.lit(base_iri + "query-"), F.col("query_hash"))
     identity = [F.col(c).cast("string") for c in ("source", "seq", "raw") if c in columns]
@@ -123,7 +122,8 @@ def rdfize_log(log: DataFrame, base_iri: str) -> DataFrame:
         add("__entry", LOG + "time", F.date_format(
             F.convert_timezone(None, F.lit("UTC"), F.to_timestamp_ntz(F.col("ts"))), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
             LITERAL, XSD_DATETIME)
-    quads = base.select("__query", F.inline(F.array(*structs))).filter(F.col("o").isNotNull())
+    rows = F.when(F.col("query").isNotNull(), F.array(*structs))
+    quads = base.select("__query", F.inline(rows)).filter(F.col("o").isNotNull())
     return quads.select(
         "s", F.lit(IRI).alias("s_kind"), "p", "o", "o_kind", "o_dt", null().alias("o_lang"),
         F.col("__query").alias("g")).select(*QUAD_COLUMNS)

@@ -1,6 +1,6 @@
 """Dataset statistics.
 
-The input is a graph, that is a set of triples; apply ``graphs.as_set`` first to
+The input is a quad DataFrame or a ``MappedGraph``.  It is a set of triples; apply ``graphs.as_set`` first to
 rows that may repeat.  Distinct counts compare whole terms.  Spark counts
 distinct values in two levels, first by (group, value), so that a dominant class
 or predicate is spread over all tasks.
@@ -20,97 +20,96 @@ from quadspark.functions.terms import (
     RDF_TYPE,
     XSD_INTEGER,
     null,
-    object_key,
+    term_key,
 )
 from quadspark.operators.graphs import set_digest
 
 VOID = "http://rdfs.org/ns/void#"
 
 
+def _quads(graph, only=None) -> DataFrame:
+    """Rows of a DataFrame or a ``MappedGraph``; the latter maps only the predicates asked for."""
+    return graph.quads(only) if hasattr(graph, "quads") else graph
+
+
 def _count(name: str):
     return F.count(F.lit(1)).alias(name)
 
 
-def void_dataset(quads: DataFrame, approx: bool = False) -> DataFrame:
+def void_dataset(graph, approx: bool = False) -> DataFrame:
     """Triples, distinct subjects, properties and distinct objects."""
+    quads = _quads(graph)
     if approx:
         return quads.agg(
             _count("triples"),
             F.approx_count_distinct("s").alias("distinct_subjects"),
             F.approx_count_distinct("p").alias("properties"),
-            F.approx_count_distinct(F.concat_ws("\u0001", "o", "o_kind", "o_dt", "o_lang")).alias("distinct_objects"),
+            F.approx_count_distinct(term_key("o")).alias("distinct_objects"),
         )
     return quads.agg(
         _count("triples"),
         F.count_distinct("s").alias("distinct_subjects"),
         F.count_distinct("p").alias("properties"),
-        F.count_distinct(object_key()).alias("distinct_objects"),
+        F.count_distinct(term_key("o")).alias("distinct_objects"),
     )
 
 
-def types(quads: DataFrame) -> DataFrame:
-    """Distinct (subject, class) pairs."""
-    return (
-        quads.filter((F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI))
-        .select(F.col("s").alias("inst"), F.col("o").alias("class")).dropDuplicates()
-    )
+def types(graph) -> DataFrame:
+    """Distinct (subject, class) pairs, partitioned by subject for a join on it."""
+    typed = _quads(graph, {RDF_TYPE}).filter((F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI))
+    pairs = typed.select(F.col("s").alias("inst"), F.col("o").alias("class"))
+    # Pairs of a subject meet in one partition, which serves both the distinct and the join.
+    return pairs.repartition("inst").dropDuplicates()
 
 
-def void_classes(quads: DataFrame) -> DataFrame:
-    typed = quads.filter((F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI))
+def void_classes(graph) -> DataFrame:
+    typed = _quads(graph, {RDF_TYPE}).filter((F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI))
     return typed.agg(F.count_distinct("o").alias("classes"))
 
 
-def _typed(quads: DataFrame) -> DataFrame:
+def _typed(graph) -> DataFrame:
     """Triples of typed subjects with each class of the subject."""
-    return quads.join(types(quads), F.col("s") == F.col("inst"))
+    return _quads(graph).join(types(graph), F.col("s") == F.col("inst"))
 
 
-def class_partition(quads: DataFrame) -> DataFrame:
+def class_partition(graph) -> DataFrame:
     """Per class: triples, properties and distinct objects of its instances."""
-    return _typed(quads).groupBy("class").agg(
+    return _typed(graph).groupBy("class").agg(
         _count("triples"),
         F.count_distinct("p").alias("properties"),
-        F.count_distinct(object_key()).alias("distinct_objects"),
+        F.count_distinct(term_key("o")).alias("distinct_objects"),
     )
 
 
-def class_property_partition(quads: DataFrame) -> DataFrame:
+def class_property_partition(graph) -> DataFrame:
     """Per class and property: triples, distinct subjects and distinct objects."""
-    return _typed(quads).groupBy("class", "p").agg(
+    return _typed(graph).groupBy("class", "p").agg(
         _count("triples"),
         F.count_distinct("s").alias("distinct_subjects"),
-        F.count_distinct(object_key()).alias("distinct_objects"),
+        F.count_distinct(term_key("o")).alias("distinct_objects"),
     )
 
 
-def class_partitions(quads: DataFrame) -> DataFrame:
+def class_partitions(graph) -> DataFrame:
     """Both class partitions over one join; ``p`` is null in the rows per class.
 
     The joined triples are reduced once per (class, property, object) and once
     per (class, property, subject); every measure follows from those rows, which
     are at most as many as the triples and mostly far fewer.
     """
-    joined = _typed(quads)
-    obj = F.struct("o", "o_kind", "o_dt", "o_lang")
     # Two tagged copies of a triple: one counts objects, the other subjects.
-    tagged = joined.select("class", "p", F.inline(F.array(
-        F.struct(F.lit("o").alias("side"), null().alias("subj"), obj.alias("obj"), F.lit(1).alias("one")),
-        F.struct(F.lit("s").alias("side"), F.col("s").alias("subj"), F.lit(None).cast(
-            "struct<o:string,o_kind:string,o_dt:string,o_lang:string>").alias("obj"), F.lit(0).alias("one")),
-    )))
-    reduced = tagged.groupBy("class", "p", "side", "subj", "obj").agg(F.sum("one").alias("n"))
-    on_objects = F.col("side") == "o"
+    sides = F.array(term_key("o"), F.col("s"))
+    reduced = _typed(graph).select("class", "p", F.posexplode(sides).alias("side", "v")).groupBy(
+        "class", "p", "side", "v").agg(F.count(F.lit(1)).alias("n"))
+    on_objects = F.col("side") == 0
     per_property = reduced.groupBy("class", "p").agg(
-        F.sum("n").alias("triples"),
+        F.sum(F.when(on_objects, F.col("n"))).alias("triples"),
         F.sum(F.when(on_objects, 0).otherwise(1)).alias("distinct_subjects"),
         F.sum(F.when(on_objects, 1).otherwise(0)).alias("distinct_objects"),
     ).withColumn("properties", F.lit(1).cast("bigint"))
-    per_class = reduced.filter(on_objects).groupBy("class", "obj").agg(F.sum("n").alias("n"))
+    per_class = reduced.filter(on_objects).groupBy("class", "v").agg(F.sum("n").alias("n"))
     per_class = per_class.groupBy("class").agg(
-        F.sum("n").alias("triples"),
-        F.count(F.lit(1)).alias("distinct_objects"),
-    )
+        F.sum("n").alias("triples"), F.count(F.lit(1)).alias("distinct_objects"))
     counts = per_property.groupBy("class").agg(F.count(F.lit(1)).alias("properties"))
     per_class = per_class.join(counts, "class").select(
         "class", null().alias("p"), "triples", F.lit(None).cast("bigint").alias("distinct_subjects"),
@@ -119,14 +118,14 @@ def class_partitions(quads: DataFrame) -> DataFrame:
     return per_property.select(*per_class.columns).unionByName(per_class)
 
 
-def class_cooccurrence(quads: DataFrame) -> DataFrame:
+def class_cooccurrence(graph) -> DataFrame:
     """Per class: distinct classes that its instances have, itself included.
 
     Subjects with equal class sets are represented by one of them, found by an
     order-free digest of the set, so the self-join runs over the distinct class
     sets and not over the instances.
     """
-    pairs = types(quads)
+    pairs = types(graph)
     digests = pairs.groupBy("inst").agg(*set_digest(F.col("class")), F.count(F.lit(1)).alias("__n"))
     keys = [c for c in digests.columns if c != "inst"]
     representatives = digests.groupBy(*keys).agg(F.min("inst").alias("inst")).select("inst")
@@ -138,22 +137,22 @@ def class_cooccurrence(quads: DataFrame) -> DataFrame:
     )
 
 
-def class_instances(quads: DataFrame) -> DataFrame:
+def class_instances(graph) -> DataFrame:
     """Per class: distinct subjects."""
-    typed = quads.filter((F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI))
+    typed = _quads(graph, {RDF_TYPE}).filter((F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI))
     return typed.groupBy(F.col("o").alias("class")).agg(F.count_distinct("s").alias("instances"))
 
 
-def property_partition(quads: DataFrame) -> DataFrame:
+def property_partition(graph) -> DataFrame:
     """Per property: triples, distinct subjects and distinct objects."""
-    return quads.groupBy("p").agg(
+    return _quads(graph).groupBy("p").agg(
         _count("triples"),
         F.count_distinct("s").alias("distinct_subjects"),
-        F.count_distinct(object_key()).alias("distinct_objects"),
+        F.count_distinct(term_key("o")).alias("distinct_objects"),
     )
 
 
-def node_kind_profile(quads: DataFrame) -> DataFrame:
+def node_kind_profile(graph) -> DataFrame:
     """Distinct nodes by kind and place, and distinct literals by datatype and language.
 
     Rows are ``(measure, key, n)``; ``key`` is the datatype or language tag, else
@@ -165,7 +164,7 @@ def node_kind_profile(quads: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("subj"), F.col("o").alias("v"), F.col("o_kind").alias("kind"),
                  F.col("o_dt").alias("dt"), F.col("o_lang").alias("lang")),
     )
-    nodes = quads.select(F.inline(ends)).groupBy("v", "kind", "dt", "lang").agg(
+    nodes = _quads(graph).select(F.inline(ends)).groupBy("v", "kind", "dt", "lang").agg(
         F.max("subj").alias("as_s"), F.min("subj").alias("as_o"),
     )
     in_s, in_o = F.col("as_s") == 1, F.col("as_o") == 0

@@ -56,13 +56,13 @@ SELECT 2 * r + 3 * n + 4 * c + 3 * s + 3 * p + 5 * o AS triples, r + n + c + s +
 FROM n
 """)
 def v1_void_dataset(spark, sf):
-    return void.void_dataset(graph(spark, sf).quads())
+    return void.void_dataset(graph(spark, sf))
 
 
 @query("v1_void_dataset_approx")
 def v1_void_dataset_approx(spark, sf):
     """Estimates differ from the exact counts by a few per cent: rows only."""
-    return void.void_dataset(graph(spark, sf).quads(), approx=True)
+    return void.void_dataset(graph(spark, sf), approx=True)
 
 
 @query("v2_void_classes", """
@@ -72,7 +72,7 @@ SELECT count(*) AS classes FROM (
   UNION ALL SELECT 'p' WHERE EXISTS (SELECT 1 FROM part) UNION ALL SELECT 'o' WHERE EXISTS (SELECT 1 FROM orders))
 """)
 def v2_void_classes(spark, sf):
-    return void.void_classes(graph(spark, sf).quads(only=[RDF_TYPE]))
+    return void.void_classes(graph(spark, sf))
 
 
 _V3 = f"""{_VALUES}
@@ -87,12 +87,12 @@ SELECT 'http://example.org/' || c AS class, {_P} AS p, count(*) AS triples, coun
 
 @query("v3_class_partition", _V3)
 def v3_class_partition(spark, sf):
-    return void.class_partition(graph(spark, sf).quads())
+    return void.class_partition(graph(spark, sf))
 
 
 @query("v7_class_property_partition", _V7)
 def v7_class_property_partition(spark, sf):
-    return void.class_property_partition(graph(spark, sf).quads())
+    return void.class_property_partition(graph(spark, sf))
 
 
 @query("v3_v7_class_partitions", f"""{_VALUES}
@@ -102,7 +102,7 @@ UNION ALL SELECT 'http://example.org/' || c, NULL, count(*), NULL, count(DISTINC
 FROM fact GROUP BY c
 """)
 def v3_v7_class_partitions(spark, sf):
-    return void.class_partitions(graph(spark, sf).quads())
+    return void.class_partitions(graph(spark, sf))
 
 
 def _ranked(spark, sf):
@@ -122,7 +122,7 @@ WITH t AS (
 SELECT 'http://example.org/' || a.c AS class, count(DISTINCT b.c) AS classes FROM t a JOIN t b USING (s) GROUP BY a.c
 """)
 def v4_class_cooccurrence(spark, sf):
-    return void.class_cooccurrence(_ranked(spark, sf).quads(only=[RDF_TYPE]))
+    return void.class_cooccurrence(_ranked(spark, sf))
 
 
 @query("v5_class_instances", """
@@ -134,7 +134,7 @@ UNION ALL SELECT 'http://example.org/Part', count(DISTINCT p_partkey) FROM part
 UNION ALL SELECT 'http://example.org/Order', count(DISTINCT o_orderkey) FROM orders
 """)
 def v5_class_instances(spark, sf):
-    return void.class_instances(graph(spark, sf).quads(only=[RDF_TYPE]))
+    return void.class_instances(graph(spark, sf))
 
 
 _V6 = f"""{_VALUES}
@@ -145,7 +145,7 @@ SELECT {_P} AS p, count(*) AS triples, count(DISTINCT s) AS distinct_subjects,
 
 @query("v6_property_partition", _V6)
 def v6_property_partition(spark, sf):
-    return void.property_partition(graph(spark, sf).quads())
+    return void.property_partition(graph(spark, sf))
 
 
 @query("v8_node_kind_profile", """
@@ -169,7 +169,7 @@ UNION ALL SELECT 'literals_by_datatype', CASE dt WHEN 'langString'
 UNION ALL SELECT 'literals_by_language', lang, count(*) FROM lit WHERE lang IS NOT NULL GROUP BY lang
 """)
 def v8_node_kind_profile(spark, sf):
-    return void.node_kind_profile(document_graph(spark, sf).quads())
+    return void.node_kind_profile(document_graph(spark, sf))
 
 
 def document_graph(spark, sf):
@@ -192,7 +192,7 @@ UNION ALL SELECT node, 'http://rdfs.org/ns/void#distinctSubjects', subjects::VAR
 UNION ALL SELECT node, 'http://rdfs.org/ns/void#distinctObjects', objects::VARCHAR FROM part
 """)
 def v9_void_to_rdf(spark, sf):
-    stats = void.property_partition(graph(spark, sf).quads())
+    stats = void.property_partition(graph(spark, sf))
     return void.void_to_rdf(stats, EX + "ds").select("s", "p", "o")
 
 

@@ -86,10 +86,12 @@ def parse_rdf_lines(lines: DataFrame, line: str = "value", scope: Column | None
         "g": pick(g_iri, F.lit(""), F.when(g_blank != "", F.concat(F.lit("_:"), label(g_blank)))),
     }
     others = [c for c in lines.columns if c != line]
-    return parsed.select(
-        *others, *(F.when(good, c).alias(name) for name, c in columns.items()),
-        F.when(~good, F.col(line)).alias("reject"),
-    )
+    # One row out of a generator: a filter on the result stays above it.  Pushed
+    # below, it would parse every line once more.
+    row = F.struct(
+        *(F.when(good, c).alias(name) for name, c in columns.items()),
+        F.when(~good, F.col(line)).alias("reject"))
+    return parsed.select(*others, F.inline(F.array(row)))
 
 
 def _scope() -> Column:
