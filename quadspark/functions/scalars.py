@@ -39,15 +39,16 @@ ILLEGAL_IRI = r'[\x00-\x20<>"{}|^`\\]'
 
 # --- plain column helpers ---------------------------------------------------
 
-def encode_for_uri(value: Column) -> Column:
-    """Percent-encode everything but unreserved characters.
+# ``url_encode`` writes HTML-form encoding; three characters differ.
+ENCODE_FOR_URI = "replace(replace(replace(url_encode({}), '+', '%20'), '*', '%2A'), '%7E', '~')"
+
 
-    ``url_encode`` writes HTML-form encoding; three characters differ.
-    """
+def encode_for_uri(value: Column) -> Column:
+    """Percent-encode everything but unreserved characters."""
     encoded = F.url_encode(value)
-    encoded = F.replace(encoded, F.lit("+"), F.lit("%20"))
-    encoded = F.replace(encoded, F.lit("*"), F.lit("%2A"))
-    return F.replace(encoded, F.lit("%7E"), F.lit("~"))
+    for form, wanted in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        encoded = F.replace(encoded, F.lit(form), F.lit(wanted))
+    return encoded
 
 
 def valid_iri(value: Column) -> Column:

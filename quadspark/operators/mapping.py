@@ -12,11 +12,11 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quadspark.functions.scalars import encode_for_uri
+from quadspark.functions.scalars import ENCODE_FOR_URI
 from quadspark.functions.terms import (
     IRI,
     LANG_STRING,
@@ -24,7 +24,6 @@ from quadspark.functions.terms import (
     QUAD_SCHEMA,
     RDF_TYPE,
     XSD_STRING,
-    null,
 )
 from quadspark.functions.terms import Literal as LiteralValue
 
@@ -33,6 +32,18 @@ _PLACEHOLDER = re.compile(r"\{([^{}]+)\}")
 
 
 # --- term maps ----------------------------------------------------------------
+# A term map gives the SQL text of its value: a whole source then needs one
+# projection to be built, however many object maps it has.
+
+def quoted(text: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def named(column: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + column.replace("`", "``") + "`"
+
 
 @dataclass(frozen=True)
 class TermMap:
@@ -43,7 +54,7 @@ class TermMap:
     def references(self) -> list[str]:
         return []
 
-    def value(self, df: DataFrame) -> Column:
+    def sql(self, types: dict[str, T.DataType]) -> str:
         raise NotImplementedError
 
 
@@ -54,29 +65,29 @@ class Template(TermMap):
     def references(self) -> list[str]:
         return _PLACEHOLDER.findall(self.pattern)
 
-    def value(self, df: DataFrame) -> Column:
-        parts: list[Column] = []
+    def sql(self, types: dict[str, T.DataType]) -> str:
+        parts = []
         for index, piece in enumerate(_PLACEHOLDER.split(self.pattern)):
             if index % 2:
-                parts.append(self._slot(df, piece))
+                parts.append(self._slot(types, piece))
             elif piece:
-                parts.append(F.lit(piece))
-        return F.concat(*parts)
+                parts.append(quoted(piece))
+        return f"concat({', '.join(parts)})"
 
-    def _slot(self, df: DataFrame, name: str) -> Column:
-        value = F.col(name).cast("string")
+    def _slot(self, types: dict[str, T.DataType], name: str) -> str:
+        value = f"cast({named(name)} AS string)"
         # Digits and a minus sign are unreserved: keys need no encoding.
-        if self.term_type == LITERAL or isinstance(df.schema[name].dataType, _INTEGRAL):
+        if self.term_type == LITERAL or isinstance(types[name], _INTEGRAL):
             return value
-        return encode_for_uri(value)
+        return ENCODE_FOR_URI.format(value)
 
 
 @dataclass(frozen=True)
 class Constant(TermMap):
     constant: str = ""
 
-    def value(self, df: DataFrame) -> Column:
-        return F.lit(self.constant)
+    def sql(self, types: dict[str, T.DataType]) -> str:
+        return quoted(self.constant)
 
 
 @dataclass(frozen=True)
@@ -86,18 +97,18 @@ class Reference(TermMap):
     def references(self) -> list[str]:
         return [self.column]
 
-    def value(self, df: DataFrame) -> Column:
-        return F.col(self.column).cast("string")
+    def sql(self, types: dict[str, T.DataType]) -> str:
+        return f"cast({named(self.column)} AS string)"
 
 
-@dataclass(frozen=True, eq=False)
+@dataclass(frozen=True)
 class Expression(TermMap):
-    """A computed column as a term map (the functions part of a mapping)."""
+    """A SQL expression over the source as a term map (the functions part of a mapping)."""
 
-    column: Column | None = None
+    text: str = ""
 
-    def value(self, df: DataFrame) -> Column:
-        return self.column.cast("string")
+    def sql(self, types: dict[str, T.DataType]) -> str:
+        return f"cast({self.text} AS string)"
 
 
 def template(pattern: str, term_type: str = IRI) -> Template:
@@ -119,8 +130,8 @@ def reference(column: str, term_type: str = LITERAL) -> Reference:
     return Reference(term_type, column)
 
 
-def expression(column: Column, term_type: str = LITERAL) -> Expression:
-    return Expression(term_type, column)
+def expression(sql: str, term_type: str = LITERAL) -> Expression:
+    return Expression(term_type, sql)
 
 
 # --- triples maps -------------------------------------------------------------
@@ -231,103 +242,99 @@ class MappedGraph:
 
 
 def _map_source(df, maps, sources, only):
-    subjects: list[Column] = []
+    types = {f.name: f.dataType for f in df.schema}
+    subjects: list[TermMap] = []
     rows: list[_Row] = []
     joined: list[DataFrame] = []
     for m in maps:
-        if not _available(df, m.subject, m) or (m.graph is not None and not _available(df, m.graph, m)):
+        if not _available(types, m.subject, m) or (m.graph is not None and not _available(types, m.graph, m)):
             continue
-        graph = None if m.graph is None else F.nullif(F.trim(m.graph.value(df)), F.lit(""))
+        graph = None if m.graph is None else f"nullif(trim({m.graph.sql(types)}), '')"
         start, number = len(rows), len(subjects)
         if only is None or RDF_TYPE in only:
-            rows += [_Row(number, RDF_TYPE, F.lit(cls), IRI, None, None, graph) for cls in m.classes]
+            rows += [_Row(number, RDF_TYPE, quoted(cls), IRI, None, None, graph) for cls in m.classes]
         for om in m.objects:
             if only is not None and om.predicate not in only:
                 continue
             if isinstance(om.object, ParentRef):
-                joined.append(_parent_quads(df, m, om, sources, graph))
-            elif _available(df, om.object, m):
+                joined.append(_parent_quads(df, types, m, om, sources, graph))
+            elif _available(types, om.object, m):
                 kind = om.object.term_type
-                language = _language(df, om) if kind == LITERAL else None
-                rows.append(_Row(number, om.predicate, om.object.value(df), kind, om.datatype, language, graph))
+                language = _language(types, om) if kind == LITERAL else None
+                rows.append(_Row(number, om.predicate, om.object.sql(types), kind, om.datatype, language, graph))
         if len(rows) > start:
             subjects.append(m.subject)
-    results = joined
-    if rows:
-        results = [_exploded(df, subjects, rows), *joined]
+    results = [_exploded(df, types, subjects, rows), *joined] if rows else joined
     return reduce(lambda x, y: x.unionByName(y), results) if results else None
 
 
-@dataclass(frozen=True, eq=False)
+@dataclass(frozen=True)
 class _Row:
-    """One triple that every source row gives."""
+    """One triple that every source row gives; the texts are SQL."""
 
     subject: int
     predicate: str
-    value: Column
+    value: str
     kind: str
     datatype: str | None
-    language: Column | None
-    graph: Column | None
+    language: str | None
+    graph: str | None
 
 
-def _exploded(df: DataFrame, subjects: Sequence[TermMap], rows: Sequence[_Row]) -> DataFrame:
+def _exploded(df: DataFrame, types, subjects: Sequence[TermMap], rows: Sequence[_Row]) -> DataFrame:
     """One array of object values per source row; ``posexplode`` makes the triples.
 
     The subject and whatever else varies by row is computed below the generator,
     once per source row; the constants of a triple are looked up by position.
     """
+    tests = []
     if len(subjects) == 1:
         # A null slot gives no subject: tested on the source columns, so that the scan can skip.
-        for name in subjects[0].references():
-            df = df.filter(F.col(name).isNotNull())
-    below = [subject.value(df).alias(f"__s{i}") for i, subject in enumerate(subjects)]
+        tests = [f"{named(name)} IS NOT NULL" for name in subjects[0].references()]
+    below = {f"__s{i}": subject.sql(types) for i, subject in enumerate(subjects)}
     for i, r in enumerate(rows):
-        below += [c.alias(f"__{name}{i}") for name, c in (("lang", r.language), ("g", r.graph)) if c is not None]
-    wide = df.select("*", *below)
-    keep = wide.columns[len(df.columns):]
+        below |= {f"__{name}{i}": text for name, text in (("lang", r.language), ("g", r.graph)) if text is not None}
+    source = df.filter(" AND ".join(tests)) if tests else df
+    wide = source.selectExpr("*", *(f"{text} AS {name}" for name, text in below.items()))
     # The array is written inside the generator: over a column, Spark would infer
     # filters on it and evaluate the values twice.
-    triples = wide.select(*keep, F.posexplode(F.array(*(r.value for r in rows))).alias("__i", "o"))
-
-    def computed(name: str, used: Sequence[bool]) -> Column:
-        picked = null()
-        for i, present in enumerate(used):
-            if present:
-                picked = F.when(F.col("__i") == i, F.col(f"__{name}{i}")).otherwise(picked)
-        return picked
-
-    subject = F.col("__s0")
-    for n in range(1, len(subjects)):
-        first = next(i for i, r in enumerate(rows) if r.subject == n)
-        subject = F.when(F.col("__i") >= first, F.col(f"__s{n}")).otherwise(subject)
-    lang = computed("lang", [r.language is not None for r in rows])
+    values = f"posexplode(array({', '.join(r.value for r in rows)})) AS (__i, o)"
+    triples = wide.selectExpr(*below, values)
+
+    def computed(name: str) -> str:
+        cases = " ".join(f"WHEN {i} THEN __{name}{i}" for i in range(len(rows)) if f"__{name}{i}" in below)
+        return f"CASE __i {cases} END" if cases else "cast(null AS string)"
+
+    firsts = {n: next(i for i, r in enumerate(rows) if r.subject == n) for n in range(len(subjects))}
+    later = " ".join(f"WHEN __i >= {firsts[n]} THEN __s{n}" for n in range(len(subjects) - 1, 0, -1))
+    subject = f"CASE {later} ELSE __s0 END" if later else "__s0"
+    lang = computed("lang")
     dt = _lookup([(r.datatype or XSD_STRING) if r.kind == LITERAL else None for r in rows])
     if any(r.language is not None for r in rows):
-        dt = F.when(lang.isNotNull(), LANG_STRING).otherwise(dt)
-    checked = triples.filter(F.col("o").isNotNull())
+        dt = f"CASE WHEN {lang} IS NOT NULL THEN {quoted(LANG_STRING)} ELSE {dt} END"
+    present = "o IS NOT NULL"
     if len(subjects) > 1 or not subjects[0].references():
-        checked = checked.filter(subject.isNotNull())
-    return checked.select(
-        subject.alias("s"), _lookup([_subject_kind(subjects[r.subject]) for r in rows]).alias("s_kind"),
-        _lookup([r.predicate for r in rows]).alias("p"), "o", _lookup([r.kind for r in rows]).alias("o_kind"),
-        dt.alias("o_dt"), lang.alias("o_lang"), computed("g", [r.graph is not None for r in rows]).alias("g"),
-    )
+        present += f" AND {subject} IS NOT NULL"
+    columns = {
+        "s": subject, "s_kind": _lookup([_subject_kind(subjects[r.subject]) for r in rows]),
+        "p": _lookup([r.predicate for r in rows]), "o": "o", "o_kind": _lookup([r.kind for r in rows]),
+        "o_dt": dt, "o_lang": lang, "g": computed("g"),
+    }
+    return triples.filter(present).selectExpr(*(f"{text} AS {name}" for name, text in columns.items()))
 
 
-def _lookup(values: Sequence[str | None]) -> Column:
+def _lookup(values: Sequence[str | None]) -> str:
     """Constant by position; one value for all needs no lookup."""
-    if len(set(values)) == 1:
-        return F.lit(values[0]).cast("string")
-    return F.get(F.array(*(F.lit(v).cast("string") for v in values)), F.col("__i"))
+    texts = ["cast(null AS string)" if v is None else quoted(v) for v in values]
+    return texts[0] if len(set(texts)) == 1 else f"get(array({', '.join(texts)}), __i)"
 
 
 def _subject_kind(subject: TermMap) -> str:
     return IRI if subject.term_type == LITERAL else subject.term_type
 
 
-def _available(df: DataFrame, term_map: TermMap, m: TriplesMap) -> bool:
-    missing = [c for c in term_map.references() if c not in df.columns]
+def _available(types, term_map: TermMap, m: TriplesMap) -> bool:
+    missing = [c for c in term_map.references() if c not in types]
     if not missing:
         return True
     if m.missing_reference == "skip":
@@ -335,28 +342,25 @@ def _available(df: DataFrame, term_map: TermMap, m: TriplesMap) -> bool:
     raise ValueError(f"source {m.source} has no column {', '.join(missing)}")
 
 
-def _language(df: DataFrame, om: ObjectMap) -> Column | None:
+def _language(types, om: ObjectMap) -> str | None:
     if om.language is None:
         return None
-    return F.lower(om.language.value(df) if isinstance(om.language, TermMap) else F.lit(om.language))
+    return f"lower({om.language.sql(types) if isinstance(om.language, TermMap) else quoted(om.language)})"
 
 
-def _parent_quads(df, m, om, sources, graph):
+def _parent_quads(df, types, m, om, sources, graph):
     """Child rows joined to parent rows on the condition; the object is the parent's subject."""
     ref = om.object
     parent_df = sources.get(ref.parent.source)
     if parent_df is None:
         raise ValueError(f"no source {ref.parent.source} for the parent map")
-    child = df.select(
-        m.subject.value(df).alias("s"), F.col(ref.child_key).alias("__child"),
-        (null() if graph is None else graph).alias("g"),
-    ).filter(F.col("s").isNotNull())
-    parent = parent_df.select(
-        ref.parent.subject.value(parent_df).alias("o"), F.col(ref.parent_key).alias("__parent"),
-    ).filter(F.col("o").isNotNull())
-    kind = ref.parent.subject.term_type
-    return child.join(parent, F.col("__child") == F.col("__parent")).select(
-        "s", F.lit(_subject_kind(m.subject)).alias("s_kind"), F.lit(om.predicate).alias("p"),
-        "o", F.lit(kind).alias("o_kind"), null().alias("o_dt"), null().alias("o_lang"), "g",
-    )
-
+    child = df.selectExpr(
+        f"{m.subject.sql(types)} AS s", f"{named(ref.child_key)} AS __child",
+        f"{graph or 'cast(null AS string)'} AS g").filter("s IS NOT NULL")
+    parent_types = {f.name: f.dataType for f in parent_df.schema}
+    parent = parent_df.selectExpr(
+        f"{ref.parent.subject.sql(parent_types)} AS o", f"{named(ref.parent_key)} AS __parent").filter("o IS NOT NULL")
+    return child.join(parent, F.col("__child") == F.col("__parent")).selectExpr(
+        "s", f"{quoted(_subject_kind(m.subject))} AS s_kind", f"{quoted(om.predicate)} AS p", "o",
+        f"{quoted(ref.parent.subject.term_type)} AS o_kind", "cast(null AS string) AS o_dt",
+        "cast(null AS string) AS o_lang", "g")

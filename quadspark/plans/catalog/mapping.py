@@ -89,7 +89,7 @@ UNION ALL SELECT 'http://example.org/order/' || o_orderkey, CAST(o_custkey AS VA
 """)
 def m5_datatype(spark, sf):
     m = TriplesMap("orders", node("order", "o_orderkey"), [
-        pom(EX + "total", expression(F.col("o_totalprice").cast(MONEY)), XSD_DECIMAL),
+        pom(EX + "total", expression(f"cast(o_totalprice AS {MONEY})"), XSD_DECIMAL),
         pom(EX + "customerKey", "o_custkey", XSD_INTEGER)])
     return apply_mapping(table(spark, sf, "orders"), m).select("s", "o", "o_dt")
 
@@ -128,7 +128,7 @@ def m8_mappings(spark, sf):
     """Three maps over two sources; the two maps on ``customer`` share one scan."""
     known = maps()
     extra = TriplesMap("customer", node("customer", "c_custkey"), [
-        pom(EX + "rank", expression(F.when(F.col("c_acctbal") < 0, "low").otherwise("high")))])
+        pom(EX + "rank", expression("if(c_acctbal < 0, 'low', 'high')"))])
     sources = {n: table(spark, sf, n) for n in ("customer", "supplier")}
     wanted = [EX + "name", EX + "nation", EX + "rank"]
     quads = apply_mappings(sources, [known["customer"], known["supplier"], extra], only=wanted)

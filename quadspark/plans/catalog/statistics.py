@@ -107,9 +107,9 @@ def v3_v7_class_partitions(spark, sf):
 
 def _ranked(spark, sf):
     """Customers with further classes: by segment, and by balance."""
-    balance = F.when(F.col("c_acctbal") < 0, EX + "Debtor").when(F.col("c_acctbal") > 9000, EX + "Premium")
+    balance = f"CASE WHEN c_acctbal < 0 THEN '{EX}Debtor' WHEN c_acctbal > 9000 THEN '{EX}Premium' END"
     extra = TriplesMap("customer", node("customer", "c_custkey"), [
-        pom(RDF_TYPE, expression(F.concat(F.lit(EX), F.col("c_mktsegment")), "iri")),
+        pom(RDF_TYPE, template(EX + "{c_mktsegment}")),
         pom(RDF_TYPE, expression(balance, "iri"))])
     return MappedGraph({"customer": table(spark, sf, "customer")}, [maps()["customer"], extra])
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from quadspark.functions.terms import XSD_DECIMAL, XSD_INTEGER
 from quadspark.operators.mapping import MappedGraph, TriplesMap, expression, pom, template
@@ -18,11 +17,11 @@ def node(name: str, key: str):
 
 
 def _money(column: str):
-    return expression(F.col(column).cast(MONEY))
+    return expression(f"cast({column} AS {MONEY})")
 
 
 def maps() -> dict[str, TriplesMap]:
-    """Triples maps by table; built in a function, because columns need a session."""
+    """Triples maps by table."""
     return {
         "region": TriplesMap("region", node("region", "r_regionkey"), [pom(EX + "name", "r_name")], [EX + "Region"]),
         "nation": TriplesMap("nation", node("nation", "n_nationkey"), [
@@ -42,7 +41,7 @@ def maps() -> dict[str, TriplesMap]:
             "lineitem", template(EX + "lineitem/{l_orderkey}-{l_linenumber}"), [
                 pom(EX + "order", node("order", "l_orderkey")), pom(EX + "part", node("part", "l_partkey")),
                 pom(EX + "supplier", node("supplier", "l_suppkey")),
-                pom(EX + "quantity", expression(F.col("l_quantity").cast("bigint")), XSD_INTEGER),
+                pom(EX + "quantity", expression("cast(l_quantity AS bigint)"), XSD_INTEGER),
                 pom(EX + "price", _money("l_extendedprice"), XSD_DECIMAL),
                 pom(EX + "flag", "l_returnflag")], [EX + "Lineitem"]),
     }
