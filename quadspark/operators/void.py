@@ -74,48 +74,40 @@ def _typed(graph) -> DataFrame:
 
 def class_partition(graph) -> DataFrame:
     """Per class: triples, properties and distinct objects of its instances."""
-    return _typed(graph).groupBy("class").agg(
-        _count("triples"),
-        F.count_distinct("p").alias("properties"),
-        F.count_distinct(term_key("o")).alias("distinct_objects"),
-    )
+    return _by_class(_typed(graph))
 
 
 def class_property_partition(graph) -> DataFrame:
     """Per class and property: triples, distinct subjects and distinct objects."""
-    return _typed(graph).groupBy("class", "p").agg(
-        _count("triples"),
-        F.count_distinct("s").alias("distinct_subjects"),
-        F.count_distinct(term_key("o")).alias("distinct_objects"),
-    )
+    return _by_class_and_property(_typed(graph))
 
 
 def class_partitions(graph) -> DataFrame:
-    """Both class partitions over one join; ``p`` is null in the rows per class.
+    """Both class partitions; ``p`` is null in the rows per class.
 
-    The joined triples are reduced once per (class, property, object) and once
-    per (class, property, subject); every measure follows from those rows, which
-    are at most as many as the triples and mostly far fewer.
+    Both aggregate the same join with the same columns, so its shuffles are
+    written once and reused.
     """
-    # Two tagged copies of a triple: one counts objects, the other subjects.
-    sides = F.array(term_key("o"), F.col("s"))
-    reduced = _typed(graph).select("class", "p", F.posexplode(sides).alias("side", "v")).groupBy(
-        "class", "p", "side", "v").agg(F.count(F.lit(1)).alias("n"))
-    on_objects = F.col("side") == 0
-    per_property = reduced.groupBy("class", "p").agg(
-        F.sum(F.when(on_objects, F.col("n"))).alias("triples"),
-        F.sum(F.when(on_objects, 0).otherwise(1)).alias("distinct_subjects"),
-        F.sum(F.when(on_objects, 1).otherwise(0)).alias("distinct_objects"),
-    ).withColumn("properties", F.lit(1).cast("bigint"))
-    per_class = reduced.filter(on_objects).groupBy("class", "v").agg(F.sum("n").alias("n"))
-    per_class = per_class.groupBy("class").agg(
-        F.sum("n").alias("triples"), F.count(F.lit(1)).alias("distinct_objects"))
-    counts = per_property.groupBy("class").agg(F.count(F.lit(1)).alias("properties"))
-    per_class = per_class.join(counts, "class").select(
-        "class", null().alias("p"), "triples", F.lit(None).cast("bigint").alias("distinct_subjects"),
-        "distinct_objects", "properties",
+    typed = _typed(graph)
+    per_property = _by_class_and_property(typed).withColumn("properties", F.lit(1).cast("bigint"))
+    per_class = _by_class(typed).withColumns({"p": null(), "distinct_subjects": F.lit(None).cast("bigint")})
+    return per_property.unionByName(per_class)
+
+
+def _by_class(typed: DataFrame) -> DataFrame:
+    return typed.groupBy("class").agg(
+        _count("triples"),
+        F.count_distinct("p").alias("properties"),
+        F.count_distinct(term_key("o")).alias("distinct_objects"),
+    )
+
+
+def _by_class_and_property(typed: DataFrame) -> DataFrame:
+    return typed.groupBy("class", "p").agg(
+        _count("triples"),
+        F.count_distinct("s").alias("distinct_subjects"),
+        F.count_distinct(term_key("o")).alias("distinct_objects"),
     )
-    return per_property.select(*per_class.columns).unionByName(per_class)
 
 
 def class_cooccurrence(graph) -> DataFrame:
