@@ -87,18 +87,26 @@ def skolemize(quads: DataFrame, base_iri: str, cls: str, keys: Sequence[str]) ->
     )
     digest = content_hash([F.col(f"__d{i}") for i in range(4)])
     names = sums.select("__b", skolem_iri(base_iri, cls, digest).alias("__iri"))
-    replaced = quads
+    has_blank = (F.col("s_kind") == BNODE) | (F.col("o_kind") == BNODE)
+    replaced = quads.filter(has_blank)
     for place in ("s", "o"):
-        label = F.when(F.col(f"{place}_kind") == BNODE, F.col(place))
-        joined = replaced.withColumn("__label", label).join(
-            names, F.col("__label") == F.col("__b"), "left")
-        replaced = joined.select(*(
-            F.coalesce("__iri", place).alias(c) if c == place
-            else F.when(F.col("__iri").isNotNull(), IRI).otherwise(F.col(c)).alias(c) if c == f"{place}_kind"
-            else F.col(c)
-            for c in QUAD_COLUMNS
-        ))
-    return replaced.dropDuplicates()
+        replaced = _renamed_blanks(replaced, names, place)
+    return quads.filter(~has_blank).unionByName(replaced).dropDuplicates()
+
+
+def _renamed_blanks(quads: DataFrame, names: DataFrame, place: str) -> DataFrame:
+    # Terms that are no blank nodes get keys that match nothing and differ by
+    # row: as nulls, or by a frequent value, they would meet in one task.
+    other = F.concat(F.lit("-"), F.xxhash64(*QUAD_COLUMNS).cast("string"))
+    label = F.when(F.col(f"{place}_kind") == BNODE, F.concat(F.lit("b"), F.col(place))).otherwise(other)
+    keyed = names.select(F.concat(F.lit("b"), F.col("__b")).alias("__key"), "__iri")
+    joined = quads.withColumn("__label", label).join(keyed, F.col("__label") == F.col("__key"), "left")
+    return joined.select(*(
+        F.coalesce("__iri", place).alias(c) if c == place
+        else F.when(F.col("__iri").isNotNull(), IRI).otherwise(F.col(c)).alias(c) if c == f"{place}_kind"
+        else F.col(c)
+        for c in QUAD_COLUMNS
+    ))
 
 
 # --- X20: set operations ------------------------------------------------------------

@@ -16,6 +16,8 @@ from quadspark.sources.storage import path_exists
 
 STATE_SCHEMA = "source string, graphs array<string>, length bigint, modified timestamp, loaded_at timestamp"
 
+MAX_BROADCAST_PATH_CHARS = 100_000_000
+
 # Vocabulary and subject of the load state as triples.
 STATE_NS = "http://www.example.org/"
 STATE_IRI = "urn:load-state"
@@ -73,11 +75,13 @@ def load_all(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     manifest row names no graph keeps the graph names of its quads.
     """
     paths = [row.source for row in manifest.select("source").distinct().toLocalIterator()]
+    # The manifest is broadcast while its paths stay within a known size, so that the quads are not shuffled.
+    small = sum(map(len, paths)) <= MAX_BROADCAST_PATH_CHARS
     if not paths:
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*QUAD_COLUMNS, "source"]))
     quads = scan_rdf_lines(spark, paths).filter(F.col("reject").isNull())
     graphs = manifest.select(F.col("source").alias("__source"), F.col("g").alias("__g"))
-    placed = quads.join(graphs, F.col("source") == F.col("__source"))
+    placed = quads.join(F.broadcast(graphs) if small else graphs, F.col("source") == F.col("__source"))
     g = F.coalesce(F.col("__g"), F.col("g"))
     return placed.select(*QUAD_COLUMNS[:-1], g.alias("g"), "source")
 

@@ -151,10 +151,12 @@ def read_quad_table(spark: SparkSession, path: str, batches: bool = False) -> Da
 
     ``batches`` adds the batch number of a table that was loaded by a stream.
     """
-    schema = ", ".join(f"{c} string" for c in [*QUAD_COLUMNS, "p_key"])
+    columns = [*QUAD_COLUMNS, "p_key"]
+    schema = ", ".join(f"{c} string" for c in columns)
     if batches:
-        schema += ", batch bigint"
-    return spark.read.schema(schema).parquet(path)
+        columns, schema = [*columns, "batch"], schema + ", batch bigint"
+    # Spark adds the folders of the parts as columns; they are not part of the graph.
+    return spark.read.schema(schema).parquet(path).select(*columns)
 
 
 def publish_if_changed(spark: SparkSession, df: DataFrame, path: str, changed: bool, fmt: str = "parquet") -> bool:

@@ -69,5 +69,7 @@ def file_graph_mapping(spark: SparkSession, mapping: Sequence[tuple[str, str | N
 
 
 def _uri(path: str) -> str:
-    """The form in which Spark reports a file path."""
-    return f"file://{path}" if path.startswith("/") else path
+    """The form in which Spark reports a local path: one slash after the scheme."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return f"file:{path}" if path.startswith("/") else path

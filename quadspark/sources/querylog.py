@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadspark.functions.terms import null
+from quadspark.sources.storage import stored_lookup
 
 # Common and combined web-server log lines; the second server format named for
 # these logs writes the same line shape.
@@ -102,15 +103,20 @@ def _number(lines: DataFrame) -> DataFrame:
 
     The rows of a split are consecutive in one task, so the row id relative to
     the split's first one is the position; only one row per split is ordered.
+    The files are read twice.  Should they be split differently the second time
+    (the cluster was resized), the query fails instead of numbering wrongly.
     """
     splits = lines.groupBy("source", "__block").agg(
         F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(
         Window.partitionBy("source").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = splits.select(
+    offsets = stored_lookup(splits.select(
         F.col("source").alias("__src"), F.col("__block").alias("__blk"), "__first",
-        F.coalesce(before, F.lit(0)).alias("__before"))
+        F.coalesce(before, F.lit(0)).alias("__before")), "splits")
     joined = lines.join(
-        offsets, (F.col("source") == F.col("__src")) & (F.col("__block") == F.col("__blk")))
-    seq = F.col("__row") - F.col("__first") + F.col("__before")
-    return joined.select(*lines.columns, seq.alias("seq"))
+        offsets, (F.col("source") == F.col("__src")) & (F.col("__block") == F.col("__blk")), "left")
+    # The upper bits of a row id are those of its task.
+    same_task = F.shiftright("__row", 33) == F.shiftright("__first", 33)
+    seq = F.when(same_task & (F.col("__row") >= F.col("__first")), F.col("__row") - F.col("__first") + F.col("__before"))
+    checked = F.coalesce(seq, F.raise_error(F.lit("the files were split differently in the second pass")).cast("bigint"))
+    return joined.select(*lines.columns, checked.alias("seq"))

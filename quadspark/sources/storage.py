@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quadspark.session import scratch_path
 
 # An input below this size per core has too few splits to use all cores.
 SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
@@ -34,3 +37,19 @@ def spread_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
     if path_size(spark, path) >= cores * SMALL_BYTES_PER_CORE:
         return df
     return df.repartition(cores, *keys)
+
+
+# Rows of a lookup table that is sent to every executor: a few hundred MB at most.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def stored_lookup(df: DataFrame, name: str) -> DataFrame:
+    """Write a small derived table once, and broadcast it if its row count allows.
+
+    Beyond the bound it takes part in an ordinary shuffle join.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(stored) if stored.count() <= MAX_BROADCAST_ROWS else stored
