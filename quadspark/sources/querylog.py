@@ -57,16 +57,15 @@ def parse_query_log(lines: DataFrame, log_format: str, line: str = "value") -> D
     elif log_format in LOG_FORMATS:
         # One pass of the line pattern; a line has no line feed, so it separates the groups.
         fields = F.split(F.regexp_replace(raw, _ACCESS_LINE, "$1\n$2\n$3\n$4"), "\n", -1)
-        split = lines.select(*others, raw.alias("raw"), fields.alias("__f"))
+        # The groups leave through a generator: a filter on the result stays
+        # above it.  Pushed below, it would match every line once more.
+        split = lines.select(*others, raw.alias("raw"), F.explode(F.array(fields)).alias("__f"))
         ok = F.size("__f") == 4
         encoded = F.nullif(F.regexp_extract(F.get("__f", F.lit(2)), _QUERY_PARAM, 1), F.lit(""))
-        # One row out of a generator: a filter on the result stays above it.
-        # Pushed below, it would parse every line once more.
-        row = F.struct(
-            F.when(ok, F.get("__f", F.lit(0))).alias("host"),
+        parsed = split.select(
+            *others, "raw", F.when(ok, F.get("__f", F.lit(0))).alias("host"),
             F.when(ok, F.try_to_timestamp(F.get("__f", F.lit(1)), F.lit(_ACCESS_TIME))).alias("ts"),
             F.when(ok, F.try_url_decode(encoded)).alias("query"))
-        parsed = split.select(*others, "raw", F.inline(F.array(row)))
     else:
         raise ValueError(f"log format is one of {LOG_FORMATS}")
     return parsed.select("*", query_id(F.col("query")).alias("query_hash"))

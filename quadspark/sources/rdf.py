@@ -60,7 +60,9 @@ def parse_rdf_lines(lines: DataFrame, line: str = "value", scope: Column | None
     """
     kept = lines.filter(~F.col(line).rlike(r"^[ \t]*+(?:#.*)?$"))
     parts = F.split(F.regexp_replace(F.col(line), _LINE, _SPLIT), "\n", -1)
-    parsed = kept.select("*", parts.alias("__p"))
+    # The groups leave through a generator: a filter on the result stays above
+    # it.  Pushed below, it would match every line once more.
+    parsed = kept.select("*", F.explode(F.array(parts)).alias("__p"))
     group = [F.get(F.col("__p"), F.lit(i)) for i in range(_GROUPS)]
     s_iri, s_blank, p, o_iri, o_blank, text, dt, lang, g_iri, g_blank = group
     ok = F.size("__p") == _GROUPS
@@ -86,12 +88,9 @@ def parse_rdf_lines(lines: DataFrame, line: str = "value", scope: Column | None
         "g": pick(g_iri, F.lit(""), F.when(g_blank != "", F.concat(F.lit("_:"), label(g_blank)))),
     }
     others = [c for c in lines.columns if c != line]
-    # One row out of a generator: a filter on the result stays above it.  Pushed
-    # below, it would parse every line once more.
-    row = F.struct(
-        *(F.when(good, c).alias(name) for name, c in columns.items()),
+    return parsed.select(
+        *others, *(F.when(good, c).alias(name) for name, c in columns.items()),
         F.when(~good, F.col(line)).alias("reject"))
-    return parsed.select(*others, F.inline(F.array(row)))
 
 
 def _scope() -> Column:
