@@ -62,7 +62,10 @@ def parse_rdf_lines(lines: DataFrame, line: str = "value", scope: Column | None
     parts = F.split(F.regexp_replace(F.col(line), _LINE, _SPLIT), "\n", -1)
     # The groups leave through a generator: a filter on the result stays above
     # it.  Pushed below, it would match every line once more.
-    parsed = kept.select("*", F.explode(F.array(parts)).alias("__p"))
+    matched = kept.select("*", F.explode(F.array(parts)).alias("__p"))
+    # Only lines with a backslash are decoded; labels and tags hold none.
+    decoded = F.when(F.contains(F.col(line), F.lit("\\")), F.transform("__p", unescape)).otherwise(F.col("__p"))
+    parsed = matched.withColumn("__p", decoded)
     group = [F.get(F.col("__p"), F.lit(i)) for i in range(_GROUPS)]
     s_iri, s_blank, p, o_iri, o_blank, text, dt, lang, g_iri, g_blank = group
     ok = F.size("__p") == _GROUPS
@@ -71,19 +74,21 @@ def parse_rdf_lines(lines: DataFrame, line: str = "value", scope: Column | None
         return value if scope is None else F.concat(scope, F.lit("-"), value)
 
     def pick(iri: Column, blank: Column, otherwise: Column) -> Column:
-        return F.when(iri != "", unescape(iri)).when(blank != "", label(blank)).otherwise(otherwise)
+        return F.when(iri != "", iri).when(blank != "", label(blank)).otherwise(otherwise)
 
     is_literal = (o_iri == "") & (o_blank == "")
-    value = pick(o_iri, o_blank, unescape(text))
+    value = pick(o_iri, o_blank, text)
     # An undecodable escape (a code point out of range) makes the line malformed.
-    good = ok & value.isNotNull()
+    good = ok
+    for part in (s_iri, p, o_iri, text, dt, g_iri):
+        good = good & part.isNotNull()
     columns = {
         "s": pick(s_iri, s_blank, null()),
         "s_kind": F.when(s_iri != "", IRI).otherwise(BNODE),
-        "p": unescape(p),
+        "p": p,
         "o": value,
         "o_kind": F.when(o_iri != "", IRI).when(o_blank != "", BNODE).otherwise(LITERAL),
-        "o_dt": F.when(is_literal, F.when(dt != "", unescape(dt)).when(lang != "", LANG_STRING).otherwise(XSD_STRING)),
+        "o_dt": F.when(is_literal, F.when(dt != "", dt).when(lang != "", LANG_STRING).otherwise(XSD_STRING)),
         "o_lang": F.when(is_literal & (lang != ""), F.lower(lang)),
         "g": pick(g_iri, F.lit(""), F.when(g_blank != "", F.concat(F.lit("_:"), label(g_blank)))),
     }
