@@ -142,12 +142,12 @@ def s3_json_sequence(spark, sf):
 
 @query("s3_json_array", "SELECT s_name, s_nationkey::BIGINT AS s_nationkey FROM supplier")
 def s3_json_array(spark, sf):
-    """One array per file; the files are cut by the writer."""
+    """One array per file, of a block of keys: an array is bounded, however many there are."""
     path = scratch_path(spark, "json")
-    rows = table(spark, sf, "supplier").select("s_name", "s_nationkey", F.spark_partition_id().alias("file"))
-    arrays = rows.groupBy("file").agg(F.to_json(F.collect_list(F.struct("s_name", "s_nationkey"))).alias("value"))
-    arrays.select("value").write.text(path)
-    return read_json_source(spark, path, "array", "s_name string, s_nationkey bigint")
+    rows = table(spark, sf, "supplier").select("s_name", "s_nationkey", F.floor(F.col("s_suppkey") / 10_000).alias("block"))
+    arrays = rows.groupBy("block").agg(F.to_json(F.collect_list(F.struct("s_name", "s_nationkey"))).alias("value"))
+    arrays.repartition("block").write.partitionBy("block").text(path)
+    return read_json_source(spark, path, "array", "s_name string, s_nationkey bigint").drop("block")
 
 
 @query("s4_xml_rows", "SELECT c_custkey::BIGINT AS c_custkey, c_name FROM customer")
