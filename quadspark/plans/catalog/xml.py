@@ -44,7 +44,7 @@ def q9_xml_unnest(spark, sf):
 
 @query("q10_xml_path", """
 SELECT c_custkey, 'http://example.org/licence/' || lower(c_mktsegment) AS licence,
-  CASE WHEN c_acctbal > 0 THEN 'http://example.org/u/' || c_custkey END AS url, NULL AS missing FROM customer
+  CASE WHEN c_acctbal > 0 THEN 'http://example.org/u/' || c_custkey END AS url, CAST(NULL AS VARCHAR) AS missing FROM customer
 """)
 def q10_xml_path(spark, sf):
     xml = F.col("xml")

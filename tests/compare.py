@@ -31,7 +31,7 @@ def difference(df, con, sql: str) -> str | None:
     duck_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
     same = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
     for n in names:
-        if same.get(spark_types[n]) != duck_types[n] and duck_types[n] != '"NULL"' and duck_types[n] != "INTEGER":
+        if same.get(spark_types[n]) != duck_types[n]:
             return f"type of {n}: {spark_types[n]} and {duck_types[n]}"
     ours = Counter(tuple(row[n] for n in names) for row in df.collect())
     order = [relation.columns.index(n) for n in names]
