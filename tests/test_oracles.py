@@ -6,9 +6,9 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as spark_entry
+from quadspark.plans.registry import QUERIES, SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def con():
 
 
 def test_sql_belongs_to_queries():
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"v1_void_dataset_approx"}
 
