@@ -8,9 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadspark.llm.forest import near_duplicates
+from quadspark.llm.mixing import mix
+from quadspark.llm.packing import packed
 from quadspark.llm.repetition import repetition
 from quadspark.llm.substring import removed_words, remove_repeats
 from quadspark.llm.tables import read
+from quadspark.llm.toxicity import scored
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer that the packing query counts with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,18 +29,37 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
 def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op7_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    own = F.col("takes")[0]
+    return mix(documents, F.array("source")).select(
+        "doc_id", "size", own["source_size"].alias("source_size"), own["target"].alias("target"), "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_toxicity": op2_toxicity,
     "op6_minhash_forest": op6_minhash_forest,
+    "op7_genetic_packing": op7_genetic_packing,
     "op9_repetition": op9_repetition,
+    "op10_flow_mixing": op10_flow_mixing,
 }
 SQL: dict[str, str] = {}

@@ -26,11 +26,13 @@ same id; columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ from quadspark.llm.words import Words, covered, slices, sliding_min, texts
 
 WINDOW = 50
 ANCHOR_WORDS = 10
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -132,10 +135,14 @@ def _cut(window: int):
     return run
 
 
-def remove_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR_WORDS) -> DataFrame:
-    """Per document doc_id, n_words, spans (removed word ranges) and kept_text.
+def _crc(text: Column) -> Column:
+    return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
 
-    kept_text has the remaining words, joined by one space.
+
+def repeated_windows(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR_WORDS) -> DataFrame:
+    """Per document with repeated windows its doc_id, the checksum of its text, and rows of such windows.
+
+    Column ``found`` has (start, n): n windows from the word ``start`` on.
     """
     if not 0 < anchor <= window:
         raise ValueError("an anchor has from one word up to a window")
@@ -160,8 +167,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANC
     ).where("factor or mixed"), "llm-judged")
     release(spark)
 
-    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    keyed = source.withColumn("crc", crc)
+    keyed = source.withColumn("crc", _crc(F.col("text")))
     edges = judged.where("not factor").groupBy(*key).agg(F.collect_list(F.struct("start", "n", "anchor")).alias("runs"))
     windows = stored(keyed.join(edges, key).select(*key, "text", "runs").mapInArrow(
         _window_hashes(window), "anchor long, w long, doc_id long, crc long, start int"), "llm-windows")
@@ -172,9 +178,50 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANC
     found = judged.where("factor").select(*key, "start", "n").unionByName(single)
     lists = stored(found.groupBy(*key).agg(F.collect_list(F.struct("start", "n")).alias("found")), "llm-found")
     release(spark)
-    return keyed.join(lists, key, "left").select("doc_id", "text", "found").mapInArrow(
+    return lists
+
+
+def remove_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR_WORDS) -> DataFrame:
+    """Per document doc_id, n_words, spans (removed word ranges) and kept_text.
+
+    kept_text has the remaining words, joined by one space.
+    """
+    lists = repeated_windows(documents, window, anchor)
+    keyed = doc_texts(documents).withColumn("crc", _crc(F.col("text")))
+    return keyed.join(lists, ["doc_id", "crc"], "left").select("doc_id", "text", "found").mapInArrow(
         _cut(window), "doc_id long, n_words long, spans array<struct<start:int,end:int>>, kept_text string")
 
 
+def cut_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR_WORDS) -> DataFrame:
+    """The documents, with all columns, without their repeated passages.
+
+    White space between the words that stay is left as it is.  Documents of
+    which no word is left go; those that had none stay.
+    """
+    lists = repeated_windows(documents, window, anchor)
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            new, stay = [], []
+            for text, found in zip(texts(batch), batch.column("_found").to_pylist(), strict=True):
+                if found:
+                    place = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+                    spans = _spans([text], [found], window)[0][0]
+                    edge = [0, *(place[x] for s in spans for x in (s["start"], s["end"])), len(text)]
+                    text = b"".join(text[a:b] for a, b in zip(edge[::2], edge[1::2], strict=True))
+                stay.append(not found or bool(text.strip()))
+                new.append(text)
+            cut = pa.array(new, pa.binary()).cast(pa.string())
+            cut = pc.if_else(batch.column("text").is_null(), pa.scalar(None, pa.string()), cut)
+            columns = [cut if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(stay, pa.bool_()))
+
+    keyed = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long"),
+                             _crc(F.col("text").cast("string")).alias("crc"))
+    joined = keyed.join(lists, ["doc_id", "crc"], "left").select("row.*", F.col("found").alias("_found"))
+    return joined.mapInArrow(run, documents.schema)
+
+
 def removed_words(spans: str = "spans") -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
