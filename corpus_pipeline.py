@@ -4,30 +4,67 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadspark.llm.forest import near_duplicates
-from quadspark.llm.tables import stored
+from quadspark.llm.mixing import mixed
+from quadspark.llm.packing import packed
+from quadspark.llm.queries import tokenizer_path
+from quadspark.llm.substring import cut_repeats
+from quadspark.llm.tables import read, stored
+from quadspark.llm.toxicity import held_out, train, without_toxic
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it is trained on the labels that are not held out."""
+    labels = read(spark, sf_dir, "labels")
+    return without_toxic(docs, train(docs, labels.where(~held_out(F.col("doc_id")))))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the least id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates()
+    """One document of each group of near copies stays: that with the least id.
+
+    Rows without an id stay; of rows that share an id, that with the least text.
+    """
+    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    known = docs.join(stored(kept, "pipeline-kept"), "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.md5("text"), *(c for c in docs.columns if c != "doc_id"))
+    rows = known.select(F.struct(*docs.columns).alias("row"), F.row_number().over(first).alias("place"))
+    return rows.where("place = 1").select("row.*").unionByName(docs.where("doc_id is null"))
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document has go."""
+    cut = cut_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out so that sources have their target weights."""
+    return mixed(docs, F.array("source"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every document's tokens stand in which training sequence."""
+    return packed(docs, tokenizer_path())
 
 
 #: Each is given what its predecessor has kept.
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("near duplicates", drop_near_duplicates),
+    ("repeated passages", cut_repeated_passages),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
-#: MinHash, training and packing have no SQL; tests compare with brute force.
+#: Training, MinHash and packing have no SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number + 1 < len(STAGES):
