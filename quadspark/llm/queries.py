@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadspark.llm.arc import archive_pages
 from quadspark.llm.forest import near_duplicates
+from quadspark.llm.linkgraph import RULES, filter_urls
 from quadspark.llm.mixing import mix
 from quadspark.llm.packing import packed
 from quadspark.llm.repetition import repetition
+from quadspark.llm.rotation import near_vectors
+from quadspark.llm.sharding import shard
 from quadspark.llm.substring import removed_words, remove_repeats
 from quadspark.llm.tables import read
 from quadspark.llm.toxicity import scored
@@ -34,6 +38,19 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
 
 
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(read(spark, sf_dir, "pages"))
+
+
+def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op5_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
+    return filter_urls(read(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85)
 
@@ -42,6 +59,12 @@ def op7_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "vslot")
+
+
 def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,8 +80,12 @@ def op10_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_arc_to_warc": op3_arc_to_warc,
+    "op4_rotated_codes": op4_rotated_codes,
+    "op5_link_graph": op5_link_graph,
     "op6_minhash_forest": op6_minhash_forest,
     "op7_genetic_packing": op7_genetic_packing,
+    "op8_virtual_slots": op8_virtual_slots,
     "op9_repetition": op9_repetition,
     "op10_flow_mixing": op10_flow_mixing,
 }
