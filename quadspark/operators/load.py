@@ -1,22 +1,28 @@
 """Load many files into named graphs, once each.
 
-The load state is a table ``(source, graphs, length, modified, loaded_at)``.
-Data is written before the state, so a failed load is repeated and never lost.
+The load state is a table ``(source, graphs, length, modified, loaded_at, targets,
+load)``.  Data is written before the state, so a failed load is repeated and
+never lost.  A file is loaded as a whole or not at all: one with a malformed line
+ends the load, or is left pending and its malformed lines are kept in a table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadspark.functions.terms import BNODE, IRI, LITERAL, QUAD_COLUMNS, XSD_STRING, null
-from quadspark.sinks.rdf import publish_if_changed, read_quad_table, save, write_quad_table
-from quadspark.sources.rdf import scan_rdf_lines
+from quadspark.sinks.rdf import publish_if_changed, save, write_quad_table
+from quadspark.sources.rdf import accepted, scan_rdf_lines, scan_trig_blocks
 from quadspark.sources.storage import path_exists
 
-STATE_SCHEMA = "source string, graphs array<string>, length bigint, modified timestamp, loaded_at timestamp"
+STATE_SCHEMA = ("source string, graphs array<string>, length bigint, modified timestamp, loaded_at timestamp, "
+                "targets array<string>, load bigint")
 
-MAX_BROADCAST_PATH_CHARS = 100_000_000
+# Types in the block layout, and types that nothing here parses (codec suffixes aside).
+BLOCK_TYPES, UNPARSED_TYPES = ("trig",), ("owl", "rdf", "jsonld")
 
 # Vocabulary and subject of the load state as triples.
 STATE_NS = "http://www.example.org/"
@@ -68,34 +74,53 @@ def pending(
     return todo.join(done, on, "left_anti")
 
 
-def load_all(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+def _base_type() -> Column:
+    return F.element_at(F.split(F.regexp_replace("type", r"\.(?:gz|bz2)$", ""), r"\."), -1)
+
+
+def scan_all(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """Quads and malformed lines of all files of a manifest, with ``source`` and the graph ``target``.
+
+    Only the paths go through the driver, as in every file scan.
+    """
+    kinds = manifest.select("source", _base_type().alias("kind")).distinct()
+    paths: dict[bool, list[str]] = {True: [], False: []}
+    for row in kinds.toLocalIterator():
+        if row.kind in UNPARSED_TYPES:
+            raise ValueError(f"no parser for type {row.kind}: {row.source}")
+        paths[row.kind in BLOCK_TYPES].append(row.source)
+    columns = ["source", *QUAD_COLUMNS, "reject"]
+    parts = []
+    if paths[False]:
+        parts.append(scan_rdf_lines(spark, paths[False]).select(*columns))
+    if paths[True]:
+        parts.append(scan_trig_blocks(spark, paths[True]).select(*columns))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*columns, "target"]))
+    graphs = manifest.select(F.col("source").alias("__source"), F.col("g").alias("target"))
+    placed = reduce(DataFrame.unionByName, parts).join(graphs, F.col("source") == F.col("__source"))
+    return placed.withColumn("g", F.coalesce("target", "g")).select(*columns, "target")
+
+
+def load_all(spark: SparkSession, manifest: DataFrame, on_reject: str = "fail") -> DataFrame:
     """Quads of all files of a manifest, each in its graph, as one scan.
 
-    Only the paths go through the driver, as in every file scan.  A file whose
-    manifest row names no graph keeps the graph names of its quads.
+    A file whose manifest row names no graph keeps the graph names of its quads.
     """
-    paths = [row.source for row in manifest.select("source").distinct().toLocalIterator()]
-    # The manifest is broadcast while its paths stay within a known size, so that the quads are not shuffled.
-    small = sum(map(len, paths)) <= MAX_BROADCAST_PATH_CHARS
-    if not paths:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*QUAD_COLUMNS, "source"]))
-    quads = scan_rdf_lines(spark, paths).filter(F.col("reject").isNull())
-    graphs = manifest.select(F.col("source").alias("__source"), F.col("g").alias("__g"))
-    placed = quads.join(F.broadcast(graphs) if small else graphs, F.col("source") == F.col("__source"))
-    g = F.coalesce(F.col("__g"), F.col("g"))
-    return placed.select(*QUAD_COLUMNS[:-1], g.alias("g"), "source")
-
-
-def state_rows(loaded: DataFrame) -> DataFrame:
-    """State of loaded manifest rows; the default graph leaves the list empty."""
+    return accepted(scan_all(spark, manifest), on_reject).select(*QUAD_COLUMNS, "source")
+
+
+def state_rows(loaded: DataFrame, number: int = 0) -> DataFrame:
+    """State of loaded manifest rows; the default graph leaves ``graphs`` empty and is an empty target."""
     return loaded.groupBy("source").agg(
         F.sort_array(F.collect_set("g")).alias("graphs"), F.max("length").alias("length"),
-        F.max("modified").alias("modified"), F.current_timestamp().alias("loaded_at"))
+        F.max("modified").alias("modified"), F.current_timestamp().alias("loaded_at"),
+        F.collect_set(F.coalesce("g", F.lit(""))).alias("targets"), F.lit(number).cast("bigint").alias("load"))
 
 
-def record_load(loaded: DataFrame, path: str) -> None:
+def record_load(loaded: DataFrame, path: str, number: int = 0) -> None:
     """Append the loaded manifest rows to the state table."""
-    state_rows(loaded).write.mode("append").parquet(path)
+    state_rows(loaded, number).write.mode("append").parquet(path)
 
 
 def load_state_triples(load_state: DataFrame) -> DataFrame:
@@ -117,31 +142,61 @@ def load_state_triples(load_state: DataFrame) -> DataFrame:
     return load_state.select(F.inline(F.concat(fixed, graphs))).dropDuplicates()
 
 
-def read_loaded(spark: SparkSession, table: str) -> DataFrame:
-    """The loaded dataset as a set; several loads may have brought the same quad."""
-    return read_quad_table(spark, table).dropDuplicates()
+def read_loaded(spark: SparkSession, table: str, state: str) -> DataFrame:
+    """The loaded dataset as a set: of each file and graph, what the latest load has brought."""
+    columns = [*QUAD_COLUMNS, "p_key", "source", "target"]
+    schema = ", ".join(f"{c} string" for c in columns) + ", load bigint"
+    if not path_exists(spark, table):
+        return spark.createDataFrame([], schema).select(*columns[:-2])
+    latest = read_load_state(spark, state).select(
+        F.col("source").alias("__source"), F.explode("targets").alias("__target"), "load").groupBy(
+        "__source", "__target").agg(F.max("load").alias("__load"))
+    rows = spark.read.schema(schema).parquet(table)
+    current = (F.col("source") == F.col("__source")) & (F.coalesce("target", F.lit("")) == F.col("__target")) & (
+        F.col("load") == F.col("__load"))
+    return rows.join(latest, current, "left_semi").select(*columns[:-2]).dropDuplicates()
+
+
+def read_kept_rejects(spark: SparkSession, table: str) -> DataFrame:
+    """Malformed lines (load, source, reject) of files that ``on_reject="keep"`` has left pending."""
+    return spark.read.schema("source string, reject string, load bigint").parquet(f"{table}_rejects")
 
 
 def run_load(
     spark: SparkSession, manifest: DataFrame, table: str, state: str, published: str | None = None,
-    key: str = "source", fingerprint: bool = False,
+    key: str = "source", fingerprint: bool = False, on_reject: str = "fail",
 ) -> int:
-    """Load the pending files into a quad table; returns how many there were.
+    """Load the pending files into a quad table; returns how many were loaded.
 
-    Each run writes its own part of the table, named by the sources it holds: a
-    repeated run after a failure overwrites that part.
+    Each run writes its own numbered part of the table: a repeated run after a
+    failure has the same number and overwrites that part.  With
+    ``on_reject="keep"``, files with malformed lines stay pending.
     """
-    todo = pending(manifest, read_load_state(spark, state), key, fingerprint)
+    if on_reject not in ("fail", "keep"):
+        raise ValueError("on_reject is 'fail' or 'keep'")
+    known = read_load_state(spark, state)
+    todo = pending(manifest, known, key, fingerprint)
     part_state = f"{state}_pending"
     save(todo, part_state, "OVERWRITE")
     todo = spark.read.schema(todo.schema).parquet(part_state)
-    summary = todo.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("source", F.coalesce("g", F.lit(""))).cast("decimal(38,0)")).alias("h")).first()
-    if summary.n:
-        batch = format(int(summary.h) % 2**64, "016x")
-        write_quad_table(load_all(spark, todo).drop("source"), f"{table}/load={batch}", "OVERWRITE")
-        record_load(todo, state)
+    count = todo.count()
+    if count:
+        number = (known.agg(F.max("load")).first()[0] or 0) + 1
+        part, extra = f"{table}/load={number}", ("source", "target")
+        scanned = scan_all(spark, todo)
+        if on_reject == "fail":
+            write_quad_table(accepted(scanned), part, "OVERWRITE", extra=extra)
+        else:
+            staged = f"{table}_staged"
+            save(scanned, staged, "OVERWRITE")
+            scanned = spark.read.schema(scanned.schema).parquet(staged)
+            rejects = scanned.filter(F.col("reject").isNotNull()).select("source", "reject")
+            save(rejects, f"{table}_rejects/load={number}", "OVERWRITE")
+            bad = rejects.select("source").distinct()
+            write_quad_table(scanned.join(bad, "source", "left_anti"), part, "OVERWRITE", extra=extra)
+            todo = todo.join(bad, "source", "left_anti")
+            count = todo.count()
+        record_load(todo, state, number)
     if published is not None:
-        publish_if_changed(spark, read_loaded(spark, table).select(*QUAD_COLUMNS), published, summary.n > 0)
-    return summary.n
+        publish_if_changed(spark, read_loaded(spark, table, state).select(*QUAD_COLUMNS), published, count > 0)
+    return count

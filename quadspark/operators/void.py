@@ -55,11 +55,11 @@ def void_dataset(graph, approx: bool = False) -> DataFrame:
 
 
 def types(graph) -> DataFrame:
-    """Distinct (subject, class) pairs, partitioned by subject for a join on it."""
+    """Distinct (subject, class) pairs."""
     typed = _quads(graph, {RDF_TYPE}).filter((F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI))
     pairs = typed.select(F.col("s").alias("inst"), F.col("o").alias("class"))
-    # Pairs of a subject meet in one partition, which serves both the distinct and the join.
-    return pairs.repartition("inst").dropDuplicates()
+    # A join adds an exchange of its own behind the distinct, so that hot subjects can be split.
+    return pairs.dropDuplicates()
 
 
 def void_classes(graph) -> DataFrame:

@@ -6,10 +6,10 @@ the oracles state the result on the tables.
 
 from pyspark.sql import functions as F
 
-from quadspark.functions.terms import XSD_INTEGER
+from quadspark.functions.terms import BNODE, XSD_INTEGER
 from quadspark.operators import load
 from quadspark.operators.graphs import into_graph
-from quadspark.operators.mapping import TriplesMap, apply_mapping, pom, reference
+from quadspark.operators.mapping import TriplesMap, apply_mapping, apply_mappings, pom, reference, template
 from quadspark.operators.patterns import match
 from quadspark.plans.catalog.statistics import document_graph
 from quadspark.plans.registry import query, spread_table, table
@@ -228,12 +228,61 @@ def k2_s9_trig_blocks(spark, sf):
     docs = apply_mapping(spread_table(spark, sf, "documents", "doc_id"), TriplesMap(
         "documents", node("doc", "doc_id"), [pom(EX + "text", "text")]))
     path = scratch_path(spark, "blocks")
-    write_trig_blocks(into_graph(status, F.col("cust")).unionByName(docs), path, block_triples=200)
+    write_trig_blocks(into_graph(status, F.col("cust")).unionByName(docs), path, block_chars=20_000)
     back = read_trig_blocks(spark, path)
     text = F.when(F.col("p") == EX + "text", F.md5("o")).otherwise(F.col("o"))
     return back.select("s", text.alias("o"), "g")
 
 
+def _accounts(spark, sf):
+    """Customers with a blank account, which has the name; dealt at random over many files."""
+    accounts = TriplesMap("customer", node("customer", "c_custkey"), [pom(EX + "account", template("account {c_custkey}%", BNODE))])
+    names = TriplesMap("customer", template("account {c_custkey}%", BNODE), [pom(EX + "label", "c_name")])
+    quads = apply_mappings({"customer": table(spark, sf, "customer")}, [accounts, names])
+    return quads.repartition(8, "o")
+
+
+def _followed(quads):
+    """Customers and the names of their accounts."""
+    account = quads.filter(F.col("p") == EX + "account").select("s", F.col("o").alias("account"))
+    label = quads.filter(F.col("p") == EX + "label").select(F.col("s").alias("account"), F.col("o").alias("name"))
+    return account.join(label, "account").select("s", "name")
+
+
+_ACCOUNT_NAMES = "SELECT 'http://example.org/customer/' || c_custkey AS s, c_name AS name FROM customer"
+
+
+@query("k1_blank_links", _ACCOUNT_NAMES)
+def k1_blank_links(spark, sf):
+    """Blank nodes link triples of different part files, and their labels need encoding."""
+    path = scratch_path(spark, "blank")
+    write_rdf(_accounts(spark, sf), path, output_format="nt")
+    return _followed(read_rdf_lines(spark, path))
+
+
+@query("k2_blank_links", _ACCOUNT_NAMES)
+def k2_blank_links(spark, sf):
+    path = scratch_path(spark, "blank")
+    write_trig_blocks(into_graph(_accounts(spark, sf), EX + "accounts"), path, block_chars=20_000)
+    return _followed(read_trig_blocks(spark, path))
+
+
+@query("k1_iri_escapes", """
+SELECT 'http://example.org/' || p_name || ' "' || p_type || '"\{' || p_partkey || '}' AS s, p_brand AS o FROM part
+""")
+def k1_iri_escapes(spark, sf):
+    """Names that an IRI cannot hold as they are come back unchanged."""
+    part = table(spark, sf, "part")
+    name = F.concat(F.lit(EX), "p_name", F.lit(' "'), "p_type", F.lit('"\\{'), "p_partkey", F.lit("}"))
+    quads = part.select(
+        name.alias("s"), F.lit("iri").alias("s_kind"), F.lit(EX + "brand").alias("p"), F.col("p_brand").alias("o"),
+        F.lit("literal").alias("o_kind"), F.lit("http://www.w3.org/2001/XMLSchema#string").alias("o_dt"),
+        F.lit(None).cast("string").alias("o_lang"), F.lit(None).cast("string").alias("g"))
+    path = scratch_path(spark, "escaped")
+    write_rdf(quads, path, output_format="nt")
+    return read_rdf_lines(spark, path).select("s", "o")
+
+
 # --- K3 - K6 ---------------------------------------------------------------------------
 
 @query("k3_save", "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0")
@@ -337,6 +386,63 @@ def l3_run_load(spark, sf):
     return spark.read.parquet(f"{place}/published").select("g", "o")
 
 
+def _nation_files(spark, lines, root):
+    """Write lines (nation, value) as one file per nation; there are 25 nations."""
+    staged = scratch_path(spark, "nations")
+    lines.repartition("nation").write.partitionBy("nation").text(staged)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(root))
+    for status in system.globStatus(path(f"{staged}/nation=*/part-*")):
+        target = path(f"{root}/{status.getPath().getParent().getName().removeprefix('nation=')}.nt")
+        system.delete(target, False)
+        system.rename(status.getPath(), target)
+
+
+def _nation_graph():
+    return F.concat(F.lit(EX + "nation/"), F.regexp_extract("path", r"/(\d+)\.nt$", 1))
+
+
+@query("l3_rejects", """
+SELECT 'http://example.org/nation/' || s_nationkey AS g, count(*) FILTER (s_acctbal < 0) AS rejects,
+  CASE WHEN count(*) FILTER (s_acctbal < 0) = 0 THEN count(*) ELSE 0 END AS loaded
+FROM supplier GROUP BY s_nationkey
+""")
+def l3_rejects(spark, sf):
+    """Suppliers in debt are malformed lines: their nations' files stay pending, and the lines are kept."""
+    supplier = table(spark, sf, "supplier")
+    good = F.concat(F.lit(f"<{EX}supplier/"), "s_suppkey", F.lit(f"> <{EX}name> \""), "s_name", F.lit('" .'))
+    lines = supplier.select(
+        F.col("s_nationkey").alias("nation"), F.when(F.col("s_acctbal") < 0, F.concat(F.lit("@prefix "), good)).otherwise(good).alias("value"))
+    root, place = scratch_path(spark, "incoming"), scratch_path(spark, "store")
+    _nation_files(spark, lines, root)
+    manifest = list_sources(spark, root, graph=_nation_graph())
+    load.run_load(spark, manifest, f"{place}/table", f"{place}/state", on_reject="keep")
+    files = manifest.select("source", "g")
+    rejects = load.read_kept_rejects(spark, f"{place}/table").groupBy("source").agg(F.count(F.lit(1)).alias("rejects"))
+    quads = load.read_loaded(spark, f"{place}/table", f"{place}/state").groupBy("g").agg(F.count(F.lit(1)).alias("loaded"))
+    return files.join(rejects, "source", "left").join(quads, "g", "left").select(
+        "g", F.coalesce("rejects", F.lit(0)).cast("bigint").alias("rejects"),
+        F.coalesce("loaded", F.lit(0)).cast("bigint").alias("loaded"))
+
+
+@query("l3_reload_changed", """
+SELECT 'http://example.org/nation/' || c_nationkey AS g, c_name AS o FROM customer WHERE c_acctbal >= 0
+""")
+def l3_reload_changed(spark, sf):
+    """Files are loaded, then written again without some lines, and loaded again."""
+    customer = table(spark, sf, "customer")
+    line = F.concat(F.lit(f"<{EX}customer/"), "c_custkey", F.lit(f"> <{EX}name> \""), "c_name", F.lit('" .'))
+    root, place = scratch_path(spark, "incoming"), scratch_path(spark, "store")
+    for rows in (customer, customer.filter("c_acctbal >= 0")):
+        # A comment keeps files of nations that have no line left.
+        first = customer.select(F.col("c_nationkey").alias("nation"), F.lit("# names").alias("value")).distinct()
+        _nation_files(spark, first.unionByName(rows.select(F.col("c_nationkey").alias("nation"), line.alias("value"))), root)
+        manifest = list_sources(spark, root, graph=_nation_graph())
+        load.run_load(spark, manifest, f"{place}/table", f"{place}/state", fingerprint=True)
+    return load.read_loaded(spark, f"{place}/table", f"{place}/state").select("g", "o")
+
+
 def _page_manifest(spark, sf):
     return table(spark, sf, "pages").select(
         F.col("url").alias("source"), F.lit("page").alias("type"), F.concat(F.lit(EX + "page/"), "page_id").alias("g"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ _MODES = {"ERROR": "errorifexists", "OVERWRITE": "overwrite", "SKIP": "ignore"}
 _CODECS = {"gz": "gzip", "gzip": "gzip", "bz2": "bzip2", "zst": "zstd", "deflate": "deflate"}
 _FORMATS = ("nt", "nq", "ttl", "trig")
 DEFAULT_FORMAT = "trig"
-# Triples per graph block: bounds the row that holds a block.
-BLOCK_TRIPLES = 10_000
+# Characters of a graph block's lines, about: bounds the row that holds a block.
+BLOCK_CHARS = 4_000_000
 
 
 def writer_mode(mode: str) -> str:
@@ -57,8 +59,26 @@ def escape(value: Column) -> Column:
     return F.when(value.rlike(r'["\\\n\r]'), escaped).otherwise(value)
 
 
+# Characters that an IRI cannot hold in a line, and labels that need no change.
+_NOT_IRI = r'[\x00-\x20<>"{}|^`\\]'
+_LABEL = r"^(?!hex-)[\p{L}\p{N}_](?:[\p{L}\p{N}_\-·.]*[\p{L}\p{N}_\-·])?$"
+
+
+def escape_iri(value: Column) -> Column:
+    """Characters that an IRI cannot hold become numeric escapes, which every reader decodes."""
+    escaped = F.array_join(F.transform(F.split(value, ""), lambda c: F.when(
+        c.rlike(_NOT_IRI), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(c)), 4, "0"))).otherwise(c)), "")
+    return F.when(value.rlike(_NOT_IRI), escaped).otherwise(value)
+
+
+def blank_label(value: Column) -> Column:
+    """A label of legal characters; other labels become their bytes in hexadecimal form, so none coincide."""
+    return F.when(value.rlike(_LABEL), value).otherwise(F.concat(F.lit("hex-"), F.hex(F.encode(value, "UTF-8"))))
+
+
 def _resource(value: Column, kind: Column) -> Column:
-    return F.when(kind == IRI, F.concat(F.lit("<"), value, F.lit(">"))).otherwise(F.concat(F.lit("_:"), value))
+    return F.when(kind == IRI, F.concat(F.lit("<"), escape_iri(value), F.lit(">"))).otherwise(
+        F.concat(F.lit("_:"), blank_label(value)))
 
 
 def term_line(df: DataFrame, with_graph: bool) -> Column:
@@ -66,11 +86,11 @@ def term_line(df: DataFrame, with_graph: bool) -> Column:
     suffix = (
         F.when(F.col("o_lang").isNotNull() & (F.col("o_dt") == LANG_STRING), F.concat(F.lit("@"), "o_lang"))
         .when(F.col("o_dt") == XSD_STRING, F.lit(""))
-        .otherwise(F.concat(F.lit("^^<"), "o_dt", F.lit(">")))
+        .otherwise(F.concat(F.lit("^^<"), escape_iri(F.col("o_dt")), F.lit(">")))
     )
     literal = F.concat(F.lit('"'), escape(F.col("o")), F.lit('"'), suffix)
     obj = F.when(F.col("o_kind") == LITERAL, literal).otherwise(_resource(F.col("o"), F.col("o_kind")))
-    parts = [_resource(F.col("s"), F.col("s_kind")), F.concat(F.lit("<"), "p", F.lit(">")), obj]
+    parts = [_resource(F.col("s"), F.col("s_kind")), F.concat(F.lit("<"), escape_iri(F.col("p")), F.lit(">")), obj]
     if with_graph:
         parts.append(graph_token(F.col("g")))
     return F.concat_ws(" ", *parts, F.lit("."))
@@ -78,7 +98,9 @@ def term_line(df: DataFrame, with_graph: bool) -> Column:
 
 def graph_token(g: Column) -> Column:
     """A graph name; blank ones are stored with their ``_:`` mark.  Null for the default graph."""
-    return F.when(F.startswith(g, F.lit("_:")), g).when(g.isNotNull(), F.concat(F.lit("<"), g, F.lit(">")))
+    label = F.concat(F.lit("_:"), blank_label(F.substring(g, 3, 2**31 - 1)))
+    return F.when(F.startswith(g, F.lit("_:")), label).when(
+        g.isNotNull(), F.concat(F.lit("<"), escape_iri(g), F.lit(">")))
 
 
 def write_rdf(
@@ -104,22 +126,23 @@ def _write_text(lines: DataFrame, path: str, mode: str, codec: str | None, **opt
 
 
 def write_trig_blocks(
-    df: DataFrame, path: str, mode: str = "ERROR", codec: str | None = None, block_triples: int = BLOCK_TRIPLES
+    df: DataFrame, path: str, mode: str = "ERROR", codec: str | None = None, block_chars: int = BLOCK_CHARS
 ) -> None:
     """Write one block per named graph; a graph name may head several blocks.
 
-    Graphs beyond ``block_triples`` are cut into blocks of about that size by a
+    Graphs beyond ``block_chars`` are cut into blocks of about that size by a
     hash of the triple, so that a graph of any size is spread over all tasks.
     Copies of a triple collapse before the shuffle.
     """
-    _write_text(trig_blocks(df, block_triples), path, mode, codec, lineSep="\n}\n")
+    _write_text(trig_blocks(df, block_chars), path, mode, codec, lineSep="\n}\n")
 
 
-def trig_blocks(df: DataFrame, block_triples: int = BLOCK_TRIPLES) -> DataFrame:
+def trig_blocks(df: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     quads = as_quads(df)
     rows = quads.select("g", term_line(quads, False).alias("line"))
-    large = rows.groupBy("g").count().filter(F.col("count") > block_triples).select(
-        F.col("g").alias("__g"), F.ceil(F.col("count") / block_triples).cast("int").alias("__blocks"))
+    sizes = rows.groupBy("g").agg(F.sum(F.length("line").cast("long")).alias("chars"))
+    large = sizes.filter(F.col("chars") > block_chars).select(
+        F.col("g").alias("__g"), F.ceil(F.col("chars") / block_chars).cast("int").alias("__blocks"))
     # The default graph is null and joins by null-safe equality.
     cut = rows.join(large, F.col("g").eqNullSafe(F.col("__g")), "left").select(
         "g", "line", F.coalesce(F.pmod(F.xxhash64("line"), F.col("__blocks")), F.lit(0)).alias("__block"))
@@ -129,7 +152,7 @@ def trig_blocks(df: DataFrame, block_triples: int = BLOCK_TRIPLES) -> DataFrame:
 
 
 def write_quad_table(
-    df: DataFrame, path: str, mode: str = "ERROR", partition_predicates: bool = False
+    df: DataFrame, path: str, mode: str = "ERROR", partition_predicates: bool = False, extra: Sequence[str] = ()
 ) -> None:
     """Store a graph as Parquet.
 
@@ -137,9 +160,9 @@ def write_quad_table(
     (predicate, subject, object), so one frequent predicate or subject spreads
     over many files and the column statistics let a scan skip files.
     ``partition_predicates`` also gives each predicate its folder; use it when
-    there are few of them.
+    there are few of them.  ``extra`` names further columns to keep.
     """
-    quads = as_quads(df).dropDuplicates().withColumn("p_key", predicate_key(F.col("p")))
+    quads = (df.select(*QUAD_COLUMNS, *extra) if extra else as_quads(df)).dropDuplicates().withColumn("p_key", predicate_key(F.col("p")))
     order = ["p", "s", "o", "g"]
     stored = quads.repartitionByRange(*order).sortWithinPartitions("p_key" if partition_predicates else "p", *order)
     writer = stored.write.mode(writer_mode(mode))

@@ -98,8 +98,24 @@ def parse_rdf_lines(lines: DataFrame, line: str = "value", scope: Column | None
         F.when(~good, F.col(line)).alias("reject"))
 
 
-def _scope() -> Column:
-    return F.substring(F.sha2(F.col("_metadata.file_path"), 256), 1, 12)
+def dataset_scope(path: Column | None = None) -> Column:
+    """What blank-node labels are local to: the file, or the folder that a Spark job has written it to."""
+    path = F.col("_metadata.file_path") if path is None else path
+    return F.substring(F.sha2(F.regexp_replace(path, r"/part-\d{5}-[^/]*$", ""), 256), 1, 12)
+
+
+def accepted(parsed: DataFrame, on_reject: str = "fail", source: str = "source") -> DataFrame:
+    """Parsed rows without malformed lines: these end the job (``fail``) or are left out (``skip``).
+
+    Who skips them reads them with ``read_rdf_rejects``.
+    """
+    good = F.col("reject").isNull()
+    if on_reject == "fail":
+        told = F.concat(F.lit("malformed line in "), F.col(source), F.lit(": "), F.left("reject", F.lit(200)))
+        good = F.when(good, F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))
+    elif on_reject != "skip":
+        raise ValueError("on_reject is 'fail' or 'skip'")
+    return parsed.filter(good)
 
 
 def scan_rdf_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -109,13 +125,13 @@ def scan_rdf_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("source"), _scope().alias("__scope"))
+        "value", F.col("_metadata.file_path").alias("source"), dataset_scope().alias("__scope"))
     return parse_rdf_lines(lines, scope=F.col("__scope")).drop("__scope")
 
 
-def read_rdf_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_rdf_lines(spark: SparkSession, paths: str | Sequence[str], on_reject: str = "fail") -> DataFrame:
     """Quads of N-Triples / N-Quads files, plain, ``.gz`` or ``.bz2``."""
-    return scan_rdf_lines(spark, paths).filter(F.col("reject").isNull()).select(*QUAD_COLUMNS)
+    return accepted(scan_rdf_lines(spark, paths), on_reject).select(*QUAD_COLUMNS)
 
 
 def read_rdf_rejects(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -123,8 +139,8 @@ def read_rdf_rejects(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     return scan_rdf_lines(spark, paths).filter(F.col("reject").isNotNull()).select("source", "reject")
 
 
-def read_trig_blocks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Quads from the block layout of ``sinks.rdf.write_trig_blocks``.
+def scan_trig_blocks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Quads, rejects and the file of each line of graph blocks.
 
     One row per block, so a block has to fit into a task; the writer bounds it.
     """
@@ -134,9 +150,15 @@ def read_trig_blocks(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     rows = blocks.select(
         F.regexp_extract("value", header, 1).alias("gi"),
         F.regexp_extract("value", header, 2).alias("gb"),
-        _scope().alias("__scope"),
+        F.col("_metadata.file_path").alias("source"), dataset_scope().alias("__scope"),
         F.explode(F.split(F.regexp_replace("value", header, ""), "\n")).alias("line"),
     )
-    parsed = parse_rdf_lines(rows, "line", F.col("__scope")).filter(F.col("reject").isNull())
-    graph = F.when(F.col("gi") != "", unescape(F.col("gi"))).when(F.col("gb") != "", F.col("gb"))
-    return parsed.withColumn("g", graph).select(*QUAD_COLUMNS)
+    parsed = parse_rdf_lines(rows, "line", F.col("__scope"))
+    label = F.concat(F.lit("_:"), F.col("__scope"), F.lit("-"), F.substring("gb", 3, 2**31 - 1))
+    graph = F.when(F.col("gi") != "", unescape(F.col("gi"))).when(F.col("gb") != "", label)
+    return parsed.withColumn("g", F.when(F.col("reject").isNull(), graph)).select("source", *QUAD_COLUMNS, "reject")
+
+
+def read_trig_blocks(spark: SparkSession, paths: str | Sequence[str], on_reject: str = "fail") -> DataFrame:
+    """Quads from the block layout of ``sinks.rdf.write_trig_blocks``."""
+    return accepted(scan_trig_blocks(spark, paths), on_reject).select(*QUAD_COLUMNS)

@@ -7,34 +7,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quadspark.functions.terms import QUAD_COLUMNS
-from quadspark.sinks.rdf import read_quad_table, write_quad_table
-from quadspark.sources.rdf import parse_rdf_lines
+from quadspark.sinks.rdf import read_quad_table, save, write_quad_table
+from quadspark.sources.rdf import accepted, dataset_scope, parse_rdf_lines
 from quadspark.sources.storage import path_exists
 
 
 def load_stream(
     spark: SparkSession, directory: str, table: str, checkpoint: str, graph: Column | None = None,
-    dedupe: bool = False,
+    dedupe: bool = False, on_reject: str = "fail", files_per_batch: int = 10_000,
 ) -> StreamingQuery:
     """Load the files of a folder that no earlier run has loaded, then stop.
 
     ``graph`` is computed from ``source`` (the file); without it the quads keep
     their graphs.  Each batch writes its own part of the table under its number,
     so a batch that is repeated after a failure replaces itself.  ``dedupe``
-    drops quads that earlier batches hold, at the price of reading them.
+    drops quads that earlier batches hold, at the price of reading them.  A
+    malformed line ends the stream, or, with ``on_reject="keep"``, goes to the
+    table ``<table>_rejects``.  A backlog is read ``files_per_batch`` at a time.
     """
-    lines = spark.readStream.text(directory).select(
-        "value", F.col("_metadata.file_path").alias("source"),
-        F.substring(F.sha2(F.col("_metadata.file_path"), 256), 1, 12).alias("__scope"))
-    parsed = parse_rdf_lines(lines, scope=F.col("__scope")).filter(F.col("reject").isNull())
+    if on_reject not in ("fail", "keep"):
+        raise ValueError("on_reject is 'fail' or 'keep'")
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(directory).select(
+        "value", F.col("_metadata.file_path").alias("source"), dataset_scope().alias("__scope"))
+    parsed = parse_rdf_lines(lines, scope=F.col("__scope"))
+    if on_reject == "fail":
+        parsed = accepted(parsed)
     target = F.col("g") if graph is None else F.coalesce(F.nullif(F.trim(graph), F.lit("")), F.col("g"))
-    quads = parsed.withColumn("g", target).select(*QUAD_COLUMNS)
+    quads = parsed.withColumn("g", target).select(*QUAD_COLUMNS, "source", "reject")
 
     def store(batch: DataFrame, number: int) -> None:
-        fresh = batch
+        if on_reject == "keep":
+            save(batch.filter(F.col("reject").isNotNull()).select("source", "reject"),
+                 f"{table}_rejects/batch={number}", "OVERWRITE")
+        fresh = batch.filter(F.col("reject").isNull()).select(*QUAD_COLUMNS)
         if dedupe and path_exists(batch.sparkSession, table):
             earlier = read_quad_table(batch.sparkSession, table, batches=True)
-            fresh = _missing(batch, earlier.filter(F.col("batch") != number))
+            fresh = _missing(fresh, earlier.filter(F.col("batch") != number))
         write_quad_table(fresh, f"{table}/batch={number}", "OVERWRITE")
 
     return (

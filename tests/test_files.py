@@ -91,9 +91,9 @@ def test_blocks_round_trip_and_are_bounded(spark, place):
         F.col("id").cast("string").alias("o"), F.lit("literal").alias("o_kind"), F.lit(XSD_STRING).alias("o_dt"),
         F.lit(None).cast("string").alias("o_lang"), F.lit("http://g/big").alias("g"))
     everything = df.unionByName(big).unionByName(big)
-    blocks = trig_blocks(everything, block_triples=100).select(F.size(F.split("value", "\n")).alias("n")).collect()
+    blocks = trig_blocks(everything, block_chars=5_000).select(F.size(F.split("value", "\n")).alias("n")).collect()
     assert len(blocks) > 50 and max(b.n for b in blocks) < 250
-    write_trig_blocks(everything, place + "/x", block_triples=100)
+    write_trig_blocks(everything, place + "/x", block_chars=5_000)
     assert as_set(read_trig_blocks(spark, place + "/x")) == as_set(everything)
 
 

@@ -203,3 +203,32 @@ def test_script_steps_see_earlier_files(spark, place):
     assert rows(out, "s") == {("http://s/one",), ("http://s/two",)} and out.count() == 2
     assert run_script(spark, [f"{place}/one.nt", copy, copy], distinct=False, share=False).count() == 2
     assert run_script(spark, []).count() == 0
+
+
+def test_a_hub_subject_is_split(spark):
+    """The join of triples with the classes of their subjects may be split where one subject has most triples."""
+    from quadspark.operators.void import class_partition
+
+    def quads(n, subject, p, o, kind):
+        return spark.range(n).select(
+            subject.alias("s"), F.lit("iri").alias("s_kind"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"),
+            F.lit(None).cast("string").alias("o_dt"), F.lit(None).cast("string").alias("o_lang"), F.lit(None).cast("string").alias("g"))
+
+    each = F.concat(F.lit("http://s/"), F.col("id"))
+    graph = quads(2000, each, RDF_TYPE, F.lit("http://C"), "iri").unionByName(
+        quads(60_000, F.lit("http://s/1"), "http://p", F.col("id").cast("string"), "literal")).unionByName(
+        quads(2000, each, "http://p", F.lit("x"), "literal"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = class_partition(graph)
+        assert [r.triples for r in found.collect()] == [64_000]
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

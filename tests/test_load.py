@@ -52,7 +52,7 @@ def run(spark, place, manifest, **options):
 
 
 def loaded(spark, place):
-    return {(r.s, r.g) for r in load.read_loaded(spark, f"{place}/table").collect()}
+    return {(r.s, r.g) for r in load.read_loaded(spark, f"{place}/table", f"{place}/state").collect()}
 
 
 def test_load_twice_loads_once(spark, place, tmp_path_factory):
@@ -111,3 +111,65 @@ def test_stream_loads_new_files_only(spark, place, tmp_path_factory):
         load_stream(spark, src, f"{place}/table", f"{place}/checkpoint", dedupe=True).awaitTermination()
     rows = read_quad_table(spark, f"{place}/table", batches=True).collect()
     assert sorted((r.s, r.batch) for r in rows) == [("http://s/1", 0), ("http://s/2", 0), ("http://s/3", 1)]
+
+
+def test_malformed_lines_end_a_load_or_are_kept(spark, place, tmp_path_factory):
+    src = str(tmp_path_factory.mktemp("src"))
+    write(src, "a.nt", 1)
+    write(src, "b.nt", 2)
+    with open(f"{src}/b.nt", "a") as f:
+        f.write("@prefix ex: <http://ex/> .\n")
+    manifest = list_sources(spark, src)
+    with pytest.raises(Exception, match="malformed line"):
+        run(spark, place, manifest)
+    assert load.read_load_state(spark, f"{place}/state").count() == 0
+    assert run(spark, place, manifest, on_reject="keep") == 1
+    assert loaded(spark, place) == {("http://s/1", None)}
+    assert [r.reject for r in load.read_kept_rejects(spark, f"{place}/table").collect()] == ["@prefix ex: <http://ex/> ."]
+    write(src, "b.nt", 2)
+    assert run(spark, place, list_sources(spark, src)) == 1
+    assert loaded(spark, place) == {("http://s/1", None), ("http://s/2", None)}
+    with pytest.raises(ValueError):
+        run(spark, place, manifest, on_reject="drop")
+
+
+def test_types_without_a_parser_are_refused(spark, place, tmp_path_factory):
+    src = str(tmp_path_factory.mktemp("src"))
+    write(src, "a.owl.gz", 1)
+    with pytest.raises(ValueError, match="owl"):
+        run(spark, place, list_sources(spark, src))
+
+
+def test_blocks_and_lines_load_together(spark, place, tmp_path_factory):
+    src = str(tmp_path_factory.mktemp("src"))
+    write(src, "a.nt", 1)
+    with open(f"{src}/b.trig", "w") as f:
+        f.write("<http://g> {\n<http://s/2> <http://p> <http://o> .\n}\n")
+    assert run(spark, place, list_sources(spark, src)) == 2
+    assert loaded(spark, place) == {("http://s/1", None), ("http://s/2", "http://g")}
+
+
+def test_reload_forgets_what_a_file_no_longer_has(spark, place, tmp_path_factory):
+    src = str(tmp_path_factory.mktemp("src"))
+    write(src, "a.nt", 1, 2)
+    write(src, "b.nt", 2, 3)
+    assert run(spark, place, list_sources(spark, src)) == 2
+    write(src, "a.nt", 1)
+    assert run(spark, place, list_sources(spark, src), fingerprint=True) == 1
+    assert loaded(spark, place) == {("http://s/1", None), ("http://s/2", None), ("http://s/3", None)}
+    write(src, "b.nt")
+    assert run(spark, place, list_sources(spark, src), fingerprint=True) == 1
+    assert loaded(spark, place) == {("http://s/1", None)}
+    assert spark.read.parquet(f"{place}/published").count() == 1
+
+
+def test_stream_keeps_malformed_lines(spark, place, tmp_path_factory):
+    src = str(tmp_path_factory.mktemp("src"))
+    write(src, "a.nt", 1)
+    with open(f"{src}/a.nt", "a") as f:
+        f.write("no triple\n")
+    with pytest.raises(Exception, match="malformed line"):
+        load_stream(spark, src, f"{place}/t1", f"{place}/c1").awaitTermination()
+    load_stream(spark, src, f"{place}/t2", f"{place}/c2", on_reject="keep").awaitTermination()
+    assert [r.s for r in read_quad_table(spark, f"{place}/t2").collect()] == ["http://s/1"]
+    assert [r.reject for r in spark.read.parquet(f"{place}/t2_rejects").collect()] == ["no triple"]

@@ -20,7 +20,7 @@ def test_sql_belongs_to_queries():
     assert set(QUERIES) <= set(spark_entry.queries())
     assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"v1_void_dataset_approx"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -30,11 +30,3 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert spark_entry.entry(spark).count() > 0
-
-
-def test_approximate_counts(spark):
-    exact = QUERIES["v1_void_dataset"](spark, SF_DIR).first()
-    estimate = QUERIES["v1_void_dataset_approx"](spark, SF_DIR).first()
-    assert estimate.triples == exact.triples
-    for name in ("distinct_subjects", "properties", "distinct_objects"):
-        assert abs(estimate[name] - exact[name]) <= 0.15 * exact[name]
