@@ -21,6 +21,7 @@ from quadspark.functions.terms import (
     XSD_DATETIME,
     XSD_DECIMAL,
     XSD_DOUBLE,
+    XSD_FLOAT,
     XSD_INTEGER,
     XSD_STRING,
     Term,
@@ -103,10 +104,21 @@ def same_term(a: Term, b: Term) -> Column:
     return same & a.dt.eqNullSafe(b.dt) & a.lang.eqNullSafe(b.lang)
 
 
+def _canonical(t: Term) -> Column:
+    """One form of equal integers and decimals, whatever their length; null for other terms."""
+    plain = F.regexp_replace(F.regexp_replace(t.value, r"^\+", ""), r"^(-?)0+(?=\d)", "$1")
+    short = F.when(F.contains(plain, F.lit(".")), F.regexp_replace(plain, r"\.?0*$", "")).otherwise(plain)
+    padded = F.regexp_replace(short, r"^(-?)(?=\.|$)", "$10")
+    exact = t.dt.isin(NUMERIC_TYPES) & ~t.dt.isin(XSD_DOUBLE, XSD_FLOAT) & t.value.rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)$")
+    return F.when(exact, F.when(padded == "-0", "0").otherwise(padded))
+
+
 def equals(a: Term, b: Term) -> Column:
-    """``=``: equal terms, or numbers of equal value."""
+    """``=``: equal terms, or numbers of equal value; integers and decimals compare exactly."""
     x, y = double(a), double(b)
-    return F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise(same_term(a, b))
+    p, q = _canonical(a), _canonical(b)
+    return F.when(p.isNotNull() & q.isNotNull(), p == q).when(
+        x.isNotNull() & y.isNotNull(), x == y).otherwise(same_term(a, b))
 
 
 # --- typed values -----------------------------------------------------------
@@ -294,7 +306,7 @@ def round_(t: Term) -> Term:
 
 def _numeric(t: Term, on_double, on_decimal) -> Term:
     """Apply a function in the arithmetic of the datatype; the datatype is kept."""
-    floating = t.dt.isin(XSD_DOUBLE, XSD_DOUBLE.replace("double", "float"))
+    floating = t.dt.isin(XSD_DOUBLE, XSD_FLOAT)
     value = F.when(floating, on_double(double(t)).cast("double").cast("string")).otherwise(
         _trim_zeros(on_decimal(decimal(t)).cast("decimal(38,18)").cast("string"))
     )

@@ -26,6 +26,7 @@ XSD_STRING = XSD + "string"
 XSD_INTEGER = XSD + "integer"
 XSD_DECIMAL = XSD + "decimal"
 XSD_DOUBLE = XSD + "double"
+XSD_FLOAT = XSD + "float"
 XSD_BOOLEAN = XSD + "boolean"
 XSD_DATE = XSD + "date"
 XSD_DATETIME = XSD + "dateTime"

@@ -43,16 +43,21 @@ def limit_warmup(plan: DataFrame, limit: int | None, position: str = "seq") -> D
     return plan.filter((F.col("run_id") >= 0) | (F.col(position) < limit))
 
 
-def with_position(queries: DataFrame, limit: int, *order: str) -> DataFrame:
+def with_position(queries: DataFrame, limit: int | None, *order: str) -> DataFrame:
     """Mark the first ``limit`` queries by a position below ``limit``, all others by ``limit``.
 
-    ``order`` names columns that identify a query.  Only the first rows are
-    ranked, found by a distributed top-k.
+    ``order`` names columns that identify a query; equal queries share the
+    position of the first.  Only the first rows are ranked, found by a
+    distributed top-k.  A null or negative limit means all, as in
+    ``limit_warmup``: every position is 0.
     """
+    if limit is None or limit < 0:
+        return queries.withColumn("seq", F.lit(0).cast("bigint"))
     keys = list(order)
     first = queries.select(*(F.col(k).alias(f"__{k}") for k in keys)).orderBy(*(f"__{k}" for k in keys)).limit(limit)
     # The window has no partition: it ranks the first rows only.
-    ranked = first.withColumn("seq", F.row_number().over(Window.orderBy(*first.columns)).cast("bigint") - 1)
+    rank = F.row_number().over(Window.orderBy(*first.columns)).cast("bigint") - 1
+    ranked = first.withColumn("seq", rank).groupBy(*first.columns).agg(F.min("seq").alias("seq"))
     on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
     return queries.join(ranked, on, "left").select(
         *queries.columns, F.coalesce("seq", F.lit(limit).cast("bigint")).alias("seq"))

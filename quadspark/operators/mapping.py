@@ -90,6 +90,21 @@ class Constant(TermMap):
         return quoted(self.constant)
 
 
+def lexical(value: str, kind: T.DataType | None) -> str:
+    """SQL for the lexical form that the XML Schema type of a column's type has."""
+    text = f"cast({value} AS string)"
+    if isinstance(kind, T.TimestampNTZType):
+        return f"replace({text}, ' ', 'T')"
+    if isinstance(kind, T.TimestampType):
+        utc = f"convert_timezone(current_timezone(), 'UTC', cast({value} AS timestamp_ntz))"
+        return f"concat(replace(cast({utc} AS string), ' ', 'T'), 'Z')"
+    if isinstance(kind, T.DoubleType | T.FloatType):
+        return f"replace({text}, 'Infinity', 'INF')"
+    if isinstance(kind, T.BinaryType):
+        return f"hex({value})"
+    return text
+
+
 @dataclass(frozen=True)
 class Reference(TermMap):
     column: str = ""
@@ -98,7 +113,7 @@ class Reference(TermMap):
         return [self.column]
 
     def sql(self, types: dict[str, T.DataType]) -> str:
-        return f"cast({named(self.column)} AS string)"
+        return lexical(named(self.column), types.get(self.column))
 
 
 @dataclass(frozen=True)

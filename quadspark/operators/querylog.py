@@ -18,6 +18,7 @@ from quadspark.functions.terms import (
     XSD_STRING,
     null,
 )
+from quadspark.sources.querylog import UNITS
 
 # Our vocabulary for log records.
 LOG = "http://example.org/log#"
@@ -27,13 +28,12 @@ Enricher = Callable[[DataFrame], DataFrame]
 
 # --- R3: enrichers --------------------------------------------------------------
 
-# IRIs, strings and comments, which may contain keywords.
-_OPAQUE = (
-    r'<[^<>\s]*+>|"""(?:[^"\\]|\\.|"(?!""))*+"""|"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"'
-    r"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|#[^\n]*+"
-)
+# Comments, besides IRIs and strings: none of them holds keywords.
+_OPAQUE = rf"(?s){UNITS}|#[^\r\n]*+"
+# Names are no keywords: variables, and both parts of prefixed names.
+_BEFORE, _AFTER = r"(?i)(?<![\w?$:\-])", r"(?![\w:\-])"
 FEATURES = ("filter", "optional", "union", "distinct", "limit", "aggregate")
-_AGGREGATES = r"(?i)\b(?:COUNT|SUM|AVG|MIN|MAX|SAMPLE|GROUP_CONCAT)\s*\("
+_AGGREGATES = _BEFORE + r"(?:COUNT|SUM|AVG|MIN|MAX|SAMPLE|GROUP_CONCAT)\s*\("
 FORMS = ("SELECT", "CONSTRUCT", "ASK", "DESCRIBE")
 
 
@@ -45,14 +45,14 @@ def query_features(log: DataFrame) -> DataFrame:
     """Flags for the constructs a query uses."""
     stripped = log.withColumn("__bare", _bare())
     for name in FEATURES:
-        pattern = _AGGREGATES if name == "aggregate" else rf"(?i)\b{name}\b"
+        pattern = _AGGREGATES if name == "aggregate" else f"{_BEFORE}{name}{_AFTER}"
         stripped = stripped.withColumn(f"uses_{name}", F.col("__bare").rlike(pattern))
     return stripped.drop("__bare")
 
 
 def query_form(log: DataFrame) -> DataFrame:
     """The query form, null if there is none."""
-    form = F.upper(F.regexp_extract(_bare(), rf"(?i)\b({'|'.join(FORMS)})\b", 1))
+    form = F.upper(F.regexp_extract(_bare(), f"{_BEFORE}({'|'.join(FORMS)}){_AFTER}", 1))
     return log.withColumn("form", F.nullif(form, F.lit("")))
 
 
@@ -91,7 +91,7 @@ def rdfize_log(log: DataFrame, base_iri: str) -> DataFrame:
     """
     columns = set(log.columns)
     query = F.concat(F.lit(base_iri + "query-"), F.col("query_hash"))
-    identity = [F.col(c).cast("string") for c in ("source", "seq", "raw") if c in columns]
+    identity = [F.col(c).cast("string") for c in ("source", "seq", "position", "raw") if c in columns]
     entry = F.concat(F.lit(base_iri + "entry-"), F.sha2(
         F.concat_ws("\u0001", *(F.coalesce(c, F.lit("")) for c in identity)), 256))
     base = log.withColumns({"__query": query, "__entry": entry})

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quadspark.functions import scalars as fn
-from quadspark.functions.terms import XSD_DATETIME, XSD_DECIMAL, lang_term, literal_term, term
+from quadspark.functions.terms import XSD_DATETIME, XSD_DECIMAL, XSD_INTEGER, lang_term, literal_term, term
 from quadspark.operators.patterns import bgp, bind, match
 from quadspark.plans.catalog.statistics import document_graph
 from quadspark.plans.registry import query, table
@@ -151,3 +151,15 @@ def f_equality(spark, sf):
     return part.select("p_partkey", text.alias("text"), fn.equals(a, b).alias("equal"), fn.same_term(a, b).alias("same"))
 
 
+@query("f_numeric_wide", """
+SELECT o_orderkey, true AS same_value, false AS next_value, true AS padded FROM orders
+""")
+def f_numeric_wide(spark, sf):
+    """Integers beyond 64 bits and the precision of doubles compare exactly."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    start = F.concat(F.lit("900719925474099"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    a, b = (literal_term(F.concat(start, F.lit(x)), XSD_INTEGER) for x in "12")
+    padded = literal_term(F.concat(F.lit("+00"), start, F.lit("1.50")), XSD_DECIMAL)
+    short = literal_term(F.concat(start, F.lit("1.5")), XSD_DECIMAL)
+    return orders.select("o_orderkey", fn.equals(a, a).alias("same_value"), fn.equals(a, b).alias("next_value"),
+                         fn.equals(padded, short).alias("padded"))

@@ -11,7 +11,7 @@ from quadspark.operators.graphs import natural_graph
 from quadspark.plans.registry import query, spread_table, table
 from quadspark.plans.testgraph import EX
 from quadspark.session import scratch_path
-from quadspark.sources.querylog import parse_query_log, query_id, read_query_log
+from quadspark.sources.querylog import normalize_query, parse_query_log, query_id, read_query_log
 
 # The query of an event, with and without superfluous white space.
 _TEXT = ("'SELECT ?x WHERE { ?x <http://example.org/type> \"' || event_type || '  event\" . ?x <http://example.org/k> '"
@@ -103,6 +103,61 @@ def r1_entries(spark, sf):
     return entries.groupBy("g").agg(F.count_distinct("o").alias("entries"))
 
 
+@query("r1_repeated_lines", """
+SELECT 'host-' || user_id AS host, 2 * count(*) AS entries FROM events GROUP BY user_id
+""")
+def r1_repeated_lines(spark, sf):
+    """Every line is in the log twice; equal lines of a file are entries of their own."""
+    events = spread_table(spark, sf, "events", "event_id")
+    line = F.concat(F.lit("host-"), "user_id", F.lit(' - - [01/Jan/2024:10:00:00 +0000] "GET /sparql?query=ASK+%7B%7D HTTP/1.1" 200 5'))
+    path = scratch_path(spark, "log")
+    events.select(F.explode(F.array(line, line)).alias("value")).write.text(path)
+    quads = querylog.rdfize_log(read_query_log(spark, path, "apache"), EX + "log/")
+    return quads.filter(F.col("p") == querylog.LOG + "host").groupBy(F.col("o").alias("host")).agg(
+        F.count_distinct("s").alias("entries"))
+
+
+@query("r1_texts", f"""{_LOGGED}
+SELECT g, text FROM h
+""")
+def r1_texts(spark, sf):
+    """The text of each entry's query, with its spacing collapsed."""
+    quads = querylog.rdfize_log(_log(spark, sf), EX + "log/")
+    texts = quads.filter(F.col("p") == querylog.LOG + "text")
+    return texts.select("g", normalize_query(F.col("o")).alias("text"))
+
+
+@query("r2_comments", """
+SELECT event_id, true AS comment_ignored, false AS next_line_ignored, false AS spaces_ignored FROM events
+""")
+def r2_comments(spark, sf):
+    """A comment ends with its line; an apostrophe in an IRI begins no string."""
+    number = F.col("event_id").cast("string")
+
+    def text(*parts):
+        return query_id(F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts)))
+
+    plain = text("ASK { ?s <http://x/it's#a> ?o . FILTER(?o > ", number, ") }")
+    noted = text("ASK {  ?s <http://x/it's#a>   ?o . # it's a note\n FILTER(?o > ", number, ") }")
+    swallowed = text("ASK { ?s <http://x/it's#a> ?o . # it's a note FILTER(?o > ", number, ") }\n}")
+    spaced = text("ASK { ?s <http://x/it's#a> ?o . FILTER(?o > '", number, "  ') }")
+    closer = text("ASK { ?s <http://x/it's#a> ?o . FILTER(?o > '", number, " ') }")
+    return table(spark, sf, "events").select(
+        "event_id", (plain == noted).alias("comment_ignored"), (plain == swallowed).alias("next_line_ignored"),
+        (spaced == closer).alias("spaces_ignored"))
+
+
+@query("r3_names", """
+SELECT event_id, 'ASK' AS form, false AS uses_limit, false AS uses_union, value > 250 AS uses_filter FROM events
+""")
+def r3_names(spark, sf):
+    """Variables, prefixed names and strings that look like keywords."""
+    filters = F.when(F.col("value") > 250, F.lit("FILTER(?limit > 1)")).otherwise(F.lit("# FILTER(?limit > 1)\n"))
+    text = F.concat(F.lit("ASK { ?limit ex:union \'\'\'it's a FILTER\'\'\' ; union:x $select . "), filters, F.lit("}"))
+    log = table(spark, sf, "events").select("event_id", "value", text.alias("query"))
+    return querylog.enrich(log, ["form", "features"]).select("event_id", "form", "uses_limit", "uses_union", "uses_filter")
+
+
 @query("r3_enrich", f"""
 SELECT event_id, 'SELECT' AS form, true AS uses_filter, false AS uses_optional, false AS uses_union,
   false AS uses_distinct, false AS uses_limit, false AS uses_aggregate FROM events WHERE value <= 250

@@ -2,7 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from quadspark.functions.terms import BNODE, IRI, RDF_TYPE, XSD_DECIMAL, XSD_INTEGER, Literal
+from quadspark.functions import scalars as fn
+from quadspark.functions.terms import (
+    BNODE,
+    IRI,
+    RDF_TYPE,
+    XSD_DATETIME,
+    XSD_DECIMAL,
+    XSD_INTEGER,
+    Literal,
+    literal_term,
+)
 from quadspark.operators.graphs import as_set
 from quadspark.operators.mapping import (
     TriplesMap,
@@ -172,3 +182,15 @@ def m11_language_graph(spark, sf):
         pom(EX + "lang", node("lang", "lang"))], graph=template(EX + "source/{source}"))
     quads = apply_mapping(table(spark, sf, "documents"), m)
     return quads.select("s", F.md5("o").alias("text_md5"), "o_kind", "o_dt", "o_lang", "g")
+
+
+@query("m4_dates", """
+SELECT 'http://example.org/order/' || o_orderkey AS s, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o,
+  'http://www.w3.org/2001/XMLSchema#dateTime' AS o_dt, year(o_orderdate)::INTEGER AS y FROM orders
+""")
+def m4_dates(spark, sf):
+    """Timestamps have the lexical form of their datatype, so functions read them."""
+    m = TriplesMap("orders", node("order", "o_orderkey"), [pom(EX + "date", "o_orderdate", XSD_DATETIME)])
+    quads = apply_mapping(table(spark, sf, "orders"), m)
+    year = fn.year(literal_term(F.col("o"), XSD_DATETIME)).value.cast("int")
+    return quads.select("s", "o", "o_dt", year.alias("y"))

@@ -1,4 +1,4 @@
-"""Query logs to records ``(source, seq, raw, host, ts, query, query_hash)``."""
+"""Query logs to records ``(source, seq, position, raw, host, ts, query, query_hash)``."""
 
 from __future__ import annotations
 
@@ -20,20 +20,22 @@ _QUERY_PARAM = r"[?&]query=([^&#\s]*+)"
 LOG_FORMATS = ("apache", "virtuoso", "sparql")
 
 
-# A run of non-space characters in which quoted strings count as one unit.
-_RUN = (
-    r"""((?:[^\s"']++"""
-    r'|"""(?:[^"\\]|\\.|"(?!""))*+"""'
+# Units that may hold white space or marks: IRIs and strings.
+_STRINGS = (
+    r'''"""(?:[^"\\]|\\.|"(?!""))*+"""'''
     r"|'''(?:[^'\\]|\\.|'(?!''))*+'''"
     r'|"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"'
     r"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
-    r"""|["'])++)\s*+"""
 )
+UNITS = rf"<[^<>\s\"{{}}|^`]*+>|{_STRINGS}"
+# A run of non-space characters in which units count as one.
+_RUN = rf"""((?:{UNITS}|[^\s"'<]++|["'<])++)\s*+"""
 
 
 def normalize_query(query: Column) -> Column:
-    """Trim, and collapse white space outside strings to one space."""
-    return F.rtrim(F.regexp_replace(F.ltrim(query), r"(?s)\s*+" + _RUN, "$1 "))
+    """Drop comments, trim, and collapse white space outside strings to one space."""
+    bare = F.regexp_replace(query, rf"(?s)({UNITS})|#[^\r\n]*+", "$1")
+    return F.rtrim(F.regexp_replace(F.ltrim(F.regexp_replace(bare, r"^\s+", "")), r"(?s)\s*+" + _RUN, "$1 "))
 
 
 def query_id(query: Column) -> Column:
@@ -80,6 +82,9 @@ def read_query_log(
 ) -> DataFrame:
     """Log records of files.  ``seq`` is the line number in the file, from 0.
 
+    ``position`` tells equal lines of a file apart: where the split begins, and
+    the row in its task.
+
     Numbering costs a second pass that counts the lines per split, so it is done
     by default only for query lists, where the position matters.
     """
@@ -93,8 +98,11 @@ def read_query_log(
     if with_seq is None:
         with_seq = log_format == "sparql"
     numbered = _number(lines) if with_seq else lines.withColumn("seq", F.lit(None).cast("bigint"))
+    # The lower bits of a row id count the rows of its task.
+    row = F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = numbered.withColumn("position", F.concat_ws("-", "__block", row))
     log = parse_query_log(numbered.drop("__block", "__row"), log_format)
-    return log.select("source", "seq", "raw", "host", "ts", "query", "query_hash")
+    return log.select("source", "seq", "position", "raw", "host", "ts", "query", "query_hash")
 
 
 def _number(lines: DataFrame) -> DataFrame:

@@ -107,6 +107,15 @@ def test_query_ids_ignore_spacing_outside_strings(spark):
     assert ids[0] == ids[1] != ids[2]
 
 
+def test_positions_of_equal_queries(spark):
+    queries = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "q string")
+    found = sorted(map(tuple, benchplan.with_position(queries, 2, "q").collect()))
+    assert found == [("a", 0), ("b", 1), ("b", 1), ("c", 2)]
+    for limit in (None, -1):
+        all_of_them = benchplan.with_position(queries, limit, "q")
+        assert all_of_them.count() == 4 and benchplan.limit_warmup(benchplan.run_plan(all_of_them, 1, 1), limit).count() == 8
+
+
 def test_log_lines_of_every_shape(spark):
     lines = [
         '1.2.3.4 - - [01/Jan/2024:10:00:00 +0200] "GET /sparql?query=ASK+%7B%7D&x=1 HTTP/1.1" 200 5',
