@@ -9,8 +9,8 @@ reaches ``threshold`` and exceeds its trust.
 
 Links are counted per pair of hosts before the first round, so a round joins one
 row per host with its edges, and the sums combine before their shuffle.  Each
-few rounds end in a table.  The number of rounds is fixed: what is left of a
-walk of restart 0.15 after 20 rounds is 4 %.
+few rounds end in a table; the last one is where scores no longer change, or
+after 20 rounds, when 4 % of a walk of restart 0.15 is left.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is allowed; null html has no links; links to the own host, and relative ones,
@@ -29,7 +29,9 @@ from quadspark.llm.tables import stored
 RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"))
-ROUNDS, ROUNDS_PER_TABLE, DAMPING, THRESHOLD = 20, 5, 0.85, 1e-6
+ROUNDS, ROUNDS_PER_TABLE, DAMPING, THRESHOLD = 20, 4, 0.85, 1e-6
+#: Total change of the scores in a table that ends the rounds.
+SETTLED = 1e-9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
 
@@ -93,7 +95,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
         "host", (F.col("weight") / F.col("total")).alias("seed")), "llm-seeds")
     out = edges.groupBy("src").agg(F.sum("links").alias("out"))
     share = stored(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("out")).alias("share")), "llm-shares")
-    ranks = start.select("host", F.col("seed").alias("score"))
+    ranks = before = start.select("host", ((1 - damping) * F.col("seed")).alias("score"))
     for number in range(1, rounds + 1):
         flow = ranks.join(share, ranks.host == share.src).select(
             F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
@@ -101,6 +103,11 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
         ranks = flow.unionByName(base).groupBy("host").agg(F.sum("score").alias("score"))
         if number % ROUNDS_PER_TABLE == 0 or number == rounds:
             ranks = stored(ranks, "llm-ranks")
+            both = ranks.unionByName(before.select("host", (-F.col("score")).alias("score")))
+            change = both.groupBy("host").agg(F.abs(F.sum("score")).alias("change")).agg(F.sum("change")).first()[0]
+            if (change or 0) < SETTLED:
+                break
+            before = ranks
     return ranks
 
 
