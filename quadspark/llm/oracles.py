@@ -6,7 +6,7 @@ compare those with brute force.
 
 from __future__ import annotations
 
-from quadspark.llm.repetition import LINE_CHARS_LIMIT, LINES_LIMIT, NGRAM_LIMITS
+from quadspark.llm.repetition import LINE_CHARS_LIMIT, NGRAM_LIMITS
 
 _WORDS = r"coalesce(regexp_extract_all({}, '[^\x20\x09-\x0D]+'), [])"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -75,13 +75,15 @@ FOREST = f"""
 
 
 def _covered(n: int) -> str:
-    """Words and characters of each document inside n-grams that it has twice or more."""
+    """Words inside n-grams that a document has twice or more, and characters inside those it has earlier."""
     return f"""
-    grams{n} AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + {n - 1}], ' ')) AS times
-        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n})),
-    inside{n} AS (SELECT doc_id, count(*) AS words, sum(length(w[p])) AS chars
-        FROM (SELECT DISTINCT doc_id, i + j AS p FROM grams{n}, range({n}) AS t(j) WHERE times > 1) JOIN d USING (doc_id)
-        GROUP BY doc_id)"""
+    grams{n} AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS times,
+            row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS k
+        FROM (SELECT doc_id, i, array_to_string(w[i:i + {n - 1}], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n}))),
+    inside{n} AS (SELECT doc_id, count(*) AS words, sum(length(w[p])) FILTER (later) AS chars
+        FROM (SELECT doc_id, i + j AS p, bool_or(k > 1) AS later FROM grams{n}, range({n}) AS t(j) WHERE times > 1 GROUP BY ALL)
+        JOIN d USING (doc_id) GROUP BY doc_id)"""
 
 
 REPETITION = f"""
@@ -90,13 +92,12 @@ REPETITION = f"""
     lines AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS k
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
         WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-    repeats AS (SELECT doc_id, count(*) AS n, sum(length(line)) AS chars, count(*) FILTER (k > 1) AS again,
+    repeats AS (SELECT doc_id, sum(length(line)) AS chars, count(*) FILTER (k > 1) AS again,
         sum(length(line)) FILTER (k > 1) AS again_chars FROM lines GROUP BY doc_id),
     found AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(again, 0) AS n_dup_lines,
         coalesce(inside5.words, 0) AS n_repeat_words,
         {' AND '.join(f'coalesce(inside{n}.chars, 0) <= {limit} * word_chars' for n, limit in NGRAM_LIMITS.items())}
-        AND coalesce(again, 0) <= {LINES_LIMIT} * coalesce(repeats.n, 0)
         AND coalesce(again_chars, 0) <= {LINE_CHARS_LIMIT} * coalesce(repeats.chars, 0) AS passed
         FROM d {' '.join(f'LEFT JOIN inside{n} USING (doc_id)' for n in NGRAM_LIMITS)} LEFT JOIN repeats USING (doc_id))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
