@@ -157,7 +157,8 @@ def test_reload_forgets_what_a_file_no_longer_has(spark, place, tmp_path_factory
     write(src, "a.nt", 1)
     assert run(spark, place, list_sources(spark, src), fingerprint=True) == 1
     assert loaded(spark, place) == {("http://s/1", None), ("http://s/2", None), ("http://s/3", None)}
-    write(src, "b.nt")
+    with open(f"{src}/b.nt", "w") as f:
+        f.write("# nothing left\n")
     assert run(spark, place, list_sources(spark, src), fingerprint=True) == 1
     assert loaded(spark, place) == {("http://s/1", None)}
     assert spark.read.parquet(f"{place}/published").count() == 1
