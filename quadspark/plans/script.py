@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from quadspark.functions.terms import QUAD_SCHEMA, as_quads
 from quadspark.operators.graphs import graph_union
 from quadspark.sources.rdf import read_rdf_lines
+from quadspark.sources.storage import stored_table
 
 QueryStep = Callable[[DataFrame], DataFrame]
 
@@ -22,9 +22,9 @@ def run_script(
     """Run steps in order and join their results into one graph.
 
     A path step adds a file to the dataset that later steps see; a function step
-    maps the dataset to quads.  ``share`` keeps the dataset on disk between the
-    query steps (lost blocks are computed again from the source); without it
-    every step scans the source, with only the columns it needs.
+    maps the dataset to quads.  ``share`` writes the dataset to the shared folder
+    once for all query steps; without it every step scans the source, with only
+    the columns it needs.
     """
     dataset = quads
     shared: DataFrame | None = None
@@ -38,7 +38,7 @@ def run_script(
         if dataset is None:
             dataset = spark.createDataFrame([], QUAD_SCHEMA)
         if shared is None:
-            shared = dataset.persist(StorageLevel.DISK_ONLY) if share else dataset
+            shared = stored_table(dataset, "script")[0] if share else dataset
         results.append(as_quads(step(shared)))
     if not results:
         return spark.createDataFrame([], QUAD_SCHEMA)

@@ -7,8 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A prefix table is written by hand; one beyond this bound is joined by shuffle.
-MAX_BROADCAST_PREFIXES = 100_000
+from quadspark.sources.storage import stored_lookup
 
 
 def read_prefixes(spark: SparkSession, path: str) -> DataFrame:
@@ -23,14 +22,9 @@ def prefix_table(spark: SparkSession, prefixes: Mapping[str, str]) -> DataFrame:
     return spark.createDataFrame(list(prefixes.items()), "prefix string, iri string")
 
 
-def _hinted(prefixes: DataFrame) -> DataFrame:
-    small = prefixes.limit(MAX_BROADCAST_PREFIXES + 1).count() <= MAX_BROADCAST_PREFIXES
-    return F.broadcast(prefixes) if small else prefixes
-
-
 def expand_curies(df: DataFrame, prefixes: DataFrame, column: str) -> DataFrame:
     """Replace ``prefix:local`` by the full IRI; an unknown prefix leaves the value."""
-    table = _hinted(prefixes.select(F.col("prefix").alias("__pfx"), F.col("iri").alias("__iri")))
+    table = stored_lookup(prefixes.select(F.col("prefix").alias("__pfx"), F.col("iri").alias("__iri")), "prefixes")
     key = F.substring_index(F.col(column), ":", 1)
     local = F.substr(F.col(column), F.length(key) + 2, F.length(column))
     has_prefix = F.contains(F.col(column), F.lit(":"))
@@ -40,7 +34,7 @@ def expand_curies(df: DataFrame, prefixes: DataFrame, column: str) -> DataFrame:
 
 def compact_iris(df: DataFrame, prefixes: DataFrame, column: str) -> DataFrame:
     """Replace a namespace that ends in ``#`` or ``/`` by its prefix."""
-    table = _hinted(prefixes.select(F.col("prefix").alias("__pfx"), F.col("iri").alias("__iri")))
+    table = stored_lookup(prefixes.select(F.col("prefix").alias("__pfx"), F.col("iri").alias("__iri")), "prefixes")
     namespace = F.regexp_extract(F.col(column), r"^(.*[#/])", 1)
     local = F.substr(F.col(column), F.length(namespace) + 1, F.length(column))
     joined = df.join(table, namespace == F.col("__iri"), "left")

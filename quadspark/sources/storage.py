@@ -39,17 +39,22 @@ def spread_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-# Rows of a lookup table that is sent to every executor: a few hundred MB at most.
-MAX_BROADCAST_ROWS = 1_000_000
+# Stored bytes of a lookup table that is sent to every executor; some ten times as many in memory at most.
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024
+
+
+def stored_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a derived table to the shared folder once; returns it as read back, and its path."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def stored_lookup(df: DataFrame, name: str) -> DataFrame:
-    """Write a small derived table once, and broadcast it if its row count allows.
+    """Write a small derived table once, and broadcast it if its size allows.
 
     Beyond the bound it takes part in an ordinary shuffle join.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    return F.broadcast(stored) if stored.count() <= MAX_BROADCAST_ROWS else stored
+    stored, path = stored_table(df, name)
+    return F.broadcast(stored) if path_size(df.sparkSession, path) <= MAX_BROADCAST_BYTES else stored
