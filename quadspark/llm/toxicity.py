@@ -19,6 +19,7 @@ scored one by one; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ MAX_DOCUMENTS, MAX_WORDS = 10_000, 20_000
 PREFIXES = (4, 5, 7)
 #: Evidence (log-likelihood ratio) that a feature needs beyond what chance gives the best of all.
 EVIDENCE = 4.0
+#: At most so many features, those of most evidence, have a weight.
+MAX_FEATURES = 20_000
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 THRESHOLD = 0.7
 #: Ends of sentences.
@@ -90,25 +93,30 @@ class Model:
         return self.bias + np.add.reduceat(total, sentences.first)
 
 
-def select(features: list[np.ndarray], least: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+def select(described: DataFrame) -> list[int]:
     """Features whose documents are toxic more often than chance would let any feature's be.
 
-    features: distinct ones of each document; least: hash of its least
-    sentence.  Labels are noisy and copies repeat their noise, so documents that
-    share their least sentence are one observation.
+    described: doc_id, toxic, least (hash of the least sentence) and distinct
+    features.  Labels are noisy and copies repeat their noise, so documents that
+    share their least sentence are one observation, with the label of most.
     """
-    _, group, size = np.unique(least, return_inverse=True, return_counts=True)
-    mark = np.bincount(group, toxic) / size > 0.5
-    owner = np.repeat(group, [len(f) for f in features])
-    vocabulary, word = np.unique(np.concatenate(features), return_inverse=True)
-    pairs = np.unique(word.astype(np.int64) * len(size) + owner)
-    total = np.bincount(pairs // len(size), minlength=len(vocabulary)).astype(float)
-    bad = np.bincount(pairs // len(size), mark[pairs % len(size)], len(vocabulary))
-    rate = mark.mean()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        evidence = 2 * (np.nan_to_num(bad * np.log(bad / (total * rate)))
-                        + np.nan_to_num((total - bad) * np.log((total - bad) / (total * (1 - rate)))))
-    return vocabulary[(bad > total * rate) & (evidence > 2 * np.log(max(2, len(vocabulary))) + EVIDENCE)]
+    groups = described.groupBy("least").agg(
+        F.min(F.struct("doc_id", "features"))["features"].alias("features"), (F.avg("toxic") > 0.5).cast("int").alias("mark"))
+    groups = stored(groups, "llm-observations")
+    rate = groups.agg(F.avg("mark")).first()[0]
+    if not rate or rate == 1:
+        return []
+    counts = stored(groups.select("mark", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("total"), F.sum("mark").alias("bad")), "llm-features")
+
+    def term(n: Column, share: float) -> Column:
+        return F.when(n > 0, n * F.log(n / (F.col("total") * share))).otherwise(0.0)
+
+    bad, total = F.col("bad"), F.col("total")
+    evidence = 2 * (term(bad, rate) + term(total - bad, 1 - rate))
+    chance = 2 * math.log(max(2, counts.count())) + EVIDENCE
+    found = counts.where((bad > total * rate) & (evidence > chance)).orderBy(evidence.desc(), "feature")
+    return [r.feature for r in found.select("feature").take(MAX_FEATURES)]
 
 
 def fit(vocabulary: np.ndarray, documents: list[np.ndarray], least: np.ndarray, toxic: np.ndarray) -> Model:
@@ -157,10 +165,12 @@ def _describe(max_words: int):
                 words = mix(found.features[0].astype(np.uint64))
                 np.minimum.at(least, found.text, mix(np.add.reduceat(words, found.first)))
             owner = found.text[found.sentence]
-            features = [np.unique(found.features[:, owner == i]).astype(np.uint32).tobytes() for i in range(batch.num_rows)]
+            cut = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            features = [np.unique(found.features[:, a:b]).astype(np.uint32).view(np.int32)
+                        for a, b in zip(cut, cut[1:], strict=False)]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
-                "least": pa.array(least.view(np.int64)), "features": pa.array(features, pa.binary())})
+                "least": pa.array(least.view(np.int64)), "features": pa.array(features, pa.list_(pa.int32()))})
 
     return run
 
@@ -194,16 +204,13 @@ def train(documents: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCU
     # At most max_documents ids are sent, and as many documents kept.
     texts = doc_texts(documents).where("text is not null").join(F.broadcast(drawn), "doc_id")
     sample = stored(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "llm-labelled")
-    rows = sorted(sample.mapInArrow(
-        _describe(max_words), "doc_id long, toxic int, least long, features binary").collect(), key=lambda r: r.doc_id)
-    toxic = np.array([r.toxic > 0 for r in rows], bool)
-    nothing = Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    if not len(rows) or toxic.all() or not toxic.any():
-        return nothing
-    least = np.array([r.least for r in rows])
-    vocabulary = select([np.frombuffer(r.features, np.uint32) for r in rows], least, toxic).astype(np.int64)
+    described = stored(sample.mapInArrow(
+        _describe(max_words), "doc_id long, toxic int, least long, features array<int>"), "llm-features-of")
+    vocabulary = np.unique(np.array(select(described), np.int32).view(np.uint32).astype(np.int64))
     if not len(vocabulary):
-        return nothing
+        return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
+    rows = sorted(described.select("doc_id", "toxic", "least").collect(), key=lambda r: r.doc_id)
+    toxic, least = np.array([r.toxic > 0 for r in rows], bool), np.array([r.least for r in rows])
     words = {r.doc_id: np.frombuffer(r.words, "<i4") for r in sample.mapInArrow(
         _encode(vocabulary, max_words), "doc_id long, words binary").collect()}
     return fit(vocabulary, [words[r.doc_id] for r in rows], least, toxic)
