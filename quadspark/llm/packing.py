@@ -24,6 +24,7 @@ import math
 import random
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 12, 4
 #: Bins with at least this share of their capacity are not opened again.
 WELL_FILLED = 0.999
 #: Chunks of text whose ids a Python worker remembers.
-REMEMBERED, LONG_CHUNK = 400_000, 64
+REMEMBERED, LONG_CHUNK = 1_000_000, 64
 
 # ---------------------------------------------------------------- tokens
 
@@ -59,7 +60,7 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.rests: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -78,46 +79,75 @@ class Encoder:
         return found
 
     def _encode_chunks(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        parts, words, rests, found = {}, set(), {}, {}
+        words: dict[bytes, str] = {}
+        parts, found, known, rests = [], {}, self.chunks, self.rests
         for chunk in chunks:
+            if chunk.isalpha():  # ASCII letters
+                words[chunk] = chunk.decode()
+                continue
             text = chunk.decode("utf-8", "replace")
-            word = text.rstrip(".,")
+            word = text.rstrip(punctuation)
             if word.isalpha():
-                # Lower case of ASCII is what the tokenizer makes of it.
-                rest = text[len(word):]
-                parts[chunk] = word.lower() if word.isascii() else word, rest
-                words.add(parts[chunk][0])
-                if rest not in rests:
-                    rests[rest] = self._ids(rest).tobytes()
+                # ASCII marks behind a word are a piece of their own.
+                rest, core = text[len(word):], word.encode()
+                if core not in known:
+                    words[core] = word
+                if rest:
+                    parts.append((chunk, core, rest))
+                    if rest not in rests:
+                        rests[rest] = self._ids(rest).tobytes()
             else:
                 found[chunk] = self._ids(text).tobytes()
-        known = {w: self.words[w] for w in words if w in self.words}
-        known |= self._encode_words([w for w in words if w not in known])
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        self.words.update((w, i) for w, i in known.items() if len(w) <= LONG_CHUNK)
-        for chunk, (word, rest) in parts.items():
-            found[chunk] = known[word] + rests[rest]
+        ids = self._encode_words(list(words.values()))
+        found.update([(core, ids[word]) for core, word in words.items()])
+        found.update([(chunk, (found.get(core) or known[core]) + rests[rest]) for chunk, core, rest in parts])
+        if len(rests) > REMEMBERED // 10:
+            rests.clear()
         return found
 
     def encode(self, documents: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        chunks = [d.split() for d in documents]
-        missing = {c for d in chunks for c in d}.difference(self.chunks)
-        new = self._encode_chunks(missing)
-        if len(self.chunks) + len(new) > REMEMBERED:
-            new |= {c: self.chunks[c] for d in chunks for c in d if c in self.chunks}
-            self.chunks.clear()
-        self.chunks.update((c, i) for c, i in new.items() if len(c) <= LONG_CHUNK)
-        look = self.chunks.get
-        out = []
-        for d in chunks:
-            found = [look(c) for c in d]
-            out.append(b"".join(new[c] if x is None else x for c, x in zip(d, found, strict=True))
-                       if None in found else b"".join(found))
+        chunks = [_plain(d).split() for d in documents]
+        known = self.chunks
+        new = self._encode_chunks(set().union(*chunks).difference(known))
+        if len(known) + len(new) > REMEMBERED:
+            kept = {c: known[c] for c in set().union(*chunks).intersection(known)}
+            known.clear()
+            known.update(kept)
+        known.update(new)
+        out = [b"".join(map(known.__getitem__, d)) for d in chunks]
+        for c in [c for c in new if len(c) > LONG_CHUNK]:
+            del known[c]
         return out
 
 
+#: Bytes of ASCII and Latin-1 characters in UTF-8; white space, full stops and commas, other marks, and letters.
+_LATIN = bytes([*range(0xC0), 0xC3])
+_CLASSES = bytes(32 if b in b" \t\n\x0b\x0c\r" else 46 if b in b".," else 33 if b < 128 and not chr(b).isalnum() else 97
+                 for b in range(256))
+
+
+def _plain(text: bytes) -> bytes:
+    """A text with the same tokens whose words repeat more often: in lower case, and apart from full stops and commas.
+
+    Left alone is what might change its tokens: names of special tokens, and
+    marks behind other marks, which are one piece with them.
+    """
+    if b"<|" in text:
+        return text
+    text = text.lower()  # ASCII only, which is what the tokenizer makes of it
+    classes = text.translate(_CLASSES)
+    if (b"!." in classes or b".." in classes or text.translate(None, _LATIN) or b"\xc2" in text
+            or b"\xc3\x97" in text or b"\xc3\xb7" in text):
+        return text
+    for mark in (b".", b","):
+        for blank in (b" ", b"\n"):
+            text = text.replace(mark + blank, b" " + mark + blank)
+        if text.endswith(mark):
+            text = text[:-1] + b" " + mark
+    return text
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
