@@ -249,7 +249,7 @@ def _from_bins(size: list[int], capacity: int, bins: list[int]) -> Packing:
 
 
 def evolve(size: list[int], capacity: int, seed: int, elites: list[list[int]] = ()) -> tuple[list[int], int, int]:
-    """The best grouping found, as the bin of each piece, and its score.
+    """The best grouping found, as the bin of each piece, its number of bins and its fullness.
 
     elites: groupings to start from, beside the seeded ones.
     """
@@ -270,7 +270,7 @@ def evolve(size: list[int], capacity: int, seed: int, elites: list[list[int]] =
     for b, pieces in enumerate(best.bins):
         for i in pieces:
             out[i] = b
-    return out, bins, fullness
+    return out, -bins, fullness
 
 
 def _islands(capacity: int):
@@ -302,7 +302,7 @@ def _evolved(shards: DataFrame, n: int, capacity: int) -> DataFrame:
         work = start.select("shard", "island", "size", "elites").repartition(tasks, "shard", "island")
         elite = stored(work.mapInArrow(_islands(capacity), kind), f"llm-epoch{epoch}")
     return elite.groupBy("shard").agg(F.max_by(
-        "bins", F.struct("count", "fullness", -F.col("island"))).alias("bins"))
+        "bins", F.struct(-F.col("count"), "fullness", -F.col("island"))).alias("bins"))
 
 
 def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
@@ -320,25 +320,26 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     while count:
         n = math.ceil(count / SHARD)
         # The rest is a table, so rows have the same number in every run of a task.
-        dealt = rest.withColumn("row", F.monotonically_increasing_id()).withColumn(
-            "shard", F.pmod(F.xxhash64("row"), F.lit(n)))
-        items = F.array_sort(F.collect_list(F.struct(F.col(length).alias("_size"), "row", *columns)))
-        shards = stored(dealt.groupBy("shard").agg(items.alias("items")).withColumn(
+        dealt = rest.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+            "_shard", F.pmod(F.xxhash64("_row"), F.lit(n)))
+        items = F.array_sort(F.collect_list(F.struct(F.col(length).alias("_size"), "_row", *columns)))
+        shards = stored(dealt.groupBy(F.col("_shard").alias("shard")).agg(items.alias("items")).withColumn(
             "size", F.col("items._size")), "llm-shards")
         best = _evolved(shards.select("shard", "size"), n, capacity)
         placed = shards.join(best, "shard").select("shard", F.explode(F.arrays_zip("items", "bins")).alias("x"))
-        placed = placed.select(*(F.col(f"x.items.{c}").alias(c) for c in columns), F.col("x.bins").alias("bin"), "shard")
+        placed = placed.select(*(F.col(f"x.items.{c}").alias(c) for c in columns), F.col("x.bins").alias("_bin"),
+                               F.col("shard").alias("_shard"))
         placed = stored(placed, "llm-placed")
         release(spark)
-        fill = placed.groupBy("shard", "bin").agg(F.sum(length).alias("fill"))
-        open_bins = stored(fill.where(F.col("fill") < WELL_FILLED * capacity).drop("fill"), "llm-open")
-        opened = placed.join(open_bins, ["shard", "bin"], "left_semi").select(*columns)
+        fill = placed.groupBy("_shard", "_bin").agg(F.sum(length).alias("_fill"))
+        open_bins = stored(fill.where(F.col("_fill") < WELL_FILLED * capacity).drop("_fill"), "llm-open")
+        opened = placed.join(open_bins, ["_shard", "_bin"], "left_semi").select(*columns)
         left = 0 if n == 1 else opened.count()
         if left > 0.5 * count:  # opening them again gains little
             left = 0
-        done = placed.join(open_bins, ["shard", "bin"], "left_anti") if left else placed
+        done = placed.join(open_bins, ["_shard", "_bin"], "left_anti") if left else placed
         # A shard has fewer than 2**16 bins.
-        number = F.lit(level << 48) + F.shiftleft("shard", 16) + F.col("bin")
+        number = F.lit(level << 48) + F.shiftleft("_shard", 16) + F.col("_bin")
         out.append(done.select(*columns, number.alias("sequence_id")))
         rest, count, level = (stored(opened, "llm-rest") if left else rest), left, level + 1
     merged = out[0]

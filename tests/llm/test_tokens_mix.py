@@ -70,9 +70,12 @@ def test_packing(spark, monkeypatch, kind):
     sequences = places(found)
     assert Counter((r.doc_id, r.shard, r.length) for r in found) == Counter(rows)
     assert max(sum(n for _, n in m) for m in sequences.values()) <= 100
-    least = math.ceil(sum(r[2] for r in rows) / 100)
-    big = sum(r[2] > 50 for r in rows)
-    assert len(sequences) <= {"small": least + 1, "mixed": max(least, big) * 1.05 + 1, "large": 400, "equal": 400 / 2}[kind]
+    # Shards of 60 pieces against best fit by decreasing length over all pieces at once.
+    size = sorted((r[2] for r in rows), reverse=True)
+    whole = len(packing.Packing(size, 100).best_fit(list(range(400))).bins)
+    assert len(sequences) <= whole * 1.03 + 1
+    if kind == "small":
+        assert len(sequences) <= math.ceil(sum(size) / 100) + 1
 
 
 def test_evolution_improves_and_keeps_pieces():
@@ -185,7 +188,13 @@ def test_mix_of_overlapping_sources(spark, documents, prose):
         for t in r.takes:
             got[t.source] += t.words
             target[t.source] = t.target
-    assert all(abs(got[s] - min(target[s], 2 * sum(r.size for r in found if s in r.sources))) <= 1 for s in got)
+    # As much as the largest flow: overlapping sources may not all reach their targets.
+    capacity = Counter()
+    for r in found:
+        capacity["".join(r.sources)] += r.size
+    flow = mixing.route(list(capacity.values()), [["ab".index(s) for s in p] for p in capacity], [round(target[s]) for s in "ab"])
+    assert sum(got.values()) == sum(sum(f.values()) for f in flow)
+    assert all(got[s] <= target[s] + 1 for s in got)
 
 
 def test_mixed_texts(spark, documents, prose):
@@ -270,7 +279,7 @@ def labelled(spark, n, seed=0):
 
 def test_toxicity(spark, documents):
     rows, labels = labelled(spark, 700)
-    given = rows + EDGES
+    given = rows + [(d and d + 10_000, t, s) for d, t, s in EDGES]
     marks = spark.createDataFrame([*labels, (None, 1), (5000, 1), (3, None)], "doc_id long, toxic int")
     found = toxicity.scored(make_documents(spark, given), marks).collect()
     assert len(found) == len(given)
@@ -279,13 +288,13 @@ def test_toxicity(spark, documents):
     out = [r for r in found if r.held_out and r.doc_id in truth]
     assert len(out) > 150 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in found if r.doc_id is not None)
     assert sum(r.predicted == truth[r.doc_id] for r in out) >= 0.95 * len(out)
+    places = []
     for r in found:
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
-        for s in r.offending:
-            assert any(w in text[r.doc_id][s.start:s.end] for w in ("Badword", "nastything", "vileness"))
+        places += [any(w in text[r.doc_id][s.start:s.end] for w in ("Badword", "nastything", "vileness")) for s in r.offending]
         if not brute.words(text[r.doc_id]):
             assert r.score == 0
-    assert sum(bool(r.offending) for r in found) >= 0.9 * sum(truth.values())
+    assert sum(places) >= 0.95 * len(places) and sum(places) >= 0.9 * sum(truth.values())
 
 
 def test_toxicity_without_labels(spark, documents):
