@@ -87,7 +87,7 @@ def near_vectors(rows: list[tuple], threshold: float) -> list[tuple]:
     """(vec_id, links, component, kept) of rows (vec_id, vector, label)."""
     import numpy as np
 
-    good = [(v, np.array(x, float), label) for v, x, label in rows
+    good = [(v, np.array(x, float) / np.abs(x).max(), label) for v, x, label in rows
             if v is not None and label is not None and x and None not in x and np.isfinite(x).all() and any(x)]
     union, links = Union(), defaultdict(int)
     for k, (a, x, p) in enumerate(good):

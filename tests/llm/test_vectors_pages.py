@@ -150,17 +150,26 @@ def test_propagation(spark):
     assert edges == {("good.com", "friend.org"): 1, ("good.com", "both.org"): 2, ("friend.org", "both.org"): 1,
                      ("friend.org", "good.com"): 1, ("spam.org", "bad.net"): 2, ("both.org", "bad.net"): 1}
     hosts = sorted({h for e in edges for h in e})
-    step = np.zeros((len(hosts), len(hosts)))
-    for (a, b), n in edges.items():
-        step[hosts.index(b), hosts.index(a)] = n / sum(m for (s, _), m in edges.items() if s == a)
-    seed = np.array([float(h == "good.com") for h in hosts])
-    rank = 0.15 * seed
-    for _ in range(7):
-        rank = 0.85 * step @ rank + 0.15 * seed
+
+    def dense(links, start):
+        step = np.zeros((len(hosts), len(hosts)))
+        for (a, b), n in links.items():
+            step[hosts.index(b), hosts.index(a)] = n / sum(m for (s, _), m in links.items() if s == a)
+        seed = np.array([float(h == start) for h in hosts])
+        rank = 0.15 * seed
+        for _ in range(7):
+            rank = 0.85 * step @ rank + 0.15 * seed
+        return dict(zip(hosts, rank, strict=True))
+
+    trust = dense(edges, "good.com")
+    distrust = dense({(b, a): n for (a, b), n in edges.items()}, "bad.net")
     table = spark.createDataFrame([(*e, n) for e, n in edges.items()], "src string, dst string, links long")
     seeds = spark.createDataFrame([("good.com", 3)], "host string, weight long")
     found = {r.host: r.score for r in propagate(table, seeds, rounds=7).collect()}
-    assert all(abs(found.get(h, 0) - x) < 1e-12 for h, x in zip(hosts, rank, strict=True))
+    assert all(abs(found.get(h, 0) - x) < 1e-12 for h, x in trust.items())
     rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
-    verdict = {r.page_id: r.verdict for r in filter_urls(pages(spark, rows), rules, rounds=7).collect()}
-    assert verdict == {1: "allow", 2: "allow", 3: "block", 4: "block", 5: "block", 6: "allow"}
+    found = {r.host: r for r in filter_urls(pages(spark, rows), rules, rounds=7).collect()}
+    assert all(abs(found[h].trust - trust[h]) < 1e-12 and abs(found[h].distrust - distrust[h]) < 1e-12 for h in hosts)
+    want = {h: "block" if distrust[h] > trust[h] else "allow" for h in hosts} | {"good.com": "allow", "bad.net": "block"}
+    assert {h: r.verdict for h, r in found.items()} == want | {"alone.org": "allow"}
+    assert want["spam.org"] == "block" and want["both.org"] == "allow"
