@@ -267,7 +267,7 @@ def k2_blank_links(spark, sf):
     return _followed(read_trig_blocks(spark, path))
 
 
-@query("k1_iri_escapes", """
+@query("k1_iri_escapes", r"""
 SELECT 'http://example.org/' || p_name || ' "' || p_type || '"\{' || p_partkey || '}' AS s, p_brand AS o FROM part
 """)
 def k1_iri_escapes(spark, sf):

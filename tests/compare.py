@@ -29,7 +29,8 @@ def difference(df, con, sql: str) -> str | None:
         return f"columns {names} and {sorted(relation.columns)}"
     spark_types = {f.name: f.dataType.simpleString() for f in df.schema}
     duck_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
-    same = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
+    same = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN",
+            "double": "DOUBLE"}
     for n in names:
         if same.get(spark_types[n]) != duck_types[n]:
             return f"type of {n}: {spark_types[n]} and {duck_types[n]}"
