@@ -115,8 +115,7 @@ MIXING = f"""
         FROM sources WINDOW
             before AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
             here AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-    targets AS (SELECT source, source_size, round(least(most, weight * (SELECT coalesce(min(unit) FILTER (weight * unit <= most), max(unit))
-        FROM filled)), 6) AS target FROM filled),
+    targets AS (SELECT source, source_size, round(least(most, weight * (SELECT max(unit) FROM filled)), 6) AS target FROM filled),
     placed AS (SELECT d.*, source_size, target, round(target) AS flow,
         sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id ROWS UNBOUNDED PRECEDING) - size AS place
         FROM d JOIN targets ON d.source IS NOT DISTINCT FROM targets.source)
