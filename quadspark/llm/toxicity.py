@@ -7,7 +7,8 @@ documents' probabilities to their labels, which sorts out the sentences; those
 above a half are located.
 
 The weights are fitted on the driver, on at most ``max_documents`` labelled
-documents with at most ``max_words`` words each, drawn by a hash of the id.
+documents, drawn by a hash of the id.  Their texts count as a whole: sentences
+of a document with the same selected features are sent once, with their number.
 Scoring is one pass over all whole texts, without a shuffle.
 
 Defined results: null and empty texts have no sentence and score 0; without
@@ -22,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from quadspark.llm.tables import doc_texts, ship, stored
 from quadspark.llm.words import mix, slices
 
-MAX_DOCUMENTS, MAX_WORDS = 10_000, 20_000
+MAX_DOCUMENTS = 10_000
 #: A word's features are itself and its first bytes, so that inflected and compound forms share weights.
 PREFIXES = (4, 5, 7)
 #: Evidence (log-likelihood ratio) that a feature needs beyond what chance gives the best of all.
@@ -53,8 +55,8 @@ _TABLE = bytes(
 class Sentences:
     """The words of lower-case texts with their sentences; sentences have a word at least."""
 
-    def __init__(self, documents: list[bytes], max_words: int | None = None):
-        found = [d.translate(_TABLE).replace(_BREAK, b" \x01 ").split()[:max_words] for d in documents]
+    def __init__(self, documents: list[bytes]):
+        found = [d.translate(_TABLE).replace(_BREAK, b" \x01 ").split() for d in documents]
         flat = [w for d in found for w in d]
         breaks = np.fromiter((w == _BREAK for w in flat), bool, len(flat))
         text = np.repeat(np.arange(len(found)), [len(d) for d in found])
@@ -122,12 +124,12 @@ def select(described: DataFrame) -> list[int]:
 def fit(vocabulary: np.ndarray, documents: list[np.ndarray], least: np.ndarray, toxic: np.ndarray) -> Model:
     """Weights of the selected features, by Adam on the noisy-or likelihood.
 
-    documents: per document the selected features' places in the vocabulary, -1
-    at the end of each sentence.
+    documents: per document the selected features' places in the vocabulary; each
+    sentence ends in the number of sentences like it, negated.
     """
     flat, text = np.concatenate(documents), np.repeat(np.arange(len(documents)), [len(d) for d in documents])
     ends = flat < 0
-    owner = text[ends]
+    owner, alike = text[ends], -flat[ends].astype(float)
     sentence = (np.cumsum(ends) - ends)[~ends]
     word = flat[~ends]
     _, group, size = np.unique(least, return_inverse=True, return_counts=True)
@@ -138,9 +140,9 @@ def fit(vocabulary: np.ndarray, documents: list[np.ndarray], least: np.ndarray,
     for step in range(1, STEPS + 1):
         logit = parameters[-1] + np.bincount(sentence, parameters[word], len(owner))
         p = 1 / (1 + np.exp(-logit))
-        none = np.bincount(owner, np.logaddexp(0, logit), len(documents))  # -log of: no sentence offends
+        none = np.bincount(owner, alike * np.logaddexp(0, logit), len(documents))  # -log of: no sentence offends
         slope = np.where(toxic, -1 / np.expm1(np.clip(none, 1e-6, 50)), 1.0)
-        by_sentence = (np.maximum(slope, -1e3) * weight)[owner] * p
+        by_sentence = (np.maximum(slope, -1e3) * weight)[owner] * p * alike
         gradient = np.append(np.bincount(word, by_sentence[sentence], len(vocabulary)), by_sentence.sum())
         gradient[:-1] += DECAY * parameters[:-1]
         first = 0.9 * first + 0.1 * gradient
@@ -154,49 +156,50 @@ def _lower(batch: pa.RecordBatch) -> list[bytes]:
     return [x or b"" for x in lower.cast(pa.binary()).to_pylist()]
 
 
-def _describe(max_words: int):
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct features of each document, and the hash of its least sentence."""
+    for batch in slices(batches, "text"):
+        found = Sentences(_lower(batch))
+        least = np.full(batch.num_rows, np.iinfo(np.uint64).max, np.uint64)
+        if len(found.first):
+            words = mix(found.features[0].astype(np.uint64))
+            np.minimum.at(least, found.text, mix(np.add.reduceat(words, found.first)))
+        owner = found.text[found.sentence]
+        cut = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+        features = [np.unique(found.features[:, a:b]).astype(np.uint32).view(np.int32)
+                    for a, b in zip(cut, cut[1:], strict=False)]
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
+            "least": pa.array(least.view(np.int64)), "features": pa.array(features, pa.list_(pa.int32()))})
+
+
+def _encode(vocabulary: np.ndarray):
+    """Places of the selected features of each document's sentences; equal sentences are merged as in ``fit``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = Sentences(_lower(batch), max_words)
-            least = np.full(batch.num_rows, np.iinfo(np.uint64).max, np.uint64)
-            if len(found.first):
-                words = mix(found.features[0].astype(np.uint64))
-                np.minimum.at(least, found.text, mix(np.add.reduceat(words, found.first)))
-            owner = found.text[found.sentence]
-            cut = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-            features = [np.unique(found.features[:, a:b]).astype(np.uint32).view(np.int32)
-                        for a, b in zip(cut, cut[1:], strict=False)]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
-                "least": pa.array(least.view(np.int64)), "features": pa.array(features, pa.list_(pa.int32()))})
-
-    return run
-
-
-def _encode(vocabulary: np.ndarray, max_words: int):
-    """Places of the selected features of each document, -1 at the end of each sentence."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            found = Sentences(_lower(batch), max_words)
+            found = Sentences(_lower(batch))
             place = np.minimum(np.searchsorted(vocabulary, found.features), len(vocabulary) - 1)
-            _, word = np.nonzero(vocabulary[place] == found.features)
-            value = place[vocabulary[place] == found.features]
-            sentence = np.concatenate([found.sentence[word], np.arange(len(found.first))])
-            value = np.concatenate([value, np.full(len(found.first), -1)]).astype("<i4")
-            order = np.lexsort((value < 0, sentence))
-            value, owner = value[order], found.text[sentence[order]]
-            cut = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-            words = [value[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+            chosen = vocabulary[place] == found.features
+            _, word = np.nonzero(chosen)
+            value, sentence = place[chosen].astype("<i4"), found.sentence[word]
+            order = np.lexsort((value, sentence))
+            value, sentence = value[order], sentence[order]
+            alike: list[Counter[bytes]] = [Counter() for _ in range(batch.num_rows)]
+            first = np.flatnonzero(np.diff(sentence, prepend=-1))
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(value)], strict=False):
+                alike[found.text[sentence[a]]][value[a:b].tobytes()] += 1
+            plain = np.bincount(found.text, minlength=batch.num_rows) - np.bincount(
+                found.text[sentence[first]], minlength=batch.num_rows)
+            for counts, n in zip(alike, plain.tolist(), strict=True):
+                counts.update({b"": n} if n else {})
+            words = [b"".join(k + np.array([-n], "<i4").tobytes() for k, n in sorted(c.items())) for c in alike]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "words": pa.array(words, pa.binary())})
 
     return run
 
 
-def train(documents: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS,
-          max_words: int = MAX_WORDS) -> Model:
+def train(documents: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS) -> Model:
     """Fit on the labelled documents (doc_id, toxic)."""
     marks = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where(
         "doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -205,14 +208,14 @@ def train(documents: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCU
     texts = doc_texts(documents).where("text is not null").join(F.broadcast(drawn), "doc_id")
     sample = stored(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "llm-labelled")
     described = stored(sample.mapInArrow(
-        _describe(max_words), "doc_id long, toxic int, least long, features array<int>"), "llm-features-of")
+        _describe, "doc_id long, toxic int, least long, features array<int>"), "llm-features-of")
     vocabulary = np.unique(np.array(select(described), np.int32).view(np.uint32).astype(np.int64))
     if not len(vocabulary):
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
     rows = sorted(described.select("doc_id", "toxic", "least").collect(), key=lambda r: r.doc_id)
     toxic, least = np.array([r.toxic > 0 for r in rows], bool), np.array([r.least for r in rows])
     words = {r.doc_id: np.frombuffer(r.words, "<i4") for r in sample.mapInArrow(
-        _encode(vocabulary, max_words), "doc_id long, words binary").collect()}
+        _encode(vocabulary), "doc_id long, words binary").collect()}
     return fit(vocabulary, [words[r.doc_id] for r in rows], least, toxic)
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm import brute
 from llm.conftest import make_documents
@@ -314,3 +315,23 @@ def test_noise_of_copies_has_no_weight(spark, documents):
     model = toxicity.train(make_documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
     words = set(model.words.tolist())
     assert zlib.crc32(b"badword") in words and not words & {zlib.crc32(f"rare{i}".encode()) for i in range(1, 6)}
+
+
+def test_offence_at_the_end_of_long_texts(spark):
+    """Training reads whole texts, however long."""
+    rows = [(i, f"w{i} " * 20_010 + (". Badword end." if i % 4 == 0 else ". Other end."), "s") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(make_documents(spark, rows), labels)
+    assert zlib.crc32(b"badword") in set(model.words.tolist())
+
+
+def test_equal_sentences_are_merged():
+    """Sentences with equal features, once with their number, are fitted like all of them."""
+    spelled = [np.array([0, -1, -1, 0, -1, 1, 1, -1]), np.array([1, -1, -1, -1]), np.array([0, 1, -1])]
+    merged = [np.array([-1, 0, -2, 1, 1, -1]), np.array([-2, 1, -1]), np.array([0, 1, -1])]
+    toxic, least = np.array([True, False, True]), np.arange(3)
+    a, b = (toxicity.fit(np.array([5, 9]), d, least, toxic) for d in (spelled, merged))
+    assert np.allclose(a.weights, b.weights) and np.isclose(a.bias, b.bias)
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["x. bad bad! y. Bad bad. bad", None]})
+    found = next(toxicity._encode(np.array([zlib.crc32(b"bad")]))(iter([rows]))).to_pylist()
+    assert [np.frombuffer(r["words"], "<i4").tolist() for r in found] == [[-2, 0, -1, 0, 0, -2], []]
