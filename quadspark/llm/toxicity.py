@@ -98,11 +98,11 @@ class Model:
 def select(described: DataFrame) -> list[int]:
     """Features whose documents are toxic more often than chance would let any feature's be.
 
-    described: doc_id, toxic, least (hash of the least sentence) and distinct
-    features.  Labels are noisy and copies repeat their noise, so documents that
-    share their least sentence are one observation, with the label of most.
+    described: doc_id, toxic, content (hash of the set of sentences) and distinct
+    features.  Labels are noisy and copies repeat their noise, so documents with
+    the same sentences are one observation, with the label of most.
     """
-    groups = described.groupBy("least").agg(
+    groups = described.groupBy("content").agg(
         F.min(F.struct("doc_id", "features"))["features"].alias("features"), (F.avg("toxic") > 0.5).cast("int").alias("mark"))
     groups = stored(groups, "llm-observations")
     rate = groups.agg(F.avg("mark")).first()[0]
@@ -121,7 +121,7 @@ def select(described: DataFrame) -> list[int]:
     return [r.feature for r in found.select("feature").take(MAX_FEATURES)]
 
 
-def fit(vocabulary: np.ndarray, documents: list[np.ndarray], least: np.ndarray, toxic: np.ndarray) -> Model:
+def fit(vocabulary: np.ndarray, documents: list[np.ndarray], content: np.ndarray, toxic: np.ndarray) -> Model:
     """Weights of the selected features, by Adam on the noisy-or likelihood.
 
     documents: per document the selected features' places in the vocabulary; each
@@ -132,7 +132,7 @@ def fit(vocabulary: np.ndarray, documents: list[np.ndarray], least: np.ndarray,
     owner, alike = text[ends], -flat[ends].astype(float)
     sentence = (np.cumsum(ends) - ends)[~ends]
     word = flat[~ends]
-    _, group, size = np.unique(least, return_inverse=True, return_counts=True)
+    _, group, size = np.unique(content, return_inverse=True, return_counts=True)
     weight = 1 / size[group] / len(size)
     parameters = np.zeros(len(vocabulary) + 1)
     parameters[-1] = -5.0
@@ -157,20 +157,25 @@ def _lower(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct features of each document, and the hash of its least sentence."""
+    """Distinct features of each document, and the hash of its set of sentences."""
     for batch in slices(batches, "text"):
         found = Sentences(_lower(batch))
-        least = np.full(batch.num_rows, np.iinfo(np.uint64).max, np.uint64)
+        content = np.zeros(batch.num_rows, np.uint64)
         if len(found.first):
             words = mix(found.features[0].astype(np.uint64))
-            np.minimum.at(least, found.text, mix(np.add.reduceat(words, found.first)))
+            sentence = mix(np.add.reduceat(words, found.first))
+            order = np.lexsort((sentence, found.text))
+            text, sentence = found.text[order], sentence[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (text[1:] != text[:-1]) | (sentence[1:] != sentence[:-1])
+            np.add.at(content, text[new], mix(sentence[new]))
         owner = found.text[found.sentence]
         cut = np.searchsorted(owner, np.arange(batch.num_rows + 1))
         features = [np.unique(found.features[:, a:b]).astype(np.uint32).view(np.int32)
                     for a, b in zip(cut, cut[1:], strict=False)]
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
-            "least": pa.array(least.view(np.int64)), "features": pa.array(features, pa.list_(pa.int32()))})
+            "content": pa.array(content.view(np.int64)), "features": pa.array(features, pa.list_(pa.int32()))})
 
 
 def _encode(vocabulary: np.ndarray):
@@ -208,15 +213,15 @@ def train(documents: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCU
     texts = doc_texts(documents).where("text is not null").join(F.broadcast(drawn), "doc_id")
     sample = stored(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "llm-labelled")
     described = stored(sample.mapInArrow(
-        _describe, "doc_id long, toxic int, least long, features array<int>"), "llm-features-of")
+        _describe, "doc_id long, toxic int, content long, features array<int>"), "llm-features-of")
     vocabulary = np.unique(np.array(select(described), np.int32).view(np.uint32).astype(np.int64))
     if not len(vocabulary):
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    rows = sorted(described.select("doc_id", "toxic", "least").collect(), key=lambda r: r.doc_id)
-    toxic, least = np.array([r.toxic > 0 for r in rows], bool), np.array([r.least for r in rows])
+    rows = sorted(described.select("doc_id", "toxic", "content").collect(), key=lambda r: r.doc_id)
+    toxic, content = np.array([r.toxic > 0 for r in rows], bool), np.array([r.content for r in rows])
     words = {r.doc_id: np.frombuffer(r.words, "<i4") for r in sample.mapInArrow(
         _encode(vocabulary), "doc_id long, words binary").collect()}
-    return fit(vocabulary, [words[r.doc_id] for r in rows], least, toxic)
+    return fit(vocabulary, [words[r.doc_id] for r in rows], content, toxic)
 
 
 def _judge(batch: pa.RecordBatch, model: Model) -> tuple[Sentences, np.ndarray, np.ndarray]:

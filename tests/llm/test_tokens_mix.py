@@ -335,3 +335,17 @@ def test_equal_sentences_are_merged():
     rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["x. bad bad! y. Bad bad. bad", None]})
     found = next(toxicity._encode(np.array([zlib.crc32(b"bad")]))(iter([rows]))).to_pylist()
     assert [np.frombuffer(r["words"], "<i4").tolist() for r in found] == [[-2, 0, -1, 0, 0, -2], []]
+
+
+def test_a_shared_sentence_makes_no_copy(spark):
+    """Different documents with a common line are an observation each; only those with equal sentences are one."""
+    hashes = toxicity.mix(toxicity.mix(np.array([zlib.crc32(b"c%d" % k) for k in range(5000)], np.uint64)))
+    line = f"c{int(np.argmin(hashes))}"  # the least sentence of nearly every document
+    rows = [(i, f"{line}. w{i} v{i}. " + ("Badword end." if i % 4 == 0 else "Other end."), "s") for i in range(80)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.train(make_documents(spark, rows), labels)
+    assert zlib.crc32(b"badword") in set(model.words.tolist())
+    texts = ["the. a b. c", "c! the. A b. the", "the. a b. d", "the", "", "The. the. the"]
+    given = pa.RecordBatch.from_pydict({"doc_id": range(6), "toxic": [0] * 6, "text": texts})
+    content = [r["content"] for r in next(toxicity._describe(iter([given]))).to_pylist()]
+    assert content[0] == content[1] and content[3] == content[5] and len(set(content)) == 4
