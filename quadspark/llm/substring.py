@@ -1,18 +1,21 @@
-"""Substring dedup by relative Lempel-Ziv parsing (operator 1).
+"""Substring dedup by window fingerprints (operator 1).
 
-Every document is indexed: it is cut into *runs*, which are spread by hash over
-the reference blocks, and every document is parsed against all blocks.  The
-anchor of a 50-word window is its least 10-word hash; a run is a maximal row of
-windows with one anchor.  Equal passages have equal anchors and, away from
-their ends, equal runs, so the parse goes in two steps:
+This takes the place of a greedy relative Lempel-Ziv parse: there are no longest
+factors and no reference blocks.  A parse goes through a document word by word
+against an index that a task has to hold; windows of one fixed length, which are
+all that decides here, meet their equals in joins instead.
 
-* **Factors.**  A run that also occurs in a document with a smaller id is
+The anchor of a 50-word window is its least 10-word hash (winnowing); a *run* is
+a maximal row of windows with one anchor.  Equal passages have equal anchors
+and, away from their ends, equal runs, so there are two steps:
+
+* **Whole runs.**  A run that also occurs in a document with a smaller id is
   matched as a whole, without looking at its windows.
-* **Factor boundaries.**  Runs that are first of their kind, but whose anchor
+* **Single windows.**  Runs that are first of their kind, but whose anchor
   also occurs with other words around it, are compared window by window.
 
 Windows found in either step are merged into spans.  A window is judged on the
-input, so nothing depends on the order of the parse, and the result is exact
+input, so nothing depends on the order of the rows, and the result is exact
 (up to collisions of two independent 64-bit hashes).
 
 All counts per key combine before their shuffle; joins that carry hot keys have
