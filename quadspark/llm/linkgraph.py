@@ -4,13 +4,15 @@ Rules judge the urls they fit; the longest wins.  All other urls are judged by
 their host.  Hosts most of whose pages a rule allows are the trusted seeds, and
 those most of whose pages a rule blocks the blocked ones.  Trust flows along the
 links by personalised PageRank, and distrust against them, because who links to
-bad hosts is suspect.  A host is blocked if its distrust
-reaches ``threshold`` and exceeds its trust.
+bad hosts is suspect.  Scores are shares of all seed pages; they are judged as
+numbers of pages (share times seed pages), so that a host's verdict does not
+depend on how many other pages the table has.  A host is blocked if its distrust
+reaches ``threshold`` pages and exceeds its trust.
 
 Links are counted per pair of hosts before the first round, so a round joins one
 row per host with its edges, and the sums combine before their shuffle.  Each
-few rounds end in a table; the last one is where scores no longer change, or
-after 20 rounds, when 4 % of a walk of restart 0.15 is left.
+few rounds end in a table; the last one is where all further rounds together
+would add less than a tenth of the threshold.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is allowed; null html has no links; links to the own host, and relative ones,
@@ -20,6 +22,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +33,10 @@ from quadspark.llm.tables import stored
 RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"))
-ROUNDS, ROUNDS_PER_TABLE, DAMPING, THRESHOLD = 20, 4, 0.85, 1e-6
-#: Total change of the scores in a table that ends the rounds.
-SETTLED = 1e-9
+#: The threshold is in pages.
+ROUNDS_PER_TABLE, DAMPING, THRESHOLD = 4, 0.85, 1e-6
+#: Sum of what all scores may still gain when the rounds end; filter_urls: as a share of the threshold.
+SETTLED, SETTLED_SHARE = 1e-9, 0.1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
 
@@ -84,34 +89,38 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING,
+              settled: float = SETTLED) -> DataFrame:
     """Personalised PageRank: (host, score), from seeds (host, weight) along edges (src, dst, links).
 
     Scores sum to 1 at most; what reaches a host without edges stays there no
-    longer than a round.
+    longer than a round.  Rounds end after ``rounds``, if given, or when all
+    later ones would add less than ``settled`` to the sum of the scores.
     """
+    # A round adds at most ``damping`` of what the last one has added.
+    last = rounds if rounds is not None else max(1, math.ceil(math.log(settled) / math.log(damping)))
     total = seeds.groupBy().agg(F.sum("weight").alias("total"))
     start = stored(seeds.crossJoin(F.broadcast(total)).select(  # one row of a sum
         "host", (F.col("weight") / F.col("total")).alias("seed")), "llm-seeds")
     out = edges.groupBy("src").agg(F.sum("links").alias("out"))
     share = stored(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("out")).alias("share")), "llm-shares")
     ranks = before = start.select("host", ((1 - damping) * F.col("seed")).alias("score"))
-    for number in range(1, rounds + 1):
+    for number in range(1, last + 1):
         flow = ranks.join(share, ranks.host == share.src).select(
             F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
         base = start.select("host", ((1 - damping) * F.col("seed")).alias("score"))
         ranks = flow.unionByName(base).groupBy("host").agg(F.sum("score").alias("score"))
-        if number % ROUNDS_PER_TABLE == 0 or number == rounds:
+        if number % ROUNDS_PER_TABLE == 0 or number == last:
             ranks = stored(ranks, "llm-ranks")
             both = ranks.unionByName(before.select("host", (-F.col("score")).alias("score")))
             change = both.groupBy("host").agg(F.abs(F.sum("score")).alias("change")).agg(F.sum("change")).first()[0]
-            if (change or 0) < SETTLED:
+            if (change or 0) * damping / (1 - damping) < settled:
                 break
             before = ranks
     return ranks
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, rounds: int = ROUNDS, threshold: float = THRESHOLD) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, rounds: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Per page page_id, host, path, rule, verdict, trust and distrust."""
     url = F.col("url").cast("string")
     urls = pages.select("page_id", F.coalesce(host_of(url), F.lit("")).alias("host"),
@@ -124,13 +133,16 @@ def filter_urls(pages: DataFrame, rules: DataFrame, rounds: int = ROUNDS, thresh
     edges = stored(host_edges(pages.select(url.alias("url"), F.col("html").cast("string"))), "llm-edges")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     seeds = {v: ruled.where(f"2 * {v} > pages").select("host", F.col(v).alias("weight")) for v in ("allow", "block")}
-    trust = propagate(edges, seeds["allow"], rounds)
-    distrust = propagate(back, seeds["block"], rounds)
+    total = {v: seeds[v].agg(F.sum("weight")).first()[0] or 0 for v in seeds}
+    settled = SETTLED_SHARE * threshold / max(1, *total.values())
+    trust = propagate(edges, seeds["allow"], rounds, settled=settled)
+    distrust = propagate(back, seeds["block"], rounds, settled=settled)
     scores = trust.select("host", F.col("score").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(
         distrust.select("host", F.lit(0.0).alias("trust"), F.col("score").alias("distrust")))
     scores = stored(scores.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "llm-scores")
     judged = urls.join(hits, ["host", "path"], "left").join(scores, "host", "left").fillna(0.0, ["trust", "distrust"])
-    bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
+    suspect = F.col("distrust") * F.lit(float(total["block"]))
+    bad = (suspect >= threshold) & (suspect > F.col("trust") * F.lit(float(total["allow"])))
     return judged.select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", F.when(bad, "block").otherwise("allow")).alias("verdict"), "trust", "distrust")

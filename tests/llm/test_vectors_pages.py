@@ -9,6 +9,7 @@ from glob import glob
 import numpy as np
 import pytest
 from llm import brute
+from pyspark.sql import functions as F
 
 from quadspark.llm import arc
 from quadspark.llm.linkgraph import RULES, filter_urls, host_edges, matched, propagate
@@ -173,3 +174,21 @@ def test_propagation(spark):
     want = {h: "block" if distrust[h] > trust[h] else "allow" for h in hosts} | {"good.com": "allow", "bad.net": "block"}
     assert {h: r.verdict for h, r in found.items()} == want | {"alone.org": "allow"}
     assert want["spam.org"] == "block" and want["both.org"] == "allow"
+
+
+def test_verdicts_do_not_depend_on_the_rest_of_the_table(spark):
+    """Many other blocked and allowed pages change no host's verdict, and distrust goes far."""
+    chain = [(10 + k, f"http://h{k}.org/", link(f"h{k - 1}.org" if k else "bad.net")) for k in range(30)]
+    rows = [(1, "http://bad.net/es/1", ""), (2, "http://spam.org/", link("bad.net")), (3, "http://good.com/", link("fine.org", "x.org")),
+            (4, "http://fine.org/", link("bad.net")), (5, "http://mixed.org/", link("bad.net", "x.org")), (6, "http://x.org/", "")]
+    rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
+    few = pages(spark, rows + chain)
+    more = spark.range(400_000).select(
+        (F.col("id") + 1000).alias("page_id"), F.concat(F.lit("http://big.net/es/"), F.col("id") % 7).alias("url"),
+        F.lit("").alias("html")).unionByName(spark.range(5000).select(
+            (F.col("id") + 500_000).alias("page_id"), F.lit("http://big.com/").alias("url"), F.lit("").alias("html")))
+    many = few.select("page_id", "url", "html").unionByName(more)
+    found = [{r.page_id: r.verdict for r in filter_urls(t, rules).where("page_id < 1000").select("page_id", "verdict").collect()}
+             for t in (few, many)]
+    assert found[0] == found[1]
+    assert all(found[0][k] == "block" for k in (1, 2, 5, *range(10, 40))) and found[0][6] == "allow"
