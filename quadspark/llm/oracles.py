@@ -123,6 +123,75 @@ MIXING = f"""
         + greatest(0, least(flow, source_size + place + size) - source_size - place))::BIGINT AS taken
     FROM placed"""
 
+def _field(name: str, value: str | None = None) -> str:
+    text = f"({value or name})::VARCHAR"
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE octet_length(encode({text})) || ':' || {text} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars')))} || {_field('text', text)})"
+
+
+#: crc32 as DuckDB has none: eight shifts for each byte of a decimal number.
+_CRC = """list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda r, byte: list_reduce(list_prepend(xor(r, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, none: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))"""
+
+MANIFEST = f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, coalesce('+' || source, '') AS tree, {_leaf('text')} AS leaf,
+            CASE WHEN xor({_CRC}, 4294967295) % 5 = 0 THEN {_leaf(_LOWER)} ELSE {_leaf('text')} END AS claim
+        FROM documents),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+    nodes AS (
+        SELECT tree, 0 AS level, pos, n, leaf AS digest FROM placed
+        UNION ALL
+        SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+    subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    upper AS (
+        SELECT 0 AS level, pos, n, digest FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM upper WHERE n > 1 GROUP BY level, pos // 16, n),
+    heights AS (SELECT tree, max(level) AS height FROM nodes GROUP BY tree),
+    runs AS (
+        SELECT tree, level, pos // 16 AS run, list(digest ORDER BY pos) AS members FROM nodes WHERE n > 1 GROUP BY ALL
+        UNION ALL
+        SELECT h.tree, h.height + u.level, u.run, u.members FROM heights h,
+            (SELECT level, pos // 16 AS run, list(digest ORDER BY pos) AS members FROM upper WHERE n > 1 GROUP BY ALL) u),
+    tops AS (SELECT s.tree, height, s.pos, digest AS subroot FROM subroots s JOIN heights USING (tree)),
+    steps AS (
+        SELECT p.doc_id, p.tree, p.pos AS leaf_pos, 0 AS level, CASE WHEN height = 0 THEN t.pos ELSE p.pos END AS pos,
+            claim AS value, '' AS proof FROM placed p JOIN tops t USING (tree)
+        UNION ALL
+        SELECT s.doc_id, s.tree, s.leaf_pos, s.level + 1,
+            CASE WHEN s.level + 1 = t.height THEN t.pos ELSE s.pos // 16 END,
+            sha256(array_to_string(r.members[:s.pos % 16], '') || s.value || array_to_string(r.members[s.pos % 16 + 2:], '')),
+            s.proof || array_to_string(r.members[:s.pos % 16], '') || array_to_string(r.members[s.pos % 16 + 2:], '')
+        FROM steps s JOIN tops t USING (tree) JOIN runs r ON r.tree = s.tree AND r.level = s.level AND r.run = s.pos // 16),
+    ends AS (SELECT tree, leaf_pos, max_by(value, level) AS value, max_by(proof, level) AS proof FROM steps GROUP BY ALL),
+    root AS (SELECT digest AS root FROM upper WHERE n = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, value AS folded_root, value = root AS verified
+    FROM placed p JOIN ends e ON p.tree = e.tree AND p.pos = e.leaf_pos JOIN tops t ON t.tree = p.tree, root"""
+
+INFILL = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+        sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents),
+    draws AS (SELECT *, len(u) AS n, list_transform(range(4), lambda k: ('0x' || hex[8 * k + 1:8 * k + 8])::BIGINT) AS h FROM d),
+    cuts AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+            WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM draws),
+    parts AS (SELECT *, array_to_string(u[:low], '') AS p, array_to_string(u[low + 1:high], '') AS m,
+        array_to_string(u[high + 1:], '') AS s FROM cuts)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRING,
     "op3_arc_to_warc": ARC,
@@ -130,4 +199,6 @@ SQL = {
     "op6_minhash_forest": FOREST,
     "op9_repetition": REPETITION,
     "op10_flow_mixing": MIXING,
+    "op11_merkle_manifest": MANIFEST,
+    "op13_fill_in_middle": INFILL,
 }

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from quadspark.llm.arc import archive_pages
 from quadspark.llm.forest import near_duplicates
+from quadspark.llm.infill import infill, restored
 from quadspark.llm.linkgraph import RULES, filter_urls
+from quadspark.llm.manifest import proofs, tampered
 from quadspark.llm.mixing import mix
 from quadspark.llm.oracles import SQL  # noqa: F401
 from quadspark.llm.packing import packed
+from quadspark.llm.quality import scored as quality_scored
 from quadspark.llm.repetition import repetition
 from quadspark.llm.rotation import near_vectors
 from quadspark.llm.sharding import shard
@@ -78,6 +81,23 @@ def op10_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", own["source_size"].alias("source_size"), F.round(own["target"], 6).alias("target"), "taken")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = proofs(read(spark, sf_dir, "documents"), tampered())
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.translate("proof", "|;", ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = restored(infill(read(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
@@ -89,4 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_virtual_slots": op8_virtual_slots,
     "op9_repetition": op9_repetition,
     "op10_flow_mixing": op10_flow_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_ftrl": op12_quality_ftrl,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
