@@ -7,8 +7,7 @@ subject template is repeated per predicate.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quadspark.functions.scalars import ENCODE_FOR_URI
 from quadspark.functions.terms import (
     IRI,
     LANG_STRING,
@@ -26,143 +24,38 @@ from quadspark.functions.terms import (
     XSD_STRING,
 )
 from quadspark.functions.terms import Literal as LiteralValue
-
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_PLACEHOLDER = re.compile(r"\{([^{}]+)\}")
-
-
-# --- term maps ----------------------------------------------------------------
-# A term map gives the SQL text of its value: a whole source then needs one
-# projection to be built, however many object maps it has.
-
-def quoted(text: str) -> str:
-    """A string as a SQL literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def named(column: str) -> str:
-    """A column name as a SQL identifier."""
-    return "`" + column.replace("`", "``") + "`"
-
-
-@dataclass(frozen=True)
-class TermMap:
-    """Yields a lexical value from a row, and the kind of term it becomes."""
-
-    term_type: str = LITERAL
-
-    def references(self) -> list[str]:
-        return []
-
-    def sql(self, types: dict[str, T.DataType]) -> str:
-        raise NotImplementedError
-
-
-@dataclass(frozen=True)
-class Template(TermMap):
-    pattern: str = ""
-
-    def references(self) -> list[str]:
-        return _PLACEHOLDER.findall(self.pattern)
-
-    def sql(self, types: dict[str, T.DataType]) -> str:
-        parts = []
-        for index, piece in enumerate(_PLACEHOLDER.split(self.pattern)):
-            if index % 2:
-                parts.append(self._slot(types, piece))
-            elif piece:
-                parts.append(quoted(piece))
-        return f"concat({', '.join(parts)})"
-
-    def _slot(self, types: dict[str, T.DataType], name: str) -> str:
-        value = f"cast({named(name)} AS string)"
-        # Digits and a minus sign are unreserved: keys need no encoding.
-        if self.term_type == LITERAL or isinstance(types[name], _INTEGRAL):
-            return value
-        return ENCODE_FOR_URI.format(value)
-
-
-@dataclass(frozen=True)
-class Constant(TermMap):
-    constant: str = ""
-
-    def sql(self, types: dict[str, T.DataType]) -> str:
-        return quoted(self.constant)
-
-
-def lexical(value: str, kind: T.DataType | None) -> str:
-    """SQL for the lexical form that the XML Schema type of a column's type has."""
-    text = f"cast({value} AS string)"
-    if isinstance(kind, T.TimestampNTZType):
-        return f"replace({text}, ' ', 'T')"
-    if isinstance(kind, T.TimestampType):
-        utc = f"convert_timezone(current_timezone(), 'UTC', cast({value} AS timestamp_ntz))"
-        return f"concat(replace(cast({utc} AS string), ' ', 'T'), 'Z')"
-    if isinstance(kind, T.DoubleType | T.FloatType):
-        return f"replace({text}, 'Infinity', 'INF')"
-    if isinstance(kind, T.BinaryType):
-        return f"hex({value})"
-    return text
-
-
-@dataclass(frozen=True)
-class Reference(TermMap):
-    column: str = ""
-
-    def references(self) -> list[str]:
-        return [self.column]
-
-    def sql(self, types: dict[str, T.DataType]) -> str:
-        return lexical(named(self.column), types.get(self.column))
-
-
-@dataclass(frozen=True)
-class Expression(TermMap):
-    """A SQL expression over the source as a term map (the functions part of a mapping)."""
-
-    text: str = ""
-
-    def sql(self, types: dict[str, T.DataType]) -> str:
-        return f"cast({self.text} AS string)"
-
-
-def template(pattern: str, term_type: str = IRI) -> Template:
-    """``{column}`` slots in a pattern; a null column gives no term.
-
-    In IRIs and blank nodes the inserted values are percent-encoded down to
-    ASCII unreserved characters; non-ASCII letters are encoded as well.
-    """
-    return Template(term_type, pattern)
-
-
-def constant(value: str | LiteralValue, term_type: str = IRI) -> Constant:
-    if isinstance(value, LiteralValue):
-        return Constant(LITERAL, value.value)
-    return Constant(term_type, value)
-
-
-def reference(column: str, term_type: str = LITERAL) -> Reference:
-    return Reference(term_type, column)
-
-
-def expression(sql: str, term_type: str = LITERAL) -> Expression:
-    return Expression(term_type, sql)
-
+from quadspark.operators.inversion import equals
+from quadspark.operators.termmaps import (  # noqa: F401
+    Constant,
+    Expression,
+    Reference,
+    Template,
+    TermMap,
+    constant,
+    expression,
+    named,
+    quoted,
+    reference,
+    template,
+)
 
 # --- triples maps -------------------------------------------------------------
 
 @dataclass(frozen=True)
 class ParentRef:
-    """An object that is the subject of another map, found by a join condition."""
+    """An object that is the subject of another map, found by join conditions.
+
+    All conditions have to hold.  Without any, parent and child are one row of
+    one source.
+    """
 
     parent: "TriplesMap"
-    child_key: str
-    parent_key: str
+    joins: tuple[tuple[str, str], ...]
 
 
 @dataclass(frozen=True)
 class ObjectMap:
-    predicate: str
+    predicate: str | TermMap
     object: TermMap | ParentRef
     datatype: str | None = None
     language: str | TermMap | None = None
@@ -170,24 +63,33 @@ class ObjectMap:
 
 @dataclass(frozen=True)
 class TriplesMap:
+    """How the rows of a source become triples.
+
+    ``unique`` tells that no two rows have the same subject: patterns on one
+    subject are then answered from one row, without a join.
+    """
+
     source: str
     subject: TermMap
     objects: Sequence[ObjectMap] = ()
     classes: Sequence[str] = ()
     graph: TermMap | None = None
     missing_reference: str = "error"
+    unique: bool = False
 
     def __post_init__(self):
         if self.missing_reference not in ("error", "skip"):
             raise ValueError("missing_reference is 'error' or 'skip'")
 
 
-def parent_ref(parent: TriplesMap, child: str, parent_key: str) -> ParentRef:
-    return ParentRef(parent, child, parent_key)
+def parent_ref(parent: TriplesMap, child: str | Sequence[str] = (), parent_key: str | Sequence[str] = ()) -> ParentRef:
+    """Join conditions as one column of each side, or as equally many."""
+    sides = [[x] if isinstance(x, str) else list(x) for x in (child, parent_key)]
+    return ParentRef(parent, tuple(zip(*sides, strict=True)))
 
 
 def pom(
-    predicate: str,
+    predicate: str | TermMap,
     obj: str | TermMap | ParentRef | LiteralValue,
     datatype: str | None = None,
     language: str | TermMap | None = None,
@@ -195,6 +97,7 @@ def pom(
 ) -> ObjectMap:
     """A predicate-object map; a plain string object is a column reference.
 
+    ``predicate`` is an IRI, or a term map that gives the predicate of each row.
     ``language`` is a tag or a term map that gives the tag of each row.
     """
     if isinstance(obj, LiteralValue):
@@ -224,17 +127,20 @@ def apply_mappings(
     sources: dict[str, DataFrame],
     maps: Sequence[TriplesMap],
     only: Iterable[str] | None = None,
+    s: str | None = None,
+    o: str | LiteralValue | None = None,
 ) -> DataFrame:
     """Quads of several maps; the maps on one source share one scan.
 
-    The result is a bag: rows that map to the same triple repeat it.  Sources
+    ``s`` and ``o`` leave out rows that cannot give this subject IRI or object;
+    other quads of the rows that can may remain.  The result is a bag: rows that map to the same triple repeat it.  Sources
     with unique keys give a set; otherwise apply ``graph_union``.
     """
     wanted = None if only is None else set(only)
     by_source: dict[str, list[TriplesMap]] = {}
     for m in maps:
         by_source.setdefault(m.source, []).append(m)
-    results = [_map_source(sources[name], group, sources, wanted) for name, group in by_source.items()]
+    results = [_map_source(sources[name], group, sources, wanted, s, o) for name, group in by_source.items()]
     results = [r for r in results if r is not None]
     if not results:
         return next(iter(sources.values())).sparkSession.createDataFrame([], QUAD_SCHEMA)
@@ -251,49 +157,115 @@ class MappedGraph:
 
     sources: dict[str, DataFrame]
     maps: Sequence[TriplesMap]
+    #: Redistributes the rows of a source (by name) before they are multiplied into quads.
+    spread: Callable[[str, DataFrame], DataFrame] | None = None
+
+    def quads(
+        self, only: Iterable[str] | None = None, s: str | None = None, o: str | LiteralValue | None = None
+    ) -> DataFrame:
+        """All quads, or at least those with the predicates, the subject IRI and the object given.
+
+        Subject and object become tests of the source columns, which the scan
+        can use; maps that cannot give them are not read.
+        """
+        sources = self.sources
+        if self.spread is not None and s is None and o is None:
+            sources = {name: self.spread(name, df) for name, df in sources.items()}
+        return apply_mappings(sources, self.maps, only, s, o)
+
+
+def _map_source(df, maps, sources, only, wanted_s=None, wanted_o=None):
+    def subject_test(m: TriplesMap) -> str | None:
+        if wanted_s is None:
+            return "true"
+        return equals(m.subject, types, wanted_s) if subject_kind(m.subject) == IRI else None
+
+    def object_test(
+        term_map: TermMap, of: dict[str, T.DataType], kind: str, datatype: str | None = None, tagged: bool = False
+    ) -> str | None:
+        if wanted_o is None:
+            return "true"
+        if isinstance(wanted_o, str):
+            return equals(term_map, of, wanted_o) if kind == IRI else None
+        if kind != LITERAL or not (tagged or wanted_o.datatype == (datatype or XSD_STRING)):
+            return None
+        return equals(term_map, of, wanted_o.value)
 
-    def quads(self, only: Iterable[str] | None = None) -> DataFrame:
-        return apply_mappings(self.sources, self.maps, only)
-
-
-def _map_source(df, maps, sources, only):
     types = {f.name: f.dataType for f in df.schema}
     subjects: list[TermMap] = []
     rows: list[_Row] = []
     joined: list[DataFrame] = []
     for m in maps:
-        if not _available(types, m.subject, m) or (m.graph is not None and not _available(types, m.graph, m)):
+        if not available(types, m.subject, m) or (m.graph is not None and not available(types, m.graph, m)):
+            continue
+        chosen = subject_test(m)
+        if chosen is None:
             continue
         graph = None if m.graph is None else f"nullif(trim({m.graph.sql(types)}), '')"
         start, number = len(rows), len(subjects)
         if only is None or RDF_TYPE in only:
-            rows += [_Row(number, RDF_TYPE, quoted(cls), IRI, None, None, graph) for cls in m.classes]
+            for cls in m.classes:
+                test = object_test(Constant(IRI, cls), {}, IRI)
+                if test is not None:
+                    rows.append(_Row(number, RDF_TYPE, quoted(cls), IRI, None, None, graph, _both(chosen, test)))
         for om in m.objects:
-            if only is not None and om.predicate not in only:
+            predicate = _predicate(types, om, m, only)
+            if predicate is None:
                 continue
+            constant_predicate, computed_predicate, wanted = predicate
             if isinstance(om.object, ParentRef):
-                joined.append(_parent_quads(df, types, m, om, sources, graph))
-            elif _available(types, om.object, m):
+                parent_types = _parent_types(om.object, df, m, sources)
+                test = object_test(om.object.parent.subject, parent_types, subject_kind(om.object.parent.subject))
+                if test is not None:
+                    joined.append(_parent_quads(df, types, m, om, sources, graph, predicate, chosen, test))
+            elif available(types, om.object, m):
                 kind = om.object.term_type
                 language = _language(types, om) if kind == LITERAL else None
-                rows.append(_Row(number, om.predicate, om.object.sql(types), kind, om.datatype, language, graph))
+                test = object_test(om.object, types, kind, om.datatype, language is not None)
+                if test is None:
+                    continue
+                value = om.object.sql(types)
+                if wanted is not None:
+                    value = f"CASE WHEN {wanted} THEN {value} END"
+                rows.append(_Row(number, constant_predicate, value, kind, om.datatype, language, graph,
+                                 _both(chosen, test), computed_predicate))
         if len(rows) > start:
             subjects.append(m.subject)
     results = [_exploded(df, types, subjects, rows), *joined] if rows else joined
     return reduce(lambda x, y: x.unionByName(y), results) if results else None
 
 
+def _both(a: str, b: str) -> str:
+    """Conjunction of two tests."""
+    return " AND ".join(f"({x})" for x in (a, b) if x != "true") or "true"
+
+
+def _predicate(types, om: ObjectMap, m: TriplesMap, only) -> tuple[str | None, str | None, str | None] | None:
+    """The constant predicate or the SQL of a computed one, and its test for being wanted; None if it never is."""
+    if isinstance(om.predicate, str):
+        return (om.predicate, None, None) if only is None or om.predicate in only else None
+    if not available(types, om.predicate, m):
+        return None
+    text = om.predicate.sql(types)
+    if only is None:
+        return None, text, f"{text} IS NOT NULL"
+    tests = [test for p in sorted(only) if (test := equals(om.predicate, types, p)) is not None]
+    return (None, text, " OR ".join(f"({t})" for t in tests)) if tests else None
+
+
 @dataclass(frozen=True)
 class _Row:
     """One triple that every source row gives; the texts are SQL."""
 
     subject: int
-    predicate: str
+    predicate: str | None
     value: str
     kind: str
     datatype: str | None
     language: str | None
     graph: str | None
+    test: str = "true"
+    computed_predicate: str | None = None
 
 
 def _exploded(df: DataFrame, types, subjects: Sequence[TermMap], rows: Sequence[_Row]) -> DataFrame:
@@ -306,10 +278,14 @@ def _exploded(df: DataFrame, types, subjects: Sequence[TermMap], rows: Sequence[
     if len(subjects) == 1:
         # A null slot gives no subject: tested on the source columns, so that the scan can skip.
         tests = [f"{named(name)} IS NOT NULL" for name in subjects[0].references()]
+    wanted = list(dict.fromkeys(r.test for r in rows))
+    if "true" not in wanted:
+        tests.append(" OR ".join(f"({test})" for test in wanted))
     below = {f"__s{i}": subject.sql(types) for i, subject in enumerate(subjects)}
     for i, r in enumerate(rows):
-        below |= {f"__{name}{i}": text for name, text in (("lang", r.language), ("g", r.graph)) if text is not None}
-    source = df.filter(" AND ".join(tests)) if tests else df
+        texts = (("lang", r.language), ("g", r.graph), ("p", r.computed_predicate))
+        below |= {f"__{name}{i}": text for name, text in texts if text is not None}
+    source = df.filter(" AND ".join(f"({test})" for test in tests)) if tests else df
     wide = source.selectExpr("*", *(f"{text} AS {name}" for name, text in below.items()))
     # The array is written inside the generator: over a column, Spark would infer
     # filters on it and evaluate the values twice.
@@ -327,12 +303,15 @@ def _exploded(df: DataFrame, types, subjects: Sequence[TermMap], rows: Sequence[
     dt = _lookup([(r.datatype or XSD_STRING) if r.kind == LITERAL else None for r in rows])
     if any(r.language is not None for r in rows):
         dt = f"CASE WHEN {lang} IS NOT NULL THEN {quoted(LANG_STRING)} ELSE {dt} END"
+    predicate = _lookup([r.predicate for r in rows])
+    if any(r.computed_predicate is not None for r in rows):
+        predicate = f"coalesce({computed('p')}, {predicate})"
     present = "o IS NOT NULL"
     if len(subjects) > 1 or not subjects[0].references():
         present += f" AND {subject} IS NOT NULL"
     columns = {
-        "s": subject, "s_kind": _lookup([_subject_kind(subjects[r.subject]) for r in rows]),
-        "p": _lookup([r.predicate for r in rows]), "o": "o", "o_kind": _lookup([r.kind for r in rows]),
+        "s": subject, "s_kind": _lookup([subject_kind(subjects[r.subject]) for r in rows]),
+        "p": predicate, "o": "o", "o_kind": _lookup([r.kind for r in rows]),
         "o_dt": dt, "o_lang": lang, "g": computed("g"),
     }
     return triples.filter(present).selectExpr(*(f"{text} AS {name}" for name, text in columns.items()))
@@ -344,11 +323,11 @@ def _lookup(values: Sequence[str | None]) -> str:
     return texts[0] if len(set(texts)) == 1 else f"get(array({', '.join(texts)}), __i)"
 
 
-def _subject_kind(subject: TermMap) -> str:
+def subject_kind(subject: TermMap) -> str:
     return IRI if subject.term_type == LITERAL else subject.term_type
 
 
-def _available(types, term_map: TermMap, m: TriplesMap) -> bool:
+def available(types, term_map: TermMap, m: TriplesMap) -> bool:
     missing = [c for c in term_map.references() if c not in types]
     if not missing:
         return True
@@ -363,19 +342,35 @@ def _language(types, om: ObjectMap) -> str | None:
     return f"lower({om.language.sql(types) if isinstance(om.language, TermMap) else quoted(om.language)})"
 
 
-def _parent_quads(df, types, m, om, sources, graph):
-    """Child rows joined to parent rows on the condition; the object is the parent's subject."""
-    ref = om.object
-    parent_df = sources.get(ref.parent.source)
-    if parent_df is None:
+def _parent_types(ref: ParentRef, df: DataFrame, m: TriplesMap, sources) -> dict[str, T.DataType]:
+    parent = sources.get(ref.parent.source)
+    if parent is None and not ref.joins and ref.parent.source == m.source:
+        parent = df
+    if parent is None:
         raise ValueError(f"no source {ref.parent.source} for the parent map")
-    child = df.selectExpr(
-        f"{m.subject.sql(types)} AS s", f"{named(ref.child_key)} AS __child",
-        f"{graph or 'cast(null AS string)'} AS g").filter("s IS NOT NULL")
-    parent_types = {f.name: f.dataType for f in parent_df.schema}
-    parent = parent_df.selectExpr(
-        f"{ref.parent.subject.sql(parent_types)} AS o", f"{named(ref.parent_key)} AS __parent").filter("o IS NOT NULL")
-    return child.join(parent, F.col("__child") == F.col("__parent")).selectExpr(
-        "s", f"{quoted(_subject_kind(m.subject))} AS s_kind", f"{quoted(om.predicate)} AS p", "o",
-        f"{quoted(ref.parent.subject.term_type)} AS o_kind", "cast(null AS string) AS o_dt",
+    if not ref.joins and ref.parent.source != m.source:
+        raise ValueError("a parent in another source needs a join condition")
+    return {f.name: f.dataType for f in parent.schema}
+
+
+def _parent_quads(df, types, m, om, sources, graph, predicate, subject_test, object_test):
+    """Child rows joined to parent rows on the conditions; the object is the parent's subject."""
+    ref = om.object
+    fixed, computed, wanted = predicate
+    parent_types = _parent_types(ref, df, m, sources)
+    child = df.filter(_both(subject_test, wanted or "true")).selectExpr(
+        f"{m.subject.sql(types)} AS s", f"{computed or quoted(fixed)} AS p", f"{graph or 'cast(null AS string)'} AS g",
+        *(f"{named(c)} AS __child{i}" for i, (c, _) in enumerate(ref.joins)),
+        *([] if ref.joins else [f"{ref.parent.subject.sql(types)} AS o"]))
+    if ref.joins:
+        parent = sources[ref.parent.source].filter(object_test).selectExpr(
+            f"{ref.parent.subject.sql(parent_types)} AS o",
+            *(f"{named(c)} AS __parent{i}" for i, (_, c) in enumerate(ref.joins))).filter("o IS NOT NULL")
+        on = [F.col(f"__child{i}") == F.col(f"__parent{i}") for i in range(len(ref.joins))]
+        pairs = child.filter("s IS NOT NULL").join(parent, on)
+    else:
+        pairs = child.filter("s IS NOT NULL AND o IS NOT NULL")
+    return pairs.selectExpr(
+        "s", f"{quoted(subject_kind(m.subject))} AS s_kind", "p", "o",
+        f"{quoted(subject_kind(ref.parent.subject))} AS o_kind", "cast(null AS string) AS o_dt",
         "cast(null AS string) AS o_lang", "g")

@@ -39,6 +39,9 @@ from quadspark.functions.terms import (
     term_key,
     variables,
 )
+from quadspark.operators.inversion import keys_of
+from quadspark.operators.mapping import apply_mapping
+from quadspark.operators.unfold import unfold
 
 DEFAULT_GRAPH = object()
 ANY_GRAPH = object()
@@ -62,7 +65,8 @@ def match(graph, s, p, o, g=DEFAULT_GRAPH) -> DataFrame:
     ``ANY_GRAPH`` (the union of all graphs, as a set of triples).
     """
     if hasattr(graph, "quads"):
-        graph = graph.quads(None if is_var(p) else {p})
+        # Constants become tests of the source columns; the exact test follows.
+        graph = graph.quads(None if is_var(p) else {p}, None if is_var(s) else s, None if is_var(o) else o)
     quads = _select_graph(graph, g)
     condition = F.lit(True)
     for name, place in (("s", s), ("p", p), ("o", o)):
@@ -241,9 +245,12 @@ def bgp(graph, patterns: Sequence[tuple], counts: dict[str, int] | None = None,
 
     Patterns are joined along shared variables, the most selective first:
     constants before variables, then by ``counts`` (triples per predicate, from
-    ``property_partition``).  Physical strategy and skew splitting are left to
-    adaptive execution.
+    ``property_partition``).  Over mapped tables, their rows are joined on the
+    source columns (``unfold``).  Physical strategy and skew splitting are left
+    to adaptive execution.
     """
+    if not patterns:
+        raise ValueError("a basic graph pattern has at least one triple pattern")
     remaining = [(number, tuple(p)) for number, p in enumerate(patterns)]
 
     def cost(item):
@@ -255,19 +262,20 @@ def bgp(graph, patterns: Sequence[tuple], counts: dict[str, int] | None = None,
     def names(pattern):
         return {x for x in pattern if is_var(x)} | ({g} if is_var(g) else set())
 
-    first = min(remaining, key=cost)
-    remaining.remove(first)
-    solution = match(graph, *first[1], g=g)
-    seen = names(first[1])
-    while remaining:
-        connected = [item for item in remaining if names(item[1]) & seen]
+    ordered = [min(remaining, key=cost)]
+    seen = names(ordered[0][1])
+    while len(ordered) < len(remaining):
+        connected = [item for item in remaining if item not in ordered and names(item[1]) & seen]
         if not connected:
             raise ValueError("the pattern is disconnected: it would be a cross product")
-        chosen = min(connected, key=cost)
-        remaining.remove(chosen)
-        solution = join(solution, match(graph, *chosen[1], g=g))
-        seen |= names(chosen[1])
-    return solution
+        ordered.append(min(connected, key=cost))
+        seen |= names(ordered[-1][1])
+    triples = [pattern for _, pattern in ordered]
+    if hasattr(graph, "maps") and g is DEFAULT_GRAPH:
+        solution = unfold(graph, triples)
+        if solution is not None:
+            return solution
+    return reduce(join, (match(graph, *pattern, g=g) for pattern in triples))
 
 
 def star(graph, subject: str, properties: dict[str, str], optional: Iterable[str] = (), g=DEFAULT_GRAPH) -> DataFrame:
@@ -526,12 +534,30 @@ def _place(sol: DataFrame, place) -> Term:
 
 def describe(graph, resources: str | DataFrame) -> DataFrame:
     """Quads about one IRI, or about the IRIs in column ``s`` of a DataFrame."""
-    quads = as_quads(graph.quads() if hasattr(graph, "quads") else graph)
     if isinstance(resources, str):
+        quads = as_quads(graph.quads(s=resources) if hasattr(graph, "quads") else graph)
         return quads.filter((F.col("s") == resources) & (F.col("s_kind") == IRI))
-    wanted = resources.select(F.col("s").alias("__s")).dropDuplicates()
+    wanted = resources.select("s").dropDuplicates()
+    if hasattr(graph, "maps"):
+        parts = [_described(graph, m, wanted) for m in graph.maps]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+    return _about(as_quads(graph), wanted)
+
+
+def _about(quads: DataFrame, wanted: DataFrame) -> DataFrame:
     iris = quads.filter(F.col("s_kind") == IRI)
-    return iris.join(wanted, F.col("s") == F.col("__s"), "left_semi")
+    return iris.join(wanted.select(F.col("s").alias("__s")), F.col("s") == F.col("__s"), "left_semi")
+
+
+def _described(graph, m, wanted: DataFrame) -> DataFrame:
+    """Quads of one map about the IRIs: they are turned into keys, which choose the rows of the source."""
+    source = graph.sources[m.source]
+    found = keys_of(wanted, m.subject, {f.name: f.dataType for f in source.schema})
+    if found is None:
+        return _about(as_quads(apply_mapping(source, m, graph.sources)), wanted)
+    keys, names = found
+    rows = source.join(keys, [source[n] == keys[f"__k{i}"] for i, n in enumerate(names)], "left_semi")
+    return as_quads(apply_mapping(rows, m, graph.sources))
 
 
 # --- order and groups ----------------------------------------------------------------

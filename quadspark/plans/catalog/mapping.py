@@ -15,6 +15,7 @@ from quadspark.functions.terms import (
 )
 from quadspark.operators.graphs import as_set
 from quadspark.operators.mapping import (
+    MappedGraph,
     TriplesMap,
     apply_mapping,
     apply_mappings,
@@ -25,6 +26,7 @@ from quadspark.operators.mapping import (
     reference,
     template,
 )
+from quadspark.operators.patterns import match
 from quadspark.operators.void import property_partition
 from quadspark.plans.registry import query, table
 from quadspark.plans.testgraph import EX, MONEY, graph, maps, node
@@ -169,6 +171,45 @@ def m10_parent_ref(spark, sf):
     return apply_mappings(sources, [child]).select("s", "p", "o")
 
 
+@query("m10_two_keys", """
+SELECT 'http://example.org/lineitem/' || a.l_orderkey || '-' || a.l_linenumber AS s,
+  'http://example.org/return/' || b.l_orderkey || '/' || b.l_linenumber AS o, count(*) AS n
+FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber
+WHERE b.l_returnflag = 'R' GROUP BY 1, 2
+""")
+def m10_two_keys(spark, sf):
+    """A join condition on two columns, and no pairs of rows that share only one."""
+    lines = table(spark, sf, "lineitem")
+    returned = TriplesMap("returned", template(EX + "return/{l_orderkey}/{l_linenumber}"))
+    keys = ["l_orderkey", "l_linenumber"]
+    child = TriplesMap("lineitem", template(EX + "lineitem/{l_orderkey}-{l_linenumber}"), [
+        pom(EX + "returned", parent_ref(returned, keys, keys))])
+    quads = apply_mappings({"lineitem": lines, "returned": lines.filter("l_returnflag = 'R'")}, [child])
+    return quads.groupBy("s", "o").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m11_predicate_map", """
+SELECT 'http://example.org/user/' || user_id AS s, 'http://example.org/did/' || event_type AS p, event_id::VARCHAR AS o
+FROM events UNION ALL
+SELECT 'http://example.org/user/' || user_id, 'http://example.org/value', floor(value)::BIGINT::VARCHAR FROM events WHERE value >= 100
+""")
+def m11_predicate_map(spark, sf):
+    """The predicate of a row is made by a template, beside a constant one."""
+    m = TriplesMap("events", node("user", "user_id"), [
+        pom(template(EX + "did/{event_type}"), "event_id", XSD_INTEGER),
+        pom(EX + "value", expression("CASE WHEN value >= 100 THEN cast(floor(value) AS bigint) END"), XSD_INTEGER)])
+    return apply_mapping(table(spark, sf, "events"), m).select("s", "p", "o")
+
+
+@query("m11_one_predicate", """
+SELECT 'http://example.org/user/' || user_id AS s, event_id::VARCHAR AS o FROM events WHERE event_type = 'click'
+""")
+def m11_one_predicate(spark, sf):
+    """A constant predicate is turned into a test of the column that predicates are made of."""
+    m = TriplesMap("events", node("user", "user_id"), [pom(template(EX + "did/{event_type}"), "event_id", XSD_INTEGER)])
+    return match(MappedGraph({"events": table(spark, sf, "events")}, [m]), "?s", EX + "did/click", "?o").select("s", "o")
+
+
 @query("m11_language_graph", """
 SELECT 'http://example.org/doc/' || doc_id AS s, md5(text) AS text_md5, 'literal' AS o_kind,
   'http://www.w3.org/1999/02/22-rdf-syntax-ns#langString' AS o_dt, lang AS o_lang,

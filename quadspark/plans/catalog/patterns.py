@@ -59,6 +59,25 @@ def q1_match(spark, sf):
     return lexical(match(graph(spark, sf), "?c", EX + "segment", Literal("BUILDING")))
 
 
+@query("q1_match_key", """
+SELECT 'http://example.org/lineitem/' || l_orderkey || '-' || l_linenumber AS l FROM lineitem WHERE l_orderkey = 7
+""")
+def q1_match_key(spark, sf):
+    """A constant object becomes a test of the key column."""
+    return lexical(match(graph(spark, sf, "lineitem"), "?l", EX + "order", EX + "order/7"))
+
+
+@query("q1_match_subject", """
+SELECT 'http://example.org/part' AS p, 'http://example.org/part/' || l_partkey AS o FROM lineitem
+WHERE l_orderkey = 7 AND l_linenumber = 1
+UNION ALL SELECT 'http://example.org/flag', l_returnflag FROM lineitem WHERE l_orderkey = 7 AND l_linenumber = 1
+""")
+def q1_match_subject(spark, sf):
+    """A subject of two keys, with a variable predicate."""
+    found = match(graph(spark, sf, "lineitem", "orders"), EX + "lineitem/7-1", "?p", "?o")
+    return lexical(filter_(found, F.col("p").isin(EX + "part", EX + "flag")))
+
+
 @query("q2_project", f"SELECT {CUST} c_custkey AS c, c_name AS name FROM customer")
 def q2_project(spark, sf):
     sol = bgp(graph(spark, sf, "customer"), [
@@ -146,13 +165,28 @@ SELECT a.c_custkey::VARCHAR AS a, count(*) AS pairs FROM customer a JOIN supplie
 GROUP BY 1
 """)
 def x1_object_join(spark, sf):
-    """A join on an object variable of both patterns."""
-    sol = join(match(graph(spark, sf, "customer"), "?c", EX + "nation", "?n"),
-               match(graph(spark, sf, "supplier"), "?s", EX + "nation", "?n"))
-    counts = group(sol, ["c"], {"pairs": F.count(F.lit(1))})
+    """A join on an object variable of both patterns: one side is counted first, so no pairs are made."""
+    suppliers = match(graph(spark, sf, "supplier"), "?s", EX + "nation", "?n")
+    per_nation = group(suppliers, ["n"], {"suppliers": F.count(F.lit(1))})
+    sol = join(match(graph(spark, sf, "customer"), "?c", EX + "nation", "?n"), per_nation)
+    counts = group(sol, ["c"], {"pairs": F.sum("suppliers")})
     return counts.select(F.substring_index("c", "/", -1).alias("a"), "pairs")
 
 
+@query("x1_chain", f"""
+SELECT {ORDER} o_orderkey AS o, o_orderstatus AS status, c_name AS name, n_name AS nation
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE o_orderpriority = '1-URGENT' AND c_mktsegment = 'BUILDING'
+""")
+def x1_chain(spark, sf):
+    """Seven patterns over three tables: one row answers all patterns on its subject, and rows are joined on their keys."""
+    sol = bgp(graph(spark, sf, "orders", "customer", "nation"), [
+        ("?o", EX + "status", "?status"), ("?o", EX + "priority", Literal("1-URGENT")), ("?o", EX + "customer", "?c"),
+        ("?c", EX + "name", "?name"), ("?c", EX + "segment", Literal("BUILDING")), ("?c", EX + "nation", "?n"),
+        ("?n", EX + "name", "?nation")])
+    return lexical(sol, "o", "status", "name", "nation")
+
+
 @query("x1_repeated_variable", """
 SELECT count(*) AS loops FROM nation WHERE n_nationkey = n_regionkey
 """)

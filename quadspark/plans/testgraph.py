@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from quadspark.functions.terms import XSD_DECIMAL, XSD_INTEGER
 from quadspark.operators.mapping import MappedGraph, TriplesMap, expression, pom, template
-from quadspark.plans.registry import spread_table
+from quadspark.plans.registry import table
+from quadspark.sources.storage import spread_small
 
 EX = "http://example.org/"
 MONEY = "decimal(18,2)"
@@ -21,22 +22,22 @@ def _money(column: str):
 
 
 def maps() -> dict[str, TriplesMap]:
-    """Triples maps by table."""
+    """Triples maps by table; keys identify the rows, but for line items."""
     return {
-        "region": TriplesMap("region", node("region", "r_regionkey"), [pom(EX + "name", "r_name")], [EX + "Region"]),
+        "region": TriplesMap("region", node("region", "r_regionkey"), [pom(EX + "name", "r_name")], [EX + "Region"], unique=True),
         "nation": TriplesMap("nation", node("nation", "n_nationkey"), [
-            pom(EX + "name", "n_name"), pom(EX + "region", node("region", "n_regionkey"))], [EX + "Nation"]),
+            pom(EX + "name", "n_name"), pom(EX + "region", node("region", "n_regionkey"))], [EX + "Nation"], unique=True),
         "customer": TriplesMap("customer", node("customer", "c_custkey"), [
             pom(EX + "name", "c_name"), pom(EX + "segment", "c_mktsegment"),
-            pom(EX + "nation", node("nation", "c_nationkey"))], [EX + "Customer"]),
+            pom(EX + "nation", node("nation", "c_nationkey"))], [EX + "Customer"], unique=True),
         "supplier": TriplesMap("supplier", node("supplier", "s_suppkey"), [
-            pom(EX + "name", "s_name"), pom(EX + "nation", node("nation", "s_nationkey"))], [EX + "Supplier"]),
+            pom(EX + "name", "s_name"), pom(EX + "nation", node("nation", "s_nationkey"))], [EX + "Supplier"], unique=True),
         "part": TriplesMap("part", node("part", "p_partkey"), [
-            pom(EX + "brand", "p_brand"), pom(EX + "size", "p_size", XSD_INTEGER)], [EX + "Part"]),
+            pom(EX + "brand", "p_brand"), pom(EX + "size", "p_size", XSD_INTEGER)], [EX + "Part"], unique=True),
         "orders": TriplesMap("orders", node("order", "o_orderkey"), [
             pom(EX + "status", "o_orderstatus"), pom(EX + "priority", "o_orderpriority"),
             pom(EX + "total", _money("o_totalprice"), XSD_DECIMAL),
-            pom(EX + "customer", node("customer", "o_custkey"))], [EX + "Order"]),
+            pom(EX + "customer", node("customer", "o_custkey"))], [EX + "Order"], unique=True),
         "lineitem": TriplesMap(
             "lineitem", template(EX + "lineitem/{l_orderkey}-{l_linenumber}"), [
                 pom(EX + "order", node("order", "l_orderkey")), pom(EX + "part", node("part", "l_partkey")),
@@ -54,5 +55,9 @@ def graph(spark: SparkSession, sf_dir: str, *tables: str) -> MappedGraph:
     """The graph over some tables, all but ``lineitem`` by default."""
     names = tables or GRAPH_TABLES
     known = maps()
-    sources = {n: spread_table(spark, sf_dir, n, *known[n].subject.references()) for n in names}
-    return MappedGraph(sources, [known[n] for n in names])
+    sources = {n: table(spark, sf_dir, n) for n in names}
+
+    def spread(name: str, df: DataFrame) -> DataFrame:
+        return spread_small(df, f"{sf_dir}/{name}.parquet", *known[name].subject.references())
+
+    return MappedGraph(sources, [known[n] for n in names], spread)
