@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -51,3 +53,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors' Python, once per Spark context."""
+    context = spark.sparkContext
+    if not getattr(context, "_quadspark_shipped", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/quadspark", "zip", root, "quadspark"))
+        context._quadspark_shipped = True
