@@ -76,7 +76,8 @@ def skolemize(quads: DataFrame, base_iri: str, cls: str, keys: Sequence[str]) ->
     """Replace blank nodes by IRIs made from the values of their key predicates.
 
     Blank nodes without a key predicate stay as they are.  A key whose value is
-    itself a blank node must have been replaced by an earlier call.
+    itself a blank node must have been replaced by an earlier call; for graphs
+    whose blank nodes refer to each other see ``canonical.skolemize_graph``.
     """
     quads = as_quads(quads)
     content = quads.filter((F.col("s_kind") == BNODE) & F.col("p").isin(list(keys)))
@@ -90,11 +91,11 @@ def skolemize(quads: DataFrame, base_iri: str, cls: str, keys: Sequence[str]) ->
     has_blank = (F.col("s_kind") == BNODE) | (F.col("o_kind") == BNODE)
     replaced = quads.filter(has_blank)
     for place in ("s", "o"):
-        replaced = _renamed_blanks(replaced, names, place)
+        replaced = renamed_blanks(replaced, names, place)
     return quads.filter(~has_blank).unionByName(replaced).dropDuplicates()
 
 
-def _renamed_blanks(quads: DataFrame, names: DataFrame, place: str) -> DataFrame:
+def renamed_blanks(quads: DataFrame, names: DataFrame, place: str) -> DataFrame:
     # Terms that are no blank nodes get keys that match nothing and differ by
     # row: as nulls, or by a frequent value, they would meet in one task.
     other = F.concat(F.lit("-"), F.xxhash64(*QUAD_COLUMNS).cast("string"))

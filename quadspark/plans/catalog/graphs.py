@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quadspark.functions.terms import BNODE, Literal
-from quadspark.operators import graphs
+from quadspark.operators import canonical, graphs
 from quadspark.operators.mapping import MappedGraph, TriplesMap, apply_mapping, pom, template
 from quadspark.operators.patterns import bgp, count_all, match
 from quadspark.operators.void import class_instances, property_partition
@@ -62,6 +62,21 @@ def g3_skolemize(spark, sf):
     return named.select("s", "p", "o")
 
 
+@query("g3_skolemize_graph", """
+WITH d AS (SELECT DISTINCT c_mktsegment, c_nationkey FROM customer)
+SELECT 'http://example.org/' || p AS p, count(*) AS triples, count(*) AS subjects
+FROM d, (SELECT unnest(['segment', 'branch', 'nation']) AS p) GROUP BY 1
+""")
+def g3_skolemize_graph(spark, sf):
+    """Blank accounts that refer to blank branches: nodes that say the same become one."""
+    account, branch = template("account-{c_custkey}", BNODE), template("branch-{c_custkey}", BNODE)
+    quads = MappedGraph({"customer": table(spark, sf, "customer")}, [
+        TriplesMap("customer", account, [pom(EX + "segment", "c_mktsegment"), pom(EX + "branch", branch)]),
+        TriplesMap("customer", branch, [pom(EX + "nation", node("nation", "c_nationkey"))])]).quads()
+    named = canonical.skolemize_graph(quads, EX, "Account")
+    return named.groupBy("p").agg(F.count(F.lit(1)).alias("triples"), F.count_distinct("s").alias("subjects"))
+
+
 @query("g4_dataset_label", """
 SELECT url, replace(regexp_replace(url, '^https?://', ''), '/', '-') AS label FROM pages
 """)
