@@ -119,7 +119,7 @@ def mix(documents: DataFrame, sources: Column, weights: Sequence[float] = WEIGHT
     spark = documents.sparkSession
     digest = F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col("doc_id").cast("string"),
                                F.coalesce(F.length("text"), F.lit(0)).cast("string")))
-    whole = [F.struct(*documents.columns).alias("row")] if carry else []
+    whole = [F.struct("*").alias("row")] if carry else []
     sized = documents.select(
         *whole, F.col("doc_id").cast("long"), F.array_sort(F.array_distinct(sources)).alias("sources"),
         n_words(F.col("text").cast("string")).alias("size"), digest.alias("digest"))
@@ -187,4 +187,4 @@ def mixed(documents: DataFrame, sources: Column, weights: Sequence[float] = WEIG
     texts = F.when(rest > 0, F.concat(copies, F.array(head))).otherwise(copies)
     rows = found.select("row", F.explode(texts).alias("part"))
     changed = {"text": F.col("part"), "n_chars": F.length("part").cast("long")}
-    return rows.select(*(changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in documents.columns))
+    return rows.select(*(changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in documents.columns))

@@ -6,8 +6,9 @@ dealt to shards of about ``SHARD`` pieces, and each shard is packed on several
 well-filled bins of one parent into the other, drops the bins that then hold a
 piece twice, and best-fits the displaced pieces.  After each epoch the elite of
 an island moves to the next one, as rows of a table.  Bins that are not well
-filled are opened, and their pieces are dealt and packed again over all shards,
-until one shard is left, so shards waste nothing.
+filled, of each shard the emptiest half at most, are opened, and their pieces
+are dealt and packed again over all shards, until one shard is left: every level
+has half as many, and what one shard leaves open meets the rest of the others.
 
 A shard that already needs no more bins than its tokens (the lower bound) is
 not evolved further.
@@ -28,7 +29,7 @@ from string import punctuation
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadspark.llm.tables import doc_texts, release, stored
@@ -87,7 +88,8 @@ class Encoder:
                 continue
             text = chunk.decode("utf-8", "replace")
             word = text.rstrip(punctuation)
-            if word.isalpha():
+            # A letter may become one with a mark in lower case, which joins the marks that follow.
+            if word.isalpha() and word.lower().isalpha():
                 # ASCII marks behind a word are a piece of their own.
                 rest, core = text[len(word):], word.encode()
                 if core not in known:
@@ -332,11 +334,12 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
         placed = stored(placed, "llm-placed")
         release(spark)
         fill = placed.groupBy("_shard", "_bin").agg(F.sum(length).alias("_fill"))
-        open_bins = stored(fill.where(F.col("_fill") < WELL_FILLED * capacity).drop("_fill"), "llm-open")
+        emptiest, shard = Window.partitionBy("_shard").orderBy("_fill", "_bin"), Window.partitionBy("_shard")
+        ranked = fill.withColumns({"_rank": F.row_number().over(emptiest), "_of": F.count("*").over(shard)})
+        open_bins = stored(ranked.where((F.col("_fill") < WELL_FILLED * capacity) & (F.col("_rank") * 2 <= F.col("_of"))).select(
+            "_shard", "_bin"), "llm-open")
         opened = placed.join(open_bins, ["_shard", "_bin"], "left_semi").select(*columns)
         left = 0 if n == 1 else opened.count()
-        if left > 0.5 * count:  # opening them again gains little
-            left = 0
         done = placed.join(open_bins, ["_shard", "_bin"], "left_anti") if left else placed
         # A shard has fewer than 2**16 bins.
         number = F.lit(level << 48) + F.shiftleft("_shard", 16) + F.col("_bin")
@@ -346,12 +349,8 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     for more in out[1:]:
         merged = merged.unionByName(more)
     # A sequence holds at most as many pieces as tokens.
-    members = F.array_sort(F.collect_list(F.struct(*columns)))
-    ends = F.expr(f"transform(sequence(1, size(members)), "
-                  f"k -> aggregate(slice(members, 1, k - 1), 0L, (n, m) -> n + m.`{length}`))")
-    sequences = merged.groupBy("sequence_id").agg(members.alias("members")).withColumn("offsets", ends)
-    return sequences.select("sequence_id", F.explode(F.arrays_zip("members", "offsets")).alias("x")).select(
-        *(F.col(f"x.members.{c}").alias(c) for c in columns), "sequence_id", F.col("x.offsets").alias("offset"))
+    before = Window.partitionBy("sequence_id").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    return merged.withColumn("offset", F.coalesce(F.sum(length).over(before), F.lit(0)).cast("long"))
 
 
 def packed(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -16,7 +16,8 @@ and, away from their ends, equal runs, so there are two steps:
 
 Windows found in either step are merged into spans.  A window is judged on the
 input, so nothing depends on the order of the rows, and the result is exact
-(up to collisions of two independent 64-bit hashes).
+(up to collisions of two independent 64-bit hashes).  Texts of one id are told
+apart by a 64-bit hash, and any number of equal rows have one list of windows.
 
 All counts per key combine before their shuffle; joins that carry hot keys have
 tables on both sides, so adaptive execution can split them.  Each phase ends in
@@ -30,7 +31,6 @@ same id; columns other than ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,8 +64,7 @@ def window_anchors(words: Words, window: int, anchor: int) -> tuple[np.ndarray,
 def _runs(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            documents = texts(batch)
-            words = Words(documents)
+            words = Words(texts(batch))
             start, least = window_anchors(words, window, anchor)
             if not len(start):
                 continue
@@ -74,10 +73,9 @@ def _runs(window: int, anchor: int):
             at = np.flatnonzero(new)
             count = np.diff(np.append(at, len(start)))
             first, owner = start[at], words.text[start[at]]
-            crc = np.fromiter(map(zlib.crc32, documents), np.int64, len(documents))
             yield pa.RecordBatch.from_pydict({
                 "anchor": _signed(least[at]), "run": _signed(words.runs(first, first + count + window - 1)),
-                "doc_id": batch.column("doc_id").take(pa.array(owner)), "crc": pa.array(crc[owner]),
+                "doc_id": batch.column("doc_id").take(pa.array(owner)), "print": batch.column("print").take(pa.array(owner)),
                 "start": pa.array((first - words.first[owner]).astype(np.int32)),
                 "n": pa.array(count.astype(np.int32))})
 
@@ -100,7 +98,7 @@ def _window_hashes(window: int):
             take = pa.array(owner[which])
             yield pa.RecordBatch.from_pydict({
                 "anchor": flat.field("anchor").take(pa.array(which)), "w": _signed(words.runs(begin, begin + window)),
-                "doc_id": batch.column("doc_id").take(take), "crc": batch.column("crc").take(take),
+                "doc_id": batch.column("doc_id").take(take), "print": batch.column("print").take(take),
                 "start": pa.array(place.astype(np.int32))})
 
     return run
@@ -138,24 +136,25 @@ def _cut(window: int):
     return run
 
 
-def _crc(text: Column) -> Column:
-    return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
+def _print(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def repeated_windows(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR_WORDS) -> DataFrame:
-    """Per document with repeated windows its doc_id, the checksum of its text, and rows of such windows.
+    """Per document with repeated windows its doc_id, the hash of its text (print), and rows of such windows.
 
     Column ``found`` has (start, n): n windows from the word ``start`` on.
     """
     if not 0 < anchor <= window:
         raise ValueError("an anchor has from one word up to a window")
     spark = documents.sparkSession
-    source = doc_texts(documents)
+    source = doc_texts(documents).withColumn("print", _print(F.col("text")))
     known = source.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    key = ["doc_id", "crc"]
+    key = ["doc_id", "print"]
 
     runs = stored(known.mapInArrow(
-        _runs(window, anchor), "anchor long, run long, doc_id long, crc long, start int, n int"), "llm-runs")
+        _runs(window, anchor), "anchor long, run long, doc_id long, print long, start int, n int"), "llm-runs")
     # Anchors that two documents share; "mixed" if with other words around them.
     shared = stored(runs.groupBy("anchor").agg(
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
@@ -170,16 +169,16 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, anchor: int = A
     ).where("factor or mixed"), "llm-judged")
     release(spark)
 
-    keyed = source.withColumn("crc", _crc(F.col("text")))
-    edges = judged.where("not factor").groupBy(*key).agg(F.collect_list(F.struct("start", "n", "anchor")).alias("runs"))
-    windows = stored(keyed.join(edges, key).select(*key, "text", "runs").mapInArrow(
-        _window_hashes(window), "anchor long, w long, doc_id long, crc long, start int"), "llm-windows")
+    # Equal rows have equal runs: sets, so that each of many copies gets them once.
+    edges = judged.where("not factor").groupBy(*key).agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
+    windows = stored(source.join(edges, key).select(*key, "text", "runs").mapInArrow(
+        _window_hashes(window), "anchor long, w long, doc_id long, print long, start int"), "llm-windows")
     release(spark)
     earlier = stored(windows.groupBy("anchor", "w").agg(
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"), "llm-earlier")
     single = windows.join(earlier, ["anchor", "w"]).where("least < doc_id").select(*key, "start", F.lit(1).alias("n"))
     found = judged.where("factor").select(*key, "start", "n").unionByName(single)
-    lists = stored(found.groupBy(*key).agg(F.collect_list(F.struct("start", "n")).alias("found")), "llm-found")
+    lists = stored(found.groupBy(*key).agg(F.collect_set(F.struct("start", "n")).alias("found")), "llm-found")
     release(spark)
     return lists
 
@@ -190,8 +189,8 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANC
     kept_text has the remaining words, joined by one space.
     """
     lists = repeated_windows(documents, window, anchor)
-    keyed = doc_texts(documents).withColumn("crc", _crc(F.col("text")))
-    return keyed.join(lists, ["doc_id", "crc"], "left").select("doc_id", "text", "found").mapInArrow(
+    keyed = doc_texts(documents).withColumn("print", _print(F.col("text")))
+    return keyed.join(lists, ["doc_id", "print"], "left").select("doc_id", "text", "found").mapInArrow(
         _cut(window), "doc_id long, n_words long, spans array<struct<start:int,end:int>>, kept_text string")
 
 
@@ -202,12 +201,13 @@ def cut_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     which no word is left go; those that had none stay.
     """
     lists = repeated_windows(documents, window, anchor)
-    at = documents.columns.index("text")
+    names = documents.columns
+    at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             new, stay = [], []
-            for text, found in zip(texts(batch), batch.column("_found").to_pylist(), strict=True):
+            for text, found in zip(texts(batch), batch.column("found").to_pylist(), strict=True):
                 if found:
                     place = [m.start() for m in _WORD.finditer(text)] + [len(text)]
                     spans = _spans([text], [found], window)[0][0]
@@ -217,13 +217,13 @@ def cut_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
                 new.append(text)
             cut = pa.array(new, pa.binary()).cast(pa.string())
             cut = pc.if_else(batch.column("text").is_null(), pa.scalar(None, pa.string()), cut)
-            columns = [cut if i == at else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(stay, pa.bool_()))
+            columns = [cut if i == at else c for i, c in enumerate(batch.column("row").flatten())]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(stay, pa.bool_()))
 
-    keyed = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long"),
-                             _crc(F.col("text").cast("string")).alias("crc"))
-    joined = keyed.join(lists, ["doc_id", "crc"], "left").select("row.*", F.col("found").alias("_found"))
-    return joined.mapInArrow(run, documents.schema)
+    # The documents' columns travel inside one, so that no name of theirs meets ours.
+    text = F.col("text").cast("string")
+    keyed = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long"), text.alias("text"), _print(text).alias("print"))
+    return keyed.join(lists, ["doc_id", "print"], "left").select("row", "text", "found").mapInArrow(run, documents.schema)
 
 
 def removed_words(spans: str = "spans") -> Column:

@@ -275,9 +275,13 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
     """The documents, with all columns, whose score is below the threshold."""
 
+    names = documents.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield batch.filter(pa.array(_judge(batch, model)[2] < THRESHOLD))
+            rows = pa.RecordBatch.from_arrays(batch.column("row").flatten(), names)
+            yield rows.filter(pa.array(_judge(batch, model)[2] < THRESHOLD))
 
     ship(documents.sparkSession)
-    return documents.mapInArrow(run, documents.schema)
+    # Inside one column, names may have any form.
+    return documents.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(run, documents.schema)

@@ -7,6 +7,7 @@ import pytest
 from compare import connect, difference
 from llm import brute
 from llm.conftest import make_documents
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
@@ -20,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def test_registered():
     names = spark_entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
 
 
@@ -77,12 +78,35 @@ def test_odd_rows(spark, prose):
     docs = make_documents(spark, rows)
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 3, 4, 5]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 3, 3, 4, 5]
     for _, stage in corpus_pipeline.STAGES[1:]:
         docs = stored(stage(spark, docs, SF_DIR), "test-odd")
     assert docs.count() > 0
 
 
+def test_texts_of_one_id_are_not_lost(spark):
+    docs = make_documents(spark, [(1, "a b c"), (1, "x y z q"), (2, "a b c"), (None, "a b c"), (None, "other words"), (3, "x y z q")])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "other words"), (1, "a b c"), (1, "x y z q")]
+
+
+def test_columns_of_any_name_and_type(spark, prose):
+    """Names that the stages use inside, names with dots and quotes, maps, and copies of rows."""
+    rows = [(1, prose(1, 80)), (2, prose(1, 80)), (3, f"{prose(2, 60)} {prose(3, 60)}"), (4, f"{prose(4, 60)} {prose(3, 60)}"),
+            (4, f"{prose(4, 60)} {prose(3, 60)}"), (5, None), (None, "")]
+    docs = make_documents(spark, rows)
+    names = ["_found", "found", "row", "print", "number", "group", "a.b", "q't x", "value", "taken", "digest"]
+    docs = docs.select("*", *(F.lit(n).alias(n) for n in names), F.create_map(F.lit("k"), "doc_id").alias("map"),
+                       F.array("doc_id").alias("list"), F.struct("doc_id", "text").alias("pair"))
+    schema = docs.schema
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF_DIR), "test-names")
+        assert docs.columns == schema.names, name
+        assert [f.dataType for f in docs.schema] == [f.dataType for f in schema], name
+    assert docs.count() > 0 and {r["a.b"] for r in docs.collect()} == {"a.b"}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() >= docs.count()
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:

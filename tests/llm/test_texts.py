@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadspark.llm.forest import near_duplicates
 from quadspark.llm.repetition import repetition
-from quadspark.llm.substring import cut_repeats, remove_repeats, removed_words
+from quadspark.llm.substring import cut_repeats, remove_repeats, removed_words, repeated_windows
 
 EDGES = [(100, None), (101, ""), (102, " \t\n\x0b\x0c\r "), (103, "one"), (104, "a b\x1cc É ß"), (None, "no id at all"),
          (None, None), (105, "Same words here\nSame words here"), (105, "Same words here\nSame words here")]
@@ -50,6 +50,16 @@ def test_one_id_with_several_texts(documents, prose):
     assert sorted(map(tuple, found.collect())) == sorted(brute.repeated(rows, 50))
 
 
+def test_many_equal_rows_cost_as_much_as_their_number(documents, prose):
+    """Lists of windows do not multiply by the copies of a row."""
+    text, other = prose("a", 300), prose("b", 300)
+    rows = [(1, f"{other} {text[:900]}")] + [(2, f"{text} {other[:900]}")] * 60
+    found = remove_repeats(documents(rows), window=50).select("doc_id", "n_words", removed_words().alias("n"), "kept_text")
+    assert sorted(map(tuple, found.collect())) == sorted(brute.repeated(rows, 50))
+    lists = repeated_windows(documents(rows), window=50)
+    assert max(len(r.found) for r in lists.collect()) <= 600
+
+
 def test_cut_keeps_columns_and_white_space(documents, prose):
     passage = prose("p", 50)
     rows = [(1, passage), (2, f"First  line\n{passage}\n\tlast line"), (3, passage), (4, None), (5, "  ")]

@@ -24,7 +24,8 @@ def test_tokens_are_the_tokenizers(spark, documents):
     from tokenizers import Tokenizer
 
     odd = ["Don't STOP, it's 42nd... ok?!", "É è\u0301 ß straße ÀÉ, Œuvre.", "a\u00a0b\u2003c\x1cd\x85e", "<|endoftext|> x<|startoftext|>y",
-           "naïve,. ,., ...,word. Σας ΟΔΟΣ. ", "İstanbul DŽ ﬁ Å \u212b", "word" * 500, "漢字かな交じり 한국어", "\x01 \x01a", "x" * 70 + ","]
+           "naïve,. ,., ...,word. Σας ΟΔΟΣ. ", "İstanbul DŽ ﬁ Å \u212b", "word" * 500, "漢字かな交じり 한국어", "\x01 \x01a", "x" * 70 + ",",
+           "İ, İ| İ__ BELGESİ, İ. xİ! Aİb,"]
     rng = random.Random(1)
     rows = [(i, t) for i, t in enumerate(odd)] + [(50 + i, " ".join(rng.choice(odd)[:rng.randrange(30)] for _ in range(40))) for i in range(60)]
     rows += [(300, "many words " * 9000)] + [r[:2] for r in EDGES]
