@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadspark.llm.forest import near_duplicates
@@ -23,15 +23,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the least id.
+    """One row of each group of near copies stays: that with the least id (null last).
 
-    Rows without an id stay; of rows that share an id, that with the least text.
+    Rows are compared one by one, whatever their ids; a row goes only if a row
+    of its own group stays.  Rows without words are copies of nothing and stay.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.join(stored(kept, "pipeline-kept"), "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.md5("text"), *(c for c in docs.columns if c != "doc_id"))
-    rows = known.select(F.struct(*docs.columns).alias("row"), F.row_number().over(first).alias("place"))
-    return rows.where("place = 1").select("row.*").unionByName(docs.where("doc_id is null"))
+    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "pipeline-rows")
+    text = F.col("row").getField("text").cast("string").alias("text")
+    groups = near_duplicates(rows.select(F.col("number").alias("doc_id"), text)).select(
+        F.col("doc_id").alias("number"), F.col("component_id").alias("group"))
+    ids = rows.select("number", F.col("row").getField("doc_id").cast("long").alias("id"))
+    least = F.min(F.struct(F.col("id").isNull(), "id", "number")).getField("number")
+    first = stored(groups.join(ids, "number").groupBy("group").agg(least.alias("number")).select("number"), "pipeline-kept")
+    kept = rows.join(first, "number", "left_semi")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
