@@ -81,7 +81,8 @@ def _base_type() -> Column:
 def scan_all(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """Quads and malformed lines of all files of a manifest, with ``source`` and the graph ``target``.
 
-    Only the paths go through the driver, as in every file scan.
+    The paths go through the driver, as in every file scan; ``run_load`` scans
+    a bounded number at a time.
     """
     kinds = manifest.select("source", _base_type().alias("kind")).distinct()
     paths: dict[bool, list[str]] = {True: [], False: []}
@@ -162,41 +163,53 @@ def read_kept_rejects(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema("source string, reject string, load bigint").parquet(f"{table}_rejects")
 
 
+def _load_part(spark: SparkSession, todo: DataFrame, table: str, state: str, on_reject: str) -> int:
+    """Load the files of some manifest rows as the next part; returns how many rows were loaded."""
+    number = (read_load_state(spark, state).agg(F.max("load")).first()[0] or 0) + 1
+    part, extra = f"{table}/load={number}", ("source", "target")
+    scanned = scan_all(spark, todo)
+    if on_reject == "fail":
+        write_quad_table(accepted(scanned), part, "OVERWRITE", extra=extra)
+    else:
+        staged = f"{table}_staged"
+        save(scanned, staged, "OVERWRITE")
+        scanned = spark.read.schema(scanned.schema).parquet(staged)
+        rejects = scanned.filter(F.col("reject").isNotNull()).select("source", "reject")
+        save(rejects, f"{table}_rejects/load={number}", "OVERWRITE")
+        bad = rejects.select("source").distinct()
+        write_quad_table(scanned.join(bad, "source", "left_anti"), part, "OVERWRITE", extra=extra)
+        todo = todo.join(bad, "source", "left_anti")
+    record_load(todo, state, number)
+    return todo.count()
+
+
 def run_load(
     spark: SparkSession, manifest: DataFrame, table: str, state: str, published: str | None = None,
-    key: str = "source", fingerprint: bool = False, on_reject: str = "fail",
+    key: str = "source", fingerprint: bool = False, on_reject: str = "fail", files_per_load: int = 100_000,
 ) -> int:
     """Load the pending files into a quad table; returns how many were loaded.
 
-    Each run writes its own numbered part of the table: a repeated run after a
-    failure has the same number and overwrites that part.  With
-    ``on_reject="keep"``, files with malformed lines stay pending.
+    Files are loaded in the order of their names, so many at a time, each time
+    as a numbered part of the table: a repeated run after a failure goes on with
+    the same number and overwrites that part.  With ``on_reject="keep"``, files
+    with malformed lines stay pending.
     """
     if on_reject not in ("fail", "keep"):
         raise ValueError("on_reject is 'fail' or 'keep'")
-    known = read_load_state(spark, state)
-    todo = pending(manifest, known, key, fingerprint)
+    todo = pending(manifest, read_load_state(spark, state), key, fingerprint)
     part_state = f"{state}_pending"
     save(todo, part_state, "OVERWRITE")
     todo = spark.read.schema(todo.schema).parquet(part_state)
-    count = todo.count()
-    if count:
-        number = (known.agg(F.max("load")).first()[0] or 0) + 1
-        part, extra = f"{table}/load={number}", ("source", "target")
-        scanned = scan_all(spark, todo)
-        if on_reject == "fail":
-            write_quad_table(accepted(scanned), part, "OVERWRITE", extra=extra)
-        else:
-            staged = f"{table}_staged"
-            save(scanned, staged, "OVERWRITE")
-            scanned = spark.read.schema(scanned.schema).parquet(staged)
-            rejects = scanned.filter(F.col("reject").isNotNull()).select("source", "reject")
-            save(rejects, f"{table}_rejects/load={number}", "OVERWRITE")
-            bad = rejects.select("source").distinct()
-            write_quad_table(scanned.join(bad, "source", "left_anti"), part, "OVERWRITE", extra=extra)
-            todo = todo.join(bad, "source", "left_anti")
-            count = todo.count()
-        record_load(todo, state, number)
+    count, last = 0, ""
+    while True:
+        # The paths of one part go through the driver, and no more.
+        names = todo.select("source").filter(F.col("source") > last).distinct().orderBy("source").limit(files_per_load)
+        until = names.agg(F.max("source")).first()[0]
+        if until is None:
+            break
+        some = todo.filter((F.col("source") > last) & (F.col("source") <= until))
+        count += _load_part(spark, some, table, state, on_reject)
+        last = until
     if published is not None:
         publish_if_changed(spark, read_loaded(spark, table, state).select(*QUAD_COLUMNS), published, count > 0)
     return count

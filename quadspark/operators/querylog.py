@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadspark.functions.terms import (
@@ -19,6 +19,7 @@ from quadspark.functions.terms import (
     null,
 )
 from quadspark.sources.querylog import UNITS
+from quadspark.sources.rdf import read_rdf_lines
 
 # Our vocabulary for log records.
 LOG = "http://example.org/log#"
@@ -86,12 +87,16 @@ def hash_host(log: DataFrame, salt: str) -> DataFrame:
 def rdfize_log(log: DataFrame, base_iri: str) -> DataFrame:
     """One record per log entry as quads; the graph is the query.
 
-    Host and time are written only if the log has these columns; enricher
-    columns (``uses_*``, ``form``) become properties of the query.
+    An entry is identified by its file and line number, or by its raw line where
+    it has no number.  Host and time are written only if the log has these
+    columns; enricher columns (``uses_*``, ``form``) become properties of the query.
     """
     columns = set(log.columns)
     query = F.concat(F.lit(base_iri + "query-"), F.col("query_hash"))
-    identity = [F.col(c).cast("string") for c in ("source", "seq", "position", "raw") if c in columns]
+    numbers = [F.concat(F.lit("#"), F.col("seq").cast("string"))] if "seq" in columns else []
+    lines = [F.col("raw")] if "raw" in columns else []
+    identity = [F.col("source")] if "source" in columns else []
+    identity += [F.coalesce(*numbers, *lines)] if numbers or lines else []
     entry = F.concat(F.lit(base_iri + "entry-"), F.sha2(
         F.concat_ws("\u0001", *(F.coalesce(c, F.lit("")) for c in identity)), 256))
     base = log.withColumns({"__query": query, "__entry": entry})
@@ -129,6 +134,35 @@ def rdfize_log(log: DataFrame, base_iri: str) -> DataFrame:
         F.col("__query").alias("g")).select(*QUAD_COLUMNS)
 
 
+def log_of_quads(quads: DataFrame) -> DataFrame:
+    """Log records from what ``rdfize_log`` makes: one for each entry, with its query.
+
+    Properties that are missing are null; flags and form appear where a query
+    has them.  Quads may be repeated, merged, or without their graph.
+    """
+    flags = [f"uses_{name}" for name in FEATURES]
+    about = {
+        "query": {"query": LOG + "text", "query_hash": LOG + "hash", "form": LOG + "form", **{f: LOG + f for f in flags}},
+        "entry": {"source": LOG + "source", "seq": LOG + "position", "host": LOG + "host", "ts": LOG + "time"},
+    }
+
+    def values(kind: str) -> DataFrame:
+        # The values of a property of one node are combined before the shuffle.
+        own = quads.filter(F.col("p").isin(list(about[kind].values()))).groupBy(F.col("s").alias(f"__{kind}"))
+        return own.agg(*(F.min(F.when(F.col("p") == p, F.col("o"))).alias(name) for name, p in about[kind].items()))
+
+    links = quads.filter(F.col("p") == LOG + "entry").select(F.col("s").alias("__query"), F.col("o").alias("__entry")).distinct()
+    found = links.join(values("entry"), "__entry", "left").join(values("query"), "__query", "left")
+    return found.select(
+        "source", F.col("seq").cast("bigint").alias("seq"), null().alias("raw"), "host",
+        F.to_timestamp("ts").alias("ts"), "query", "query_hash", "form", *(F.col(f).cast("boolean").alias(f) for f in flags))
+
+
+def read_rdf_log(spark: SparkSession, paths: str | Sequence[str], on_reject: str = "fail") -> DataFrame:
+    """Log records from N-Triples or N-Quads files that hold a log as quads."""
+    return log_of_quads(read_rdf_lines(spark, paths, on_reject))
+
+
 def merge_graphs(quads: DataFrame, merge: bool = False) -> DataFrame:
     """Keep one set of quads per log entry, or merge equal graphs into one set."""
     return quads.dropDuplicates() if merge else quads

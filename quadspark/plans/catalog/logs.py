@@ -11,7 +11,8 @@ from quadspark.operators.graphs import natural_graph
 from quadspark.plans.registry import query, spread_table, table
 from quadspark.plans.testgraph import EX
 from quadspark.session import scratch_path
-from quadspark.sources.querylog import normalize_query, parse_query_log, query_id, read_query_log
+from quadspark.sinks.rdf import write_rdf
+from quadspark.sources.querylog import list_position, normalize_query, parse_query_log, query_id, read_query_log
 
 # The query of an event, with and without superfluous white space.
 _TEXT = ("'SELECT ?x WHERE { ?x <http://example.org/type> \"' || event_type || '  event\" . ?x <http://example.org/k> '"
@@ -54,7 +55,7 @@ SELECT 'host-' || user_id AS host, epoch(date_trunc('second', ts))::BIGINT AS se
 def s5_log(spark, sf):
     path = scratch_path(spark, "log")
     _lines(spark, sf).select("value").write.text(path)
-    log = read_query_log(spark, path, "apache")
+    log = read_query_log(spark, path, "apache", with_seq=False)
     return log.select("host", F.unix_seconds("ts").alias("seconds"), "query_hash")
 
 
@@ -62,11 +63,27 @@ def s5_log(spark, sf):
 SELECT sha256({_TEXT}) AS query_hash, row_number() OVER (ORDER BY event_id) - 1 AS seq FROM events
 """)
 def s5_query_list(spark, sf):
-    """One query per line, in one file whose lines are numbered."""
+    """One query per line, in files that follow each other; their lines are numbered as one list."""
     path = scratch_path(spark, "list")
-    _queries(spark, sf).repartitionByRange(1, "event_id").sortWithinPartitions("event_id").select(
+    _queries(spark, sf).repartitionByRange("event_id").sortWithinPartitions("event_id").select(
         F.col("tidy").alias("value")).write.text(path)
-    return read_query_log(spark, path, "sparql").select("query_hash", "seq")
+    log = list_position(read_query_log(spark, path, "sparql"))
+    return log.select("query_hash", F.col("position").alias("seq"))
+
+
+@query("s5_rdf_log", f"""
+SELECT 'host-' || user_id AS host, epoch(date_trunc('second', ts))::BIGINT AS seconds, sha256({_TEXT}) AS query_hash,
+  'SELECT' AS form, true AS uses_filter, run_id::INTEGER AS run_id
+FROM events, range(-1, 1) AS r(run_id) WHERE event_type <> 'error'
+""")
+def s5_rdf_log(spark, sf):
+    """A log as quads, written, read back as a log, and planned as a benchmark."""
+    path, quads = scratch_path(spark, "log"), scratch_path(spark, "log-quads") + "/log.nq"
+    _lines(spark, sf).select("value").write.text(path)
+    log = querylog.enrich(read_query_log(spark, path, "apache"), ["form", "features"])
+    write_rdf(querylog.rdfize_log(log, EX + "log/"), quads)
+    plan = benchplan.run_plan(querylog.read_rdf_log(spark, quads), 1, 1)
+    return plan.select("host", F.unix_seconds("ts").alias("seconds"), "query_hash", "form", "uses_filter", "run_id")
 
 
 @query("r2_query_id", f"SELECT event_id, sha256({_TEXT}) AS query_hash FROM events")

@@ -1,4 +1,4 @@
-"""Query logs to records ``(source, seq, position, raw, host, ts, query, query_hash)``."""
+"""Query logs to records ``(source, seq, raw, host, ts, query, query_hash)``."""
 
 from __future__ import annotations
 
@@ -78,15 +78,13 @@ def queries_only(log: DataFrame) -> DataFrame:
 
 
 def read_query_log(
-    spark: SparkSession, paths: str | Sequence[str], log_format: str, with_seq: bool | None = None
+    spark: SparkSession, paths: str | Sequence[str], log_format: str, with_seq: bool = True
 ) -> DataFrame:
     """Log records of files.  ``seq`` is the line number in the file, from 0.
 
-    ``position`` tells equal lines of a file apart: where the split begins, and
-    the row in its task.
-
-    Numbering costs a second pass that counts the lines per split, so it is done
-    by default only for query lists, where the position matters.
+    It tells equal lines apart, and does not depend on how files are split.
+    Numbering costs a pass that counts the lines per split; without it ``seq``
+    is null.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = spark.read.text(paths).select(
@@ -95,14 +93,9 @@ def read_query_log(
         F.monotonically_increasing_id().alias("__row"),
         "value",
     )
-    if with_seq is None:
-        with_seq = log_format == "sparql"
     numbered = _number(lines) if with_seq else lines.withColumn("seq", F.lit(None).cast("bigint"))
-    # The lower bits of a row id count the rows of its task.
-    row = F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = numbered.withColumn("position", F.concat_ws("-", "__block", row))
     log = parse_query_log(numbered.drop("__block", "__row"), log_format)
-    return log.select("source", "seq", "position", "raw", "host", "ts", "query", "query_hash")
+    return log.select("source", "seq", "raw", "host", "ts", "query", "query_hash")
 
 
 def _number(lines: DataFrame) -> DataFrame:
@@ -127,3 +120,17 @@ def _number(lines: DataFrame) -> DataFrame:
     seq = F.when(same_task & (F.col("__row") >= F.col("__first")), F.col("__row") - F.col("__first") + F.col("__before"))
     checked = F.coalesce(seq, F.raise_error(F.lit("the files were split differently in the second pass")).cast("bigint"))
     return joined.select(*lines.columns, checked.alias("seq"))
+
+
+def list_position(log: DataFrame) -> DataFrame:
+    """Number the records of all files together (``position``, from 0): files by name, then lines.
+
+    A list that several tasks have written in order is one list.  Files are
+    counted; no row moves.
+    """
+    files = log.groupBy("source").agg((F.max("seq") + 1).alias("__lines"))
+    # One row for each file, whatever their size.
+    before = F.sum("__lines").over(Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = stored_lookup(files.select(F.col("source").alias("__file"), F.coalesce(before, F.lit(0)).alias("__before")), "files")
+    numbered = log.join(offsets, F.col("source") == F.col("__file"))
+    return numbered.select(*log.columns, (F.col("seq") + F.col("__before")).alias("position"))

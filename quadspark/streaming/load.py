@@ -22,8 +22,10 @@ def load_stream(
     their graphs.  Each batch writes its own part of the table under its number,
     so a batch that is repeated after a failure replaces itself.  ``dedupe``
     drops quads that earlier batches hold, at the price of reading them.  A
-    malformed line ends the stream, or, with ``on_reject="keep"``, goes to the
-    table ``<table>_rejects``.  A backlog is read ``files_per_batch`` at a time.
+    malformed line ends the stream, or, with ``on_reject="keep"``, leaves out its
+    whole file: the line goes to the table ``<table>_rejects``, and the file is
+    among ``left_out``, for ``run_load`` to take when it is mended.  A backlog is
+    read ``files_per_batch`` at a time.
     """
     if on_reject not in ("fail", "keep"):
         raise ValueError("on_reject is 'fail' or 'keep'")
@@ -37,9 +39,14 @@ def load_stream(
 
     def store(batch: DataFrame, number: int) -> None:
         if on_reject == "keep":
-            save(batch.filter(F.col("reject").isNotNull()).select("source", "reject"),
-                 f"{table}_rejects/batch={number}", "OVERWRITE")
-        fresh = batch.filter(F.col("reject").isNull()).select(*QUAD_COLUMNS)
+            # A batch holds whole files.  It is parsed once: rejects decide on all lines of their file.
+            staged = f"{table}_staged"
+            save(batch, staged, "OVERWRITE")
+            batch = batch.sparkSession.read.schema(batch.schema).parquet(staged)
+            rejects = batch.filter(F.col("reject").isNotNull()).select("source", "reject")
+            save(rejects, f"{table}_rejects/batch={number}", "OVERWRITE")
+            batch = batch.join(rejects.select("source").distinct(), "source", "left_anti")
+        fresh = batch.select(*QUAD_COLUMNS)
         if dedupe and path_exists(batch.sparkSession, table):
             earlier = read_quad_table(batch.sparkSession, table, batches=True)
             fresh = _missing(fresh, earlier.filter(F.col("batch") != number))
@@ -51,6 +58,13 @@ def load_stream(
     )
 
 
+def left_out(spark: SparkSession, table: str) -> DataFrame:
+    """Files (source) that a stream with ``on_reject="keep"`` has not loaded, because they have malformed lines."""
+    if not path_exists(spark, f"{table}_rejects"):
+        return spark.createDataFrame([], "source string")
+    return spark.read.schema("source string, reject string").parquet(f"{table}_rejects").select("source").distinct()
+
+
 def _missing(new: DataFrame, old: DataFrame) -> DataFrame:
     right = old.select(*(F.col(c).alias(f"__{c}") for c in QUAD_COLUMNS))
     on = F.col("s") == F.col("__s")

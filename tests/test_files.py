@@ -179,3 +179,37 @@ def test_line_numbers_over_many_splits(spark, place):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(rows) == 8000
     assert all(r.raw == texts[r.seq] for r in rows)
+
+
+def test_entries_are_the_same_however_files_are_split(spark, place):
+    from quadspark.operators.querylog import LOG, enrich, log_of_quads, query_only, rdfize_log, read_rdf_log
+    from quadspark.sources.querylog import list_position, read_query_log
+
+    rng = random.Random(2)
+    line = '10.0.0.{} - - [01/Jan/2024:10:00:{:02d} +0000] "GET /sparql?query=ASK+%7B+%3Fs+%3Fp+{}+%7D HTTP/1.1" 200 5'
+    lines = [line.format(rng.randrange(3), rng.randrange(2), rng.randrange(20)) for _ in range(600)]
+    for name in ("one", "two"):
+        with open(f"{place}/{name}.log", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    for size in ("3000", "100000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            log = enrich(read_query_log(spark, place, "apache"), ["form", "features"])
+            quads = rdfize_log(log, "http://b/")
+            found.append(as_set(quads.filter(F.col("p") == LOG + "entry")))
+            assert sorted(r.position for r in list_position(log).collect()) == list(range(1200))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1] and len(found[0]) == 1200
+    # Quads are a log again, whose entries have the same names.
+    columns = ["source", "seq", "host", "ts", "query", "query_hash", "form", "uses_filter"]
+    for fmt in ("nq", "nt"):
+        write_rdf(quads, f"{place}-back.{fmt}")
+        back = read_rdf_log(spark, f"{place}-back.{fmt}")
+        assert as_set(back, *columns) == as_set(log, *columns) and back.count() == 1200
+        again = rdfize_log(back, "http://b/")
+        assert as_set(again) == as_set(quads)
+    bare = log_of_quads(rdfize_log(query_only(log).drop("form"), "http://b/").unionByName(quads.limit(0)))
+    assert bare.count() == 1200 and as_set(bare, "host", "ts", "form") == {(None, None, None)}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quadspark.operators import load
 from quadspark.sources.manifest import accepts_type, file_graph_mapping, graph_name, list_sources
-from quadspark.streaming.load import load_stream
+from quadspark.streaming.load import left_out, load_stream
 from quadspark.sinks.rdf import read_quad_table
 
 
@@ -171,6 +171,26 @@ def test_stream_keeps_malformed_lines(spark, place, tmp_path_factory):
         f.write("no triple\n")
     with pytest.raises(Exception, match="malformed line"):
         load_stream(spark, src, f"{place}/t1", f"{place}/c1").awaitTermination()
+    write(src, "b.nt", 2)
     load_stream(spark, src, f"{place}/t2", f"{place}/c2", on_reject="keep").awaitTermination()
-    assert [r.s for r in read_quad_table(spark, f"{place}/t2").collect()] == ["http://s/1"]
+    # A file is loaded as a whole or not at all.
+    assert [r.s for r in read_quad_table(spark, f"{place}/t2").collect()] == ["http://s/2"]
     assert [r.reject for r in spark.read.parquet(f"{place}/t2_rejects").collect()] == ["no triple"]
+    assert [r.source.rsplit("/", 1)[-1] for r in left_out(spark, f"{place}/t2").collect()] == ["a.nt"]
+    assert left_out(spark, f"{place}/t1").count() == 0
+
+
+def test_many_files_are_loaded_some_at_a_time(spark, place, tmp_path_factory):
+    src = str(tmp_path_factory.mktemp("src"))
+    for i in range(5):
+        write(src, f"{i}.nt", i)
+    with open(f"{src}/3.nt", "a") as f:
+        f.write("no triple\n")
+    manifest = list_sources(spark, src)
+    assert load.run_load(spark, manifest, f"{place}/t", f"{place}/s", on_reject="keep", files_per_load=2) == 4
+    assert {r.load for r in load.read_load_state(spark, f"{place}/s").collect()} == {1, 2, 3}
+    assert {r.s for r in load.read_loaded(spark, f"{place}/t", f"{place}/s").collect()} == {f"http://s/{i}" for i in (0, 1, 2, 4)}
+    assert load.run_load(spark, manifest, f"{place}/t", f"{place}/s", on_reject="keep", files_per_load=2) == 0
+    write(src, "3.nt", 3)
+    assert load.run_load(spark, list_sources(spark, src), f"{place}/t", f"{place}/s", files_per_load=2) == 1
+    assert load.read_loaded(spark, f"{place}/t", f"{place}/s").count() == 5
