@@ -39,6 +39,7 @@ from quadspark.functions.terms import (
     term_key,
     variables,
 )
+from quadspark.operators import masks
 from quadspark.operators.inversion import keys_of
 from quadspark.operators.mapping import apply_mapping
 from quadspark.operators.unfold import unfold
@@ -46,9 +47,9 @@ from quadspark.operators.unfold import unfold
 DEFAULT_GRAPH = object()
 ANY_GRAPH = object()
 
-# A split by boundness gives up to 3^n parts; more variables than this in one
-# join point to a query that should be written differently.
-MAX_UNBOUND_KEYS = 4
+# A split by boundness gives up to 3^n parts of a plan; with more variables than
+# this, masks are data (``masks``).
+MAX_UNBOUND_KEYS = 2
 
 
 def is_var(place) -> bool:
@@ -130,10 +131,7 @@ def _shared(left: DataFrame, right: DataFrame) -> list[str]:
 
 
 def _loose(left: DataFrame, right: DataFrame, shared: Iterable[str]) -> list[str]:
-    loose = [v for v in shared if maybe_unbound(left, v) or maybe_unbound(right, v)]
-    if len(loose) > MAX_UNBOUND_KEYS:
-        raise ValueError(f"more than {MAX_UNBOUND_KEYS} possibly unbound join variables: {loose}")
-    return loose
+    return [v for v in shared if maybe_unbound(left, v) or maybe_unbound(right, v)]
 
 
 def _renamed(right: DataFrame, shared: Sequence[str]) -> DataFrame:
@@ -179,12 +177,15 @@ def join(left: DataFrame, right: DataFrame, allow_product: bool = False) -> Data
             raise ValueError("the two sides share no variable; pass allow_product=True if that is meant")
         return left.join(right)
     loose = _loose(left, right, shared)
-    parts = []
-    for lmask in _masks(left, loose):
-        for rmask in _masks(right, loose):
-            part = _join_part(left, right, shared, lmask, rmask, allow_product)
-            parts.append(part)
-    result = reduce(lambda a, b: a.unionByName(b), parts)
+    if len(loose) > MAX_UNBOUND_KEYS and not allow_product:
+        result = masks.join(left, right, shared)
+    else:
+        parts = []
+        for lmask in _masks(left, loose):
+            for rmask in _masks(right, loose):
+                part = _join_part(left, right, shared, lmask, rmask, allow_product)
+                parts.append(part)
+        result = reduce(lambda a, b: a.unionByName(b), parts)
     still = [v for v in loose if maybe_unbound(left, v) and maybe_unbound(right, v)]
     return _restore_marks(result, left, right, still)
 
@@ -371,6 +372,8 @@ def _existence(left, right, cond, how):
         return left.join(_renamed(narrow, shared), on if cond is None else on & cond, how)
     if how == "left_anti":
         return _without(left, right, shared, loose, need_common=False, cond=cond)
+    if len(loose) > MAX_UNBOUND_KEYS:
+        return _marks_of(left, masks.matched(left, right, shared, True, False, cond))
     parts = []
     for lmask in _masks(left, loose):
         part = _bound_is(left, lmask)
@@ -381,7 +384,14 @@ def _existence(left, right, cond, how):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _marks_of(left: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of the left side, which a table has taken the marks from."""
+    return mark_unbound(rows, [v for v in variables(left) if maybe_unbound(left, v)])
+
+
 def _without(left, right, shared, loose, need_common, cond=None):
+    if len(loose) > MAX_UNBOUND_KEYS:
+        return _marks_of(left, masks.matched(left, right, shared, False, need_common, cond))
     parts = []
     for lmask in _masks(left, loose):
         part = _bound_is(left, lmask)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quadspark.functions import scalars as fn
-from quadspark.functions.terms import RDF_TYPE, Literal, literal_term, term
+from quadspark.functions.terms import RDF_TYPE, Literal, iri_term, literal_term, mark_unbound, term
 from quadspark.operators import paths
 from quadspark.operators.graphs import into_graph
 from quadspark.operators.mapping import TriplesMap, apply_mapping, pom, template
@@ -299,6 +299,30 @@ def x6_unbound_minus(spark, sf):
     return lexical(minus(left, right), "c")
 
 
+@query("x6_many_unbound", """
+WITH o AS (SELECT o_custkey AS k, o_orderkey AS n, o_orderstatus AS a, o_orderpriority AS b, floor(o_totalprice)::BIGINT % 7 AS c FROM orders),
+l AS (SELECT k, CASE WHEN n % 2 = 0 THEN a END AS a, CASE WHEN n % 3 = 0 THEN b END AS b, CASE WHEN n % 5 > 1 THEN c END AS c FROM o),
+r AS (SELECT k, CASE WHEN n % 3 > 0 THEN a END AS a, CASE WHEN n % 2 = 0 THEN b END AS b, CASE WHEN n % 5 < 3 THEN c END AS c FROM o)
+SELECT 'http://example.org/customer/' || l.k AS k, count(*) AS n FROM l JOIN r ON l.k = r.k
+  AND (l.a IS NULL OR r.a IS NULL OR l.a = r.a) AND (l.b IS NULL OR r.b IS NULL OR l.b = r.b)
+  AND (l.c IS NULL OR r.c IS NULL OR l.c = r.c) GROUP BY 1
+""")
+def x6_many_unbound(spark, sf):
+    """Orders of one customer that agree wherever both sides have a value, which rows have or lack in many ways."""
+    rows = table(spark, sf, "orders")
+    places = {"a": "o_orderstatus", "b": "o_orderpriority", "c": "cast(floor(o_totalprice) AS bigint) % 7"}
+
+    def side(tests):
+        bound = {v: F.expr(f"CASE WHEN {tests[v]} THEN concat('{EX}value/', {text}) END") for v, text in places.items()}
+        columns = {"k": F.concat(F.lit(EX + "customer/"), "o_custkey"), **bound}
+        sol = rows.select(*(x for v, c in columns.items() for x in iri_term(c).columns(v)))
+        return mark_unbound(sol, list(places))
+
+    left = side({"a": "o_orderkey % 2 = 0", "b": "o_orderkey % 3 = 0", "c": "o_orderkey % 5 > 1"})
+    right = side({"a": "o_orderkey % 3 > 0", "b": "o_orderkey % 2 = 0", "c": "o_orderkey % 5 < 3"})
+    return group(join(left, right), ["k"], {"n": F.count(F.lit(1))}).select("k", "n")
+
+
 @query("x7_values", f"""
 SELECT {CUST} c_custkey AS c, c_mktsegment AS segment, CASE c_mktsegment WHEN 'BUILDING' THEN 'b' ELSE 'm' END AS code
 FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')

@@ -1,6 +1,7 @@
 """Solution algebra on small inputs, checked against brute force."""
 
 import itertools
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -90,6 +91,58 @@ def test_unbound_variables_match_brute_force(spark, lrows, rrows):
         (tuple(a.values()) for a in ls2 if not any(compatible(a, b) and common(a, b) for b in rs2)), key=str)
 
 
+@pytest.mark.parametrize("n", [3, 8])
+def test_many_unbound_variables(spark, n):
+    """Masks as data: any number of loose variables, in one plan."""
+    rng, names = random.Random(n), [f"v{i}" for i in range(n)]
+
+    def side(last, size):
+        forms = [[rng.random() < 0.6 for _ in names] for _ in range(4)]
+        rows = []
+        for _ in range(size):
+            form = rng.choice(forms)
+            rows.append(("k" if rng.random() < 0.7 else "m", *(rng.choice("ab") if f else None for f in form), rng.choice("xy")))
+        return rows, ["k", *names, last], solutions(spark, ["k", *names, last], rows)
+
+    lrows, lnames, left = side("p", 14)
+    rrows, rnames, right = side("q", 14)
+    ls, rs = ([dict(zip(ns, r, strict=True)) for r in rows] for rows, ns in ((lrows, lnames), (rrows, rnames)))
+    everything = [*lnames, "q"]
+
+    def merged(a, b):
+        return tuple(a.get(v) if a.get(v) is not None else b.get(v) for v in everything)
+
+    pairs = [merged(a, b) for a, b in itertools.product(ls, rs) if compatible(a, b)]
+    kept = [a for a in ls if not any(compatible(a, b) for b in rs)]
+    joined = join(left, right)
+    assert bag(joined, *everything) == sorted(pairs, key=str) and pairs
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert bag(optional(left, right), *everything) == sorted(pairs + [merged(a, {}) for a in kept], key=str)
+    assert bag(not_exists(left, right), *lnames) == sorted((tuple(a.values()) for a in kept), key=str)
+    assert bag(exists(left, right), *lnames) == sorted(
+        (tuple(a.values()) for a in ls if any(compatible(a, b) for b in rs)), key=str)
+    chosen = [a for a in ls if any(compatible(a, b) and b["q"] == "x" for b in rs)]
+    assert bag(exists(left, right, F.col("q") == "x"), *lnames) == sorted((tuple(a.values()) for a in chosen), key=str)
+    left2, right2 = project(left, *names), project(right, *names)
+    ls2, rs2 = [{v: a[v] for v in names} for a in ls], [{v: b[v] for v in names} for b in rs]
+    assert bag(minus(left2, right2), *names) == sorted(
+        (tuple(a.values()) for a in ls2 if not any(compatible(a, b) and common(a, b) for b in rs2)), key=str)
+    assert bag(not_exists(left2, right2), *names) == sorted(
+        (tuple(a.values()) for a in ls2 if not any(compatible(a, b) for b in rs2)), key=str)
+    assert all(maybe_unbound(joined, v) for v in names if any(r[v] is None for r in ls) and any(r[v] is None for r in rs))
+    assert bag(join(left.limit(0), right), *everything) == []
+
+
+def test_many_unbound_variables_with_nothing_in_common(spark):
+    names = ["a", "b", "c"]
+    left = solutions(spark, names, [("x", None, None), (None, "y", "z")])
+    right = solutions(spark, names, [(None, "y", None), ("x", None, None)])
+    with pytest.raises(ValueError, match="no bound variable"):
+        join(left, right)
+    assert join(left, right, allow_product=True).count() == 4
+
+
 def test_terms_of_different_type_do_not_join(spark):
     g = quads(spark, ("s", "p", Literal("1", XSD_INTEGER)), ("t", "q", Literal("1")), ("u", "q", Literal("1", XSD_INTEGER)),
               ("v", "q", Literal("1", lang="en")), ("w", "q", "1"))
