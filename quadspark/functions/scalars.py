@@ -19,6 +19,7 @@ from quadspark.functions.terms import (
     XSD_BOOLEAN,
     XSD_DATE,
     XSD_DATETIME,
+    XSD_DAY_TIME_DURATION,
     XSD_DECIMAL,
     XSD_DOUBLE,
     XSD_FLOAT,
@@ -368,6 +369,16 @@ def tz(t: Term) -> Term:
     return literal_term(_part(t, 7))
 
 
+def timezone(t: Term) -> Term:
+    """The zone as a duration; unbound where a literal states none."""
+    zone = _part(t, 7)
+    hour, minute = F.substring(zone, 2, 2).cast("int"), F.substring(zone, 5, 2).cast("int")
+    parts = F.concat(F.when(hour > 0, F.concat(hour.cast("string"), F.lit("H"))).otherwise(""),
+                     F.when(minute > 0, F.concat(minute.cast("string"), F.lit("M"))).otherwise(""))
+    signed = F.concat(F.when(F.startswith(zone, F.lit("-")), F.lit("-")).otherwise(""), F.lit("PT"), parts)
+    return literal_term(F.when(zone.isin("Z", "+00:00", "-00:00"), "PT0S").when(zone != "", signed), XSD_DAY_TIME_DURATION)
+
+
 # --- hashes and constructors --------------------------------------------------
 
 def md5(t: Term) -> Term:

@@ -30,6 +30,7 @@ XSD_FLOAT = XSD + "float"
 XSD_BOOLEAN = XSD + "boolean"
 XSD_DATE = XSD + "date"
 XSD_DATETIME = XSD + "dateTime"
+XSD_DAY_TIME_DURATION = XSD + "dayTimeDuration"
 NUMERIC_TYPES = [
     XSD + name
     for name in (

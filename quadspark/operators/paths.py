@@ -6,6 +6,8 @@ predicate, the other functions compose them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,24 @@ def inverse(path: DataFrame, start: str = "x", end: str = "y") -> DataFrame:
     return _rename(path, {start: end, end: start})
 
 
+def negated(graph, predicates: Sequence[str] = (), inverse_of: Sequence[str] = (), g=DEFAULT_GRAPH) -> DataFrame:
+    """``!(a | ^b)``: pairs joined by any predicate but those named (a bag).
+
+    Without ``inverse_of`` only forward triples count, and without
+    ``predicates`` only backward ones, as the language has it.
+    """
+    if not predicates and not inverse_of:
+        raise ValueError("a negated property set names at least one predicate")
+
+    def others(start: str, end: str, names: Sequence[str]) -> DataFrame:
+        triples = match(graph, f"?{start}", "?__p", f"?{end}", g=g)
+        return project(triples.filter(~F.col("__p").isin(list(names))), "x", "y")
+
+    parts = [others("x", "y", predicates)] if predicates else []
+    parts += [others("y", "x", inverse_of)] if inverse_of else []
+    return alternative(*parts)
+
+
 def _pair_columns(df: DataFrame) -> DataFrame:
     """Pairs with all term columns on both sides, so that unions align."""
     columns = []

@@ -102,18 +102,19 @@ def f_numeric(spark, sf):
 
 @query("f_datetime", """
 SELECT event_id, year(ts)::VARCHAR AS y, month(ts)::VARCHAR AS m, day(ts)::VARCHAR AS d, hour(ts)::VARCHAR AS h,
-  minute(ts)::VARCHAR AS mi, second(ts)::VARCHAR AS s, '+01:00' AS zone FROM events
+  minute(ts)::VARCHAR AS mi, second(ts)::VARCHAR AS s, '+01:00' AS zone, 'PT1H' AS duration FROM events
 """)
 def f_datetime(spark, sf):
     text = F.concat(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:00"))
     sol = table(spark, sf, "events").select("event_id", text.alias("t"))
     t = literal_term(F.col("t"), XSD_DATETIME)
-    out = _bound(sol, y=fn.year(t), m=fn.month(t), d=fn.day(t), h=fn.hours(t), mi=fn.minutes(t), s=fn.seconds(t), zone=fn.tz(t))
-    return out.select("event_id", "y", "m", "d", "h", "mi", "s", "zone")
+    out = _bound(sol, y=fn.year(t), m=fn.month(t), d=fn.day(t), h=fn.hours(t), mi=fn.minutes(t), s=fn.seconds(t), zone=fn.tz(t),
+                 duration=fn.timezone(t))
+    return out.select("event_id", "y", "m", "d", "h", "mi", "s", "zone", "duration")
 
 
 @query("f_hash", """
-SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256, 40::INTEGER AS sha1_length, 96::INTEGER AS sha384_length,
+SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256, sha1(text) AS sha1, 96::INTEGER AS sha384_length,
   128::INTEGER AS sha512_length FROM documents
 """)
 def f_hash(spark, sf):
@@ -121,7 +122,7 @@ def f_hash(spark, sf):
     t = literal_term(F.col("text"))
     return docs.select(
         "doc_id", fn.md5(t).value.alias("md5"), fn.sha256(t).value.alias("sha256"),
-        F.length(fn.sha1(t).value).alias("sha1_length"), F.length(fn.sha384(t).value).alias("sha384_length"),
+        fn.sha1(t).value.alias("sha1"), F.length(fn.sha384(t).value).alias("sha384_length"),
         F.length(fn.sha512(t).value).alias("sha512_length"))
 
 

@@ -469,6 +469,17 @@ def x14_zero_or_one(spark, sf):
     return paths.zero_or_one(g, paths.hop(g, EX + "region")).select("x", "y")
 
 
+@query("x14_negated", f"""
+SELECT {NATION} n_nationkey AS x, n_name AS y FROM nation
+UNION ALL SELECT {NATION} n_nationkey, 'http://example.org/Nation' FROM nation
+UNION ALL SELECT n_name, {NATION} n_nationkey FROM nation
+UNION ALL SELECT {REGION} n_regionkey, {NATION} n_nationkey FROM nation
+""")
+def x14_negated(spark, sf):
+    """Any predicate but the region, or backwards any but the type."""
+    return lexical(paths.negated(graph(spark, sf, "nation"), [EX + "region"], [RDF_TYPE]), "x", "y")
+
+
 def _turns(spark, sf):
     """Each turn of a conversation leads to the next one."""
     turns = table(spark, sf, "conversations").select("conv_id", "turn")

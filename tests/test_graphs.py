@@ -241,3 +241,38 @@ def test_a_hub_subject_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_digests(spark):
+    import hashlib
+
+    from quadspark.functions import scalars as fn
+    from quadspark.functions.terms import literal_term
+
+    texts = ["", "a", "\u00e9\U0001F600", "x" * 5000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = literal_term(F.col("t"))
+    names = ("md5", "sha1", "sha256", "sha384", "sha512")
+    for r in df.select("t", *(getattr(fn, n)(t).value.alias(n) for n in names)).collect():
+        assert [r[n] for n in names] == [hashlib.new(n, r.t.encode()).hexdigest() for n in names]
+
+
+def test_zones_as_durations(spark):
+    from quadspark.functions import scalars as fn
+    from quadspark.functions.terms import XSD_DATETIME, literal_term
+
+    zones = {"Z": "PT0S", "+01:00": "PT1H", "-05:30": "-PT5H30M", "+00:45": "PT45M", "-00:00": "PT0S", "": None}
+    df = spark.createDataFrame([(z, "2024-01-01T00:00:00" + z) for z in zones], "z string, t string")
+    found = df.select("z", fn.timezone(literal_term(F.col("t"), XSD_DATETIME)).value.alias("d")).collect()
+    assert {r.z: r.d for r in found} == zones
+
+
+def test_negated_property_sets(spark):
+    from quadspark.operators import paths
+
+    g = quads(spark, ("a", "p", "b"), ("a", "q", "c"), ("b", "r", Literal("x")))
+    assert rows(paths.negated(g, ["p"]), "x", "y") == {("a", "c"), ("b", "x")}
+    assert rows(paths.negated(g, inverse_of=["q", "r"]), "x", "y") == {("b", "a")}
+    assert rows(paths.negated(g, ["p", "r"], ["p"]), "x", "y") == {("a", "c"), ("c", "a"), ("x", "b")}
+    with pytest.raises(ValueError):
+        paths.negated(g)
