@@ -1,6 +1,7 @@
 """Sharding by fixed virtual slots (operator 8), DataFrame functions only.
 
-Records are hashed by id into ``SLOTS`` virtual slots, which never change.  The
+Records are hashed by id and text into ``SLOTS`` virtual slots, which never
+change; equal records that alone would outgrow a slot are spread over all.  The
 bytes of each slot are summed, and a *map* says which shard a slot belongs to.
 The first map fills the shards evenly, the largest slots first (so shard sizes
 are near equal: the ``bytes`` law); rebalancing edits the map slot by slot and
@@ -9,8 +10,8 @@ stores it under the next version, so only the edited slots' records move.
 A map has ``SLOTS`` rows at most, whatever the input; it is folded in one
 expression, and its size is a proven bound for broadcasting it.
 
-Defined results: a null text has no bytes and size 8, a null id has a slot of
-its own; repeated rows are placed one by one; other columns are ignored.
+Defined results: a null text has no bytes and size 8; a null id is hashed like
+any other; repeated rows are placed one by one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +32,21 @@ def sized(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
     doc_id = F.col("doc_id").cast("long")
     return documents.select(
         doc_id, (F.length(raw) + ROW_BYTES).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
-        F.pmod(F.xxhash64(doc_id), F.lit(slots)).cast("int").alias("vslot"))
+        F.pmod(F.xxhash64(doc_id, raw), F.lit(slots)).cast("int").alias("vslot"))
+
+
+def spread(records: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Records (a table) of which no group of equal ones holds more than an average slot, but spread over all slots."""
+    key = ["doc_id", "size", "text_crc32", "vslot"]
+    total = records.count()
+    # Fewer groups than slots can have more records than the average slot.
+    heavy = records.groupBy(*key).count().where(F.col("count") * slots > F.lit(max(total, 2 * slots))).select(
+        *(F.col(k).alias(f"h_{k}") for k in key))
+    alike = [F.col(k).eqNullSafe(F.col(f"h_{k}")) for k in key]
+    joined = records.join(F.broadcast(heavy), alike, "left")
+    # The records are a table, so a row has one number in every run of a task.
+    other = F.pmod(F.xxhash64("vslot", F.monotonically_increasing_id()), F.lit(slots)).cast("int")
+    return joined.select("doc_id", "size", "text_crc32", F.when(F.col("h_size").isNotNull(), other).otherwise(F.col("vslot")).alias("vslot"))
 
 
 def slot_bytes(records: DataFrame) -> DataFrame:
@@ -110,7 +125,7 @@ def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_pa
     one already, its latest version is used.
     """
     spark = documents.sparkSession
-    records = stored(sized(documents, slots), "llm-records")
+    records = stored(spread(stored(sized(documents, slots), "llm-sized"), slots), "llm-records")
     sizes = stored(slot_bytes(records), "llm-slots")
     path = map_path or scratch_path(spark, "llm-slot-map")
     every = spark.range(slots).select(F.col("id").cast("int").alias("vslot")).join(sizes, "vslot", "left").fillna(0)

@@ -228,6 +228,21 @@ def test_too_many_patterns(documents, monkeypatch):
 # ---------------------------------------------------------------- sharding
 
 
+@pytest.mark.parametrize("form", ["null ids", "one id", "equal rows"])
+def test_hot_ids_are_spread(documents, form):
+    """A third of all rows without an id, with one id, or equal: shards stay alike."""
+    hot = {"null ids": lambda i: (None, f"text {i}"), "one id": lambda i: (5, f"text {i}"), "equal rows": lambda i: (5, "one text")}[form]
+    rows = [(1000 + i, f"document {i % 100:03}") for i in range(2000)] + [hot(i) for i in range(1000)]
+    found = sharding.shard(documents(rows), shards=7, slots=128).collect()
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((d, len(t) + 8) for d, t in rows)
+    loads = Counter()
+    for r in found:
+        loads[r.shard] += r.size
+    assert max(loads.values()) < 1.1 * min(loads.values())
+    for shard in loads:
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
+
+
 def test_sharding(documents, prose):
     rows = [(i, prose(i, i % 70), "s") for i in range(600)] + EDGES
     found = sharding.shard(documents(rows), shards=7, slots=128).collect()
