@@ -41,6 +41,8 @@ SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 12, 4
 WELL_FILLED = 0.999
 #: Chunks of text whose ids a Python worker remembers.
 REMEMBERED, LONG_CHUNK = 1_000_000, 64
+#: Fixed by the Unicode standard: the only character whose lower case is two characters whatever its neighbours.
+DOTTED = "\u0130"
 
 # ---------------------------------------------------------------- tokens
 
@@ -88,8 +90,8 @@ class Encoder:
                 continue
             text = chunk.decode("utf-8", "replace")
             word = text.rstrip(punctuation)
-            # A letter may become one with a mark in lower case, which joins the marks that follow.
-            if word.isalpha() and word.lower().isalpha():
+            # The one letter that in lower case is a letter and a mark, which joins the marks that follow.
+            if word.isalpha() and DOTTED not in word:
                 # ASCII marks behind a word are a piece of their own.
                 rest, core = text[len(word):], word.encode()
                 if core not in known:
