@@ -1,11 +1,15 @@
 """Near-duplicate embeddings with randomised-rotation binary codes (operator 4).
 
-A unit vector is rotated at random; the signs of its coordinates are its code,
-and the inner product of vector and code is stored as a correction factor.
-Divided by the factor, the inner product of a rotated vector with another one's
-code is an unbiased estimate of their cosine, within a bound that the factor
-gives.  Pairs whose upper bound is below the threshold are done; all others are
-recomputed exactly, in double precision.
+A unit vector is turned by several random rotations; the signs of all the
+coordinates are its *code*.  A code read backwards is a vector again, and its
+inner product with the vector it came from is the *correction factor*: divided
+by it, the product of a decoded code with any other vector is an unbiased
+estimate of that vector's cosine.  The factor also gives the estimate's spread,
+which shrinks as the cosine nears one.  The other vector of an estimate is held
+in a byte a coordinate, rounded with a random shift, which keeps the estimate
+unbiased.  Codes, bytes and factors are made once and stored; pairs whose upper
+bound is below the threshold are done with, and only for the others the vectors
+themselves are fetched and multiplied in double precision.
 
 Candidates are vectors of one label whose codes agree in one of several *bands*
 of bits.  Bits per band follow the number of vectors, so that unrelated vectors
@@ -13,9 +17,11 @@ rarely meet; the number of bands follows from the bits, so that a pair at the
 threshold is missed with a chance of ``MISS`` at any size.
 
 Equal vectors are one class with a count.  A bucket of a band is split into
-blocks, and each pair of blocks is a cell that one task multiplies: no pair is
-written, only each vector's number of links and a spanning forest of the cell.
-A pair that meets in several bands counts in the first.
+blocks, and each pair of blocks is a *cell* of one task.  Cells are seen twice:
+first with codes only, which leaves the vectors that have an open pair, then
+with these vectors.  No pair is written, only each vector's number of links and
+a spanning forest of the cell.  A pair that meets in several bands is looked at
+in the first.
 
 Defined results: a null vector or label, and vectors that are empty, zero or
 hold null or non-finite components, link with nothing; vectors of different
@@ -27,7 +33,8 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +45,14 @@ from quadspark.llm.components import components
 from quadspark.llm.tables import release, ship, stored
 
 THRESHOLD, MISS, SEED = 0.98, 1e-5, 7
-#: Standard deviations of the estimate between which the cosine lies but for a chance of about 1e-6.
+#: Standard deviations of an estimate that the bounds allow for: a chance of about 3e-7 to reject wrongly.
 SPREAD = 5.0
 #: Vectors of a bucket that are in one block.
 BLOCK = 1024
+#: Steps on each side of zero that a byte has room for, one kept for the shift.
+STEPS = 126
+CELL = ("bucket", "low", "high")
+CODE = "code binary, levels binary, step double, factor double, spread double"
 
 
 def bands(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
@@ -58,34 +69,79 @@ def rotation(size: int, number: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+@functools.lru_cache(maxsize=64)
+def shift(size: int) -> np.ndarray:
+    """What is added to each coordinate, in steps, before it is rounded down."""
+    return np.random.default_rng([SEED, size]).random(size)
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def band_keys(units: np.ndarray, bits: int, count: int) -> np.ndarray:
-    """One row of band keys per unit vector."""
-    size = units.shape[1]
-    turns = math.ceil(bits * count / size)
-    code = np.concatenate([units @ rotation(size, 1 + t) > 0 for t in range(turns)], axis=1)[:, : bits * count]
-    return code.reshape(len(units), count, bits) @ (1 << np.arange(bits, dtype=np.int64))
+class Codes(NamedTuple):
+    """What is stored of vectors of one size, a row each."""
 
+    signs: np.ndarray  #: bool, bits of all bands
+    levels: np.ndarray  #: int8, the vector in the basis of rotation 0, in steps
+    step: np.ndarray
+    factor: np.ndarray  #: inner product of vector and decoded code
+    spread: np.ndarray  #: length of what the decoded code has beside the vector, as a share of the factor
 
-def linked(units: np.ndarray, cross: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
-    """Pairs (i, j) among those allowed by ``cross`` whose cosine reaches the threshold."""
+
+def decoded(signs: np.ndarray, size: int) -> np.ndarray:
+    """The vector that a code stands for, not scaled."""
+    out = np.zeros((len(signs), size))
+    for turn, at in enumerate(range(0, signs.shape[1], size)):
+        some = np.where(signs[:, at:at + size], 1.0, -1.0)
+        out += some @ rotation(size, 1 + turn).T[: some.shape[1]]
+    return out
+
+
+def encoded(units: np.ndarray, n_bits: int) -> Codes:
     size = units.shape[1]
+    turns = math.ceil(n_bits / size)
+    signs = np.concatenate([units @ rotation(size, 1 + t) > 0 for t in range(turns)], axis=1)[:, :n_bits]
+    back = decoded(signs, size)
+    factor = np.einsum("ij,ij->i", back, units)
+    beside = np.sqrt(np.maximum(0, np.einsum("ij,ij->i", back, back) - factor**2))
     turned = units @ rotation(size, 0)
-    code = np.where(turned > 0, 1.0, -1.0) / math.sqrt(size)
-    factor = np.abs(turned).sum(axis=1) / math.sqrt(size)
-    bound = SPREAD * np.sqrt(np.maximum(0, 1 - factor**2)) / factor / math.sqrt(max(1, size - 1))
-    estimate = turned @ code.T / factor
-    i, j = np.nonzero((estimate + bound >= threshold) & cross)
-    out = []
-    for at in range(0, len(i), 1 << 16):  # exact recomputation, some pairs at a time
-        a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-        near = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
-        out.append(np.stack([a[near], b[near]]))
-    return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    step = np.abs(turned).max(axis=1) / STEPS
+    levels = np.floor(turned / step[:, None] + shift(size)).astype(np.int8)
+    return Codes(signs, levels, step, factor, beside / factor)
+
+
+def estimates(codes: Codes) -> np.ndarray:
+    """Unbiased estimate of the cosine of vectors i (as bytes) and j (as code) at [i, j]."""
+    size = codes.levels.shape[1]
+    vectors = (codes.levels + 0.5 - shift(size)) * codes.step[:, None] @ rotation(size, 0).T
+    return vectors @ (decoded(codes.signs, size) / codes.factor[:, None]).T
+
+
+def open_pairs(codes: Codes, allowed: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Pairs (i, j) among the allowed ones that may reach the threshold, by both their estimates.
+
+    The code of j lies beside j in a random direction, so an estimate has the
+    deviation sqrt(1 - cosine^2) * spread / sqrt(size - 1), and that of the
+    rounding.  Of all cosines that reach the threshold, the threshold itself
+    has the lowest bound.
+    """
+    size = codes.levels.shape[1]
+    aside = math.sqrt(1 - max(threshold, 0.0) ** 2) / math.sqrt(max(1, size - 1))
+    rounding = codes.step[:, None] * np.sqrt((1 + codes.spread**2) / 12)
+    least = threshold - 1e-9 - SPREAD * (aside * codes.spread + rounding)
+    may = estimates(codes) >= least
+    return np.stack(np.nonzero(may & may.T & allowed))
+
+
+def recomputed(units: np.ndarray, pairs: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Those of the pairs whose cosine reaches the threshold."""
+    near = np.zeros(pairs.shape[1], bool)
+    for at in range(0, len(near), 1 << 16):
+        a, b = pairs[:, at:at + (1 << 16)]
+        near[at:at + (1 << 16)] = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
+    return pairs[:, near]
 
 
 def roots(n: int, pairs: np.ndarray) -> np.ndarray:
@@ -106,57 +162,98 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _keys(bits: int, count: int):
+def _bytes(values: np.ndarray) -> pa.Array:
+    """A value of binary per row."""
+    width = values.shape[1]
+    offsets = pa.array(np.arange(0, values.size + 1, width, dtype=np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(values), [
+        None, offsets.buffers()[1], pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _encode(bits: int, count: int):
+    """Codes, and the keys of their bands."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = np.diff(np.asarray(batch.column("vector").offsets))
             for size in np.unique(lengths):
                 some = batch.filter(pa.array(lengths == size))
-                keys = band_keys(unit(_vectors(some.column("vector"))), bits, count)
+                codes = encoded(unit(_vectors(some.column("vector"))), bits * count)
+                keys = _keys(codes.signs, bits)
                 yield pa.RecordBatch.from_pydict({
-                    "cid": some.column("cid"),
+                    "cid": some.column("cid"), "label": some.column("label"),
+                    "size": pa.array(np.full(len(some), size, np.int32)), "times": some.column("times"),
+                    "code": _bytes(np.packbits(codes.signs, axis=1)), "levels": _bytes(codes.levels.view(np.uint8)),
+                    "step": pa.array(codes.step), "factor": pa.array(codes.factor), "spread": pa.array(codes.spread),
                     "keys": pa.ListArray.from_arrays(
                         pa.array(np.arange(0, keys.size + 1, count, dtype=np.int32)), pa.array(keys.ravel()))})
 
     return run
 
 
-def _cell(table: pa.Table, bits: int, count: int, threshold: float) -> pa.RecordBatch:
-    """Links that one cell has: each vector's number of linked vectors, and its root."""
+def _keys(signs: np.ndarray, bits: int) -> np.ndarray:
+    """A key per band."""
+    return signs.reshape(len(signs), -1, bits) @ (1 << np.arange(bits, dtype=np.int64))
+
+
+def _codes(table: pa.Table, n_bits: int) -> Codes:
+    def matrix(name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind).reshape(table.num_rows, -1)
+
+    signs = np.unpackbits(matrix("code", np.uint8), axis=1, count=n_bits).astype(bool)
+    return Codes(signs, matrix("levels", np.int8), *(np.asarray(table.column(c)) for c in ("step", "factor", "spread")))
+
+
+def _candidates(table: pa.Table, bits: int, count: int, threshold: float) -> np.ndarray:
+    """Open pairs of a cell that met in no band before; the table is sorted by cid."""
+    codes = _codes(table, bits * count)
+    allowed = np.triu(np.ones((table.num_rows, table.num_rows), bool), 1)
+    block = np.asarray(table.column("block"))
+    if len(np.unique(block)) > 1:  # pairs within a block have a cell of their own
+        allowed &= block[:, None] != block
+    keys = _keys(codes.signs, bits)
+    for band in range(table.column("band")[0].as_py()):
+        allowed &= keys[:, band, None] != keys[:, band]
+    return open_pairs(codes, allowed, threshold)
+
+
+def _with_open(table: pa.Table, bits: int, count: int, threshold: float) -> pa.Table:
+    """Places of the vectors that have an open pair in a cell."""
+    some = np.unique(_candidates(table, bits, count, threshold))
+    return table.select(["cid", "bucket", "band", "block", "low", "high"]).take(pa.array(some))
+
+
+def _links(table: pa.Table, bits: int, count: int, threshold: float) -> pa.Table:
+    """Links that a cell has: each vector's number of linked vectors, and its root."""
     units = unit(_vectors(table.column("vector").combine_chunks()))
     cid, times = np.asarray(table.column("cid")), np.asarray(table.column("times"))
-    block, band = np.asarray(table.column("block")), int(table.column("band")[0].as_py())
-    order = np.argsort(cid, kind="stable")
-    units, cid, times, block = units[order], cid[order], times[order], block[order]
-    cross = np.arange(len(cid))[:, None] < np.arange(len(cid))
-    if len(np.unique(block)) > 1:  # pairs within a block have a cell of their own
-        cross &= block[:, None] != block
-    pairs = linked(units, cross, threshold)
-    keys = band_keys(units, bits, count)[:, :band]
-    pairs = pairs[:, ~(keys[pairs[0]] == keys[pairs[1]]).any(axis=1)]
+    pairs = recomputed(units, _candidates(table, bits, count, threshold), threshold)
     links = np.bincount(pairs[0], times[pairs[1]], len(cid)) + np.bincount(pairs[1], times[pairs[0]], len(cid))
     some = np.flatnonzero(links)
-    return pa.RecordBatch.from_pydict({
+    return pa.table({
         "a": pa.array(cid[some]), "b": pa.array(cid[roots(len(cid), pairs)[some]]),
         "n": pa.array(links[some].astype(np.int64))})
 
 
-def _cells(bits: int, count: int, threshold: float):
+def _cells(seen: Callable[..., pa.Table], bits: int, count: int, threshold: float):
     """Rows come sorted by cell; a cell may begin in one batch and end in another."""
 
+    def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from seen(pa.Table.from_batches(held).sort_by("cid"), bits, count, threshold).to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            cell = np.stack([np.asarray(batch.column(c)) for c in ("bucket", "low", "high")])
+            cell = np.stack([np.asarray(batch.column(c)) for c in CELL])
             cuts = [0, *(np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 piece = batch.slice(a, b - a)
-                if held and any(held[0].column(c)[0] != piece.column(c)[0] for c in ("bucket", "low", "high")):
-                    yield _cell(pa.Table.from_batches(held), bits, count, threshold)
+                if held and any(held[0].column(c)[0] != piece.column(c)[0] for c in CELL):
+                    yield from done(held)
                     held = []
                 held.append(piece)
         if held:
-            yield _cell(pa.Table.from_batches(held), bits, count, threshold)
+            yield from done(held)
 
     return run
 
@@ -181,10 +278,11 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFra
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, count = bands(largest, threshold)
 
-    keyed = classes.select("cid", "vector").mapInArrow(_keys(bits, count), "cid long, keys array<long>")
-    placed = classes.select("cid", "label", F.size("vector").alias("size")).join(keyed, "cid").select(
-        "cid", "label", "size", F.posexplode("keys").alias("band", "key"))
-    placed = stored(placed.select("cid", "band", F.xxhash64("label", "size", "band", "key").alias("bucket")), "llm-bands")
+    codes = stored(classes.mapInArrow(
+        _encode(bits, count), f"cid long, label string, size int, times long, {CODE}, keys array<long>"), "llm-codes")
+    placed = codes.select("cid", "label", "size", F.posexplode("keys").alias("band", "key")).select(
+        "cid", "band", F.xxhash64("label", "size", "band", "key").alias("bucket"))
+    placed = stored(placed, "llm-bands")
     full = stored(placed.groupBy("bucket").agg(
         F.min("cid").alias("least"), F.max("cid").alias("most"), F.count("*").alias("n")).where("least < most").select(
         "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "llm-buckets")
@@ -194,11 +292,20 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFra
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.select("cid", "bucket", "band", "block", F.least("block", "other").alias("low"),
                            F.greatest("block", "other").alias("high"))
+
+    def by_cell(places: DataFrame) -> DataFrame:
+        return places.repartition(*CELL).sortWithinPartitions(*CELL)
+
+    code = codes.drop("keys")
     # Labels and lengths are told apart again: a bucket is a hash.
-    cells = spread.join(classes, "cid").withColumn("bucket", F.xxhash64("bucket", "label", F.size("vector")))
-    cells = cells.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high").select(
-        "cid", "bucket", "band", "block", "low", "high", "vector", "times")
-    found = stored(cells.mapInArrow(_cells(bits, count, threshold), "a long, b long, n long"), "llm-found-links")
+    coded = spread.join(code, "cid").withColumn("bucket", F.xxhash64("bucket", "label", "size")).drop("label", "size", "times")
+    left = stored(by_cell(coded).mapInArrow(
+        _cells(_with_open, bits, count, threshold),
+        "cid long, bucket long, band int, block int, low int, high int"), "llm-open")
+    release(spark)
+    whole = left.join(code.drop("label", "size", "times"), "cid").join(classes.drop("label"), "cid")
+    found = stored(by_cell(whole).mapInArrow(
+        _cells(_links, bits, count, threshold), "a long, b long, n long"), "llm-found-links")
     release(spark)
     labels = components(found.select("a", "b"))
     links = found.groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quadspark.llm import arc
 from quadspark.llm.linkgraph import RULES, filter_urls, host_edges, matched, propagate
-from quadspark.llm.rotation import bands, linked, near_vectors, rotation, unit
+from quadspark.llm.rotation import bands, encoded, estimates, near_vectors, open_pairs, recomputed, rotation, unit
 
 
 def vectors(spark, rows):
@@ -46,12 +46,21 @@ def test_no_vectors(spark):
 
 
 def test_estimates_lose_no_pair():
+    """Only pairs near the threshold are left open, and none that reaches it is lost."""
     rng = np.random.default_rng(2)
-    x = unit(rng.standard_normal((400, 64)))
-    x[200:] = unit(x[:200] + rng.standard_normal((200, 64)) * 0.024)
-    want = np.argwhere(np.triu(x @ x.T >= 0.98, 1))
-    assert len(want) > 100
-    assert linked(x, np.triu(np.ones((400, 400), bool), 1)).T.tolist() == want.tolist()
+    for size, n_bits in ((64, 576), (64, 100), (2, 60), (1, 9), (300, 128)):
+        x = unit(rng.standard_normal((600, size)))
+        near = np.sqrt(0.04 / size) * np.concatenate([np.full(200, 1.0), np.full(200, 3.2)])[:, None]
+        x[200:] = unit(np.tile(x[:200], (2, 1)) + rng.standard_normal((400, size)) * near)
+        cosine, upper = x @ x.T, np.triu(np.ones((600, 600), bool), 1)
+        codes = encoded(x, n_bits)
+        pairs = open_pairs(codes, upper, 0.98)
+        assert recomputed(x, pairs, 0.98).T.tolist() == np.argwhere(upper & (cosine >= 0.98)).tolist()
+        if (size, n_bits) == (64, 576):
+            error = (estimates(codes) - cosine)[upper]
+            assert abs(error.mean()) < 1e-3 and error.std() < 0.05
+            # 400 pairs lie near 0.98, 400 near 0.85 (and theirs), 179,000 near zero.
+            assert pairs.shape[1] < 300
     turn = rotation(64, 3)
     assert np.allclose(turn @ turn.T, np.eye(64))
 
