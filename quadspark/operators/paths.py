@@ -15,6 +15,10 @@ from quadspark.functions.terms import BNODE, IRI, SUFFIXES, columns_of
 from quadspark.operators.patterns import DEFAULT_GRAPH, join, match, project
 from quadspark.session import scratch_path
 
+DISTANCE = "__distance"
+#: Work that doubling the distance may take, as a multiple of what the single steps it saves take now.
+WORTH = 4
+
 
 def hop(graph, predicate: str, start: str = "x", end: str = "y", g=DEFAULT_GRAPH) -> DataFrame:
     return match(graph, f"?{start}", predicate, f"?{end}", g=g)
@@ -97,52 +101,79 @@ def zero_or_one(graph, path: DataFrame, g=DEFAULT_GRAPH) -> DataFrame:
 def one_or_more(path: DataFrame, sources: DataFrame | None = None, max_steps: int | None = None) -> DataFrame:
     """``a+``: distinct reachable pairs.  Safe on cycles.
 
-    Semi-naive iteration: each round extends only the pairs found in the round
-    before.  Rounds are written as tables below the shared checkpoint folder,
-    which cuts the lineage and survives the loss of executors.  ``sources``
-    (a DataFrame with variable ``x``) restricts the starting nodes.
-    ``max_steps`` guards a loop that should have ended; exceeding it is an error.
+    Every pair is found with its distance.  When all pairs up to a distance are
+    known, those at that very distance are continued: by one step, or by all
+    known pairs, which doubles the distance.  The second is taken while it does
+    not cost much more than the steps it saves, so long chains take a number of
+    rounds that grows with the logarithm of their length, and dense graphs are
+    walked step by step.  Rounds are written as tables below the shared
+    checkpoint folder, which cuts the lineage and survives the loss of executors.
+
+    ``sources`` (a DataFrame with variable ``x``) restricts the starting nodes;
+    then only single steps are taken, as the pairs of other nodes are not known.
+    ``max_steps`` guards a loop that should have ended; a longer path is an error.
     """
     spark = path.sparkSession
     root = scratch_path(spark, "reach")
-    edges = _pair_columns(path).dropDuplicates()
-    edges.write.parquet(f"{root}/edges")
-    edges = spark.read.parquet(f"{root}/edges")
-    # Only resources have outgoing edges; literals end a path.
-    steps = edges.select(
-        F.col("x").alias("__from"), F.col("x_kind").alias("__from_kind"),
-        *(c for c in edges.columns if c.startswith("y")),
-    )
-    frontier = edges
-    if sources is not None:
+    pairs = _pair_columns(path).dropDuplicates()
+    columns = pairs.columns
+    pairs = pairs.withColumn(DISTANCE, F.lit(1).cast("long"))
+    schema = pairs.schema
+
+    def table(*names: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(*(f"{root}/{n}" for n in names))
+
+    rounds = ["round-0"]
+    if sources is None:
+        pairs.write.parquet(f"{root}/round-0")
+    else:
+        pairs.write.parquet(f"{root}/edges")
+        edges = table("edges")
         wanted = sources.select(F.col("x").alias("__w"), F.col("x_kind").alias("__w_kind")).dropDuplicates()
-        frontier = edges.join(
-            wanted, (F.col("x") == F.col("__w")) & (F.col("x_kind") == F.col("__w_kind")), "left_semi")
-    frontier.write.parquet(f"{root}/round=0")
-    done = 0
+        edges.join(wanted, (F.col("x") == F.col("__w")) & (F.col("x_kind") == F.col("__w_kind")), "left_semi").write.parquet(
+            f"{root}/round-0")
+    length = 1
     while True:
-        latest = spark.read.schema(edges.schema).parquet(f"{root}/round={done}")
-        seen = spark.read.schema(edges.schema).parquet(*(f"{root}/round={i}" for i in range(done + 1)))
-        ends = latest.filter(F.col("y_kind").isin(IRI, BNODE)).select(
-            *(c for c in latest.columns if c.startswith("x")),
-            F.col("y").alias("__mid"), F.col("y_kind").alias("__mid_kind"),
-        )
-        grown = ends.join(
-            steps, (F.col("__mid") == F.col("__from")) & (F.col("__mid_kind") == F.col("__from_kind")),
-        ).select(*edges.columns).dropDuplicates()
-        fresh = grown.join(seen, _all_equal(grown, seen), "left_anti")
-        done += 1
-        fresh.write.parquet(f"{root}/round={done}")
-        if not spark.read.schema(edges.schema).parquet(f"{root}/round={done}").take(1):
-            break
-        if max_steps is not None and done >= max_steps:
+        known = table(*rounds)
+        # Only resources have outgoing edges; literals end a path.
+        ends = known.filter((F.col(DISTANCE) == length) & F.col("y_kind").isin(IRI, BNODE)).select(
+            *(c for c in columns if c.startswith("x")),
+            F.col("y").alias("__mid"), F.col("y_kind").alias("__mid_kind"))
+        # Read once more, so that its columns are its own in the join.
+        steps = (table(*rounds) if sources is None else edges).select(
+            F.col("x").alias("__from"), F.col("x_kind").alias("__from_kind"),
+            *(c for c in columns if c.startswith("y")), F.col(DISTANCE).alias("__by"))
+        single, doubled = _work(ends, steps) if length > 1 else (1, 1)
+        if not single:
+            return known.select(*columns)
+        by = length if sources is None and doubled <= WORTH * length * single else 1
+        meet = (F.col("__mid") == F.col("__from")) & (F.col("__mid_kind") == F.col("__from_kind"))
+        grown = ends.join(steps.filter(F.col("__by") <= by), meet).groupBy(*columns).agg(
+            F.min(F.col("__by") + length).alias(DISTANCE))
+        seen = table(*rounds)
+        fresh = grown.join(seen, _all_equal(grown, seen, columns), "left_anti")
+        rounds.append(f"round-{len(rounds)}")
+        fresh.write.parquet(f"{root}/{rounds[-1]}")
+        length += by
+        if max_steps is not None and length > max_steps and table(rounds[-1]).filter(F.col(DISTANCE) > max_steps).take(1):
             raise RuntimeError(f"paths are longer than {max_steps} steps")
-    return spark.read.schema(edges.schema).parquet(*(f"{root}/round={i}" for i in range(done)))
 
 
-def _all_equal(left: DataFrame, right: DataFrame):
+def _work(ends: DataFrame, steps: DataFrame) -> tuple[int, int]:
+    """Rows that the ends give with single steps, and with all known pairs."""
+    coming = ends.groupBy("__mid", "__mid_kind").count()
+    going = steps.groupBy("__from", "__from_kind").agg(
+        F.count_if(F.col("__by") == 1).alias("single"), F.count("*").alias("all"))
+    # Sums in double: products of counts may leave the range of a long.
+    count = F.col("count").cast("double")
+    found = coming.join(going, (F.col("__mid") == F.col("__from")) & (F.col("__mid_kind") == F.col("__from_kind"))).agg(
+        F.sum(count * F.col("single")).alias("single"), F.sum(count * F.col("all")).alias("all")).first()
+    return found["single"] or 0, found["all"] or 0
+
+
+def _all_equal(left: DataFrame, right: DataFrame, columns: Sequence[str]):
     on = (left["x"] == right["x"]) & (left["y"] == right["y"])
-    for c in left.columns:
+    for c in columns:
         if c not in ("x", "y"):
             on = on & left[c].eqNullSafe(right[c])
     return on

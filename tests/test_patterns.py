@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quadspark.functions.terms import QUAD_SCHEMA, XSD_INTEGER, Literal, mark_unbound, maybe_unbound, term
+from quadspark.functions.terms import IRI, QUAD_SCHEMA, XSD_INTEGER, Literal, mark_unbound, maybe_unbound, term
 from quadspark.operators import paths
 from quadspark.operators.patterns import (
     ANY_GRAPH,
@@ -237,6 +237,55 @@ def test_reachability_on_a_cycle(spark):
         paths.one_or_more(path, max_steps=1)
 
 
+def _closure(edges):
+    """Brute force: pairs with a path of at least one edge."""
+    following = {}
+    for x, y in edges:
+        following.setdefault(x, set()).add(y)
+    pairs = set()
+    for x in following:
+        todo = list(following[x])
+        while todo:
+            y = todo.pop()
+            if (x, y) not in pairs:
+                pairs.add((x, y))
+                todo += following.get(y, ())
+    return pairs
+
+
+def _edges(spark, edges):
+    return spark.createDataFrame(
+        [(str(x), IRI, str(y), IRI) for x, y in edges], "x string, x_kind string, y string, y_kind string")
+
+
+def test_reachability_of_any_shape(spark):
+    rng = random.Random(5)
+    dense = [(rng.randrange(30), rng.randrange(30)) for _ in range(120)]
+    ring = [(i, (i + 1) % 17) for i in range(17)] + [(40 + i, 41 + i) for i in range(7)] + [(47, 3), (5, 5)]
+    ring += [(200 + i, 99) for i in range(50)] + [(99, 100 + i) for i in range(50)] + [(120, 3)]
+    for edges in (dense, ring):
+        want = sorted((str(x), str(y)) for x, y in _closure(edges))
+        assert bag(paths.one_or_more(_edges(spark, edges * 2)), "x", "y") == sorted(want, key=str)
+    some = _edges(spark, [(41, 0), (77, 0)]).select("x", "x_kind")
+    assert bag(paths.one_or_more(_edges(spark, ring), sources=some), "x", "y") == sorted(
+        [(str(x), str(y)) for x, y in _closure(ring) if x in (41, 77)], key=str)
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    measured = []
+    work = paths._work
+    monkeypatch.setattr(paths, "_work", lambda *a: measured.append(1) or work(*a))
+    chain = spark.range(700).select(
+        F.col("id").cast("string").alias("x"), F.lit(IRI).alias("x_kind"),
+        (F.col("id") + 1).cast("string").alias("y"), F.lit(IRI).alias("y_kind"))
+    reached = paths.one_or_more(chain)
+    assert reached.count() == 700 * 701 // 2 == reached.where("cast(x as int) < cast(y as int)").distinct().count()
+    assert len(measured) <= 11
+    assert paths.one_or_more(chain.where("cast(x as int) < 8"), max_steps=8).count() == 36
+    with pytest.raises(RuntimeError):
+        paths.one_or_more(chain.where("cast(x as int) < 9"), max_steps=8)
+
+
 def test_zero_length_paths_include_every_node(spark):
     g = quads(spark, ("a", "n", "b"), ("a", "m", Literal("x")))
     assert bag(paths.zero_or_more(g, paths.hop(g, "n")), "x", "y") == [
