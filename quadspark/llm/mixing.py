@@ -10,8 +10,9 @@ pattern stand in a seeded order on a line of words, and the flow takes a prefix
 of the line, over and over if it is longer than the line.
 
 Only patterns reach the driver, at most ``MAX_PATTERNS`` (else an error). The
-line of a pattern is cut into 4096 buckets of hashes: sums per bucket combine
-before their shuffle, and documents are ordered within a bucket only.
+line of a pattern is cut into 65,536 buckets of hashes: sums per bucket combine
+before their shuffle, and documents are ordered within a bucket only.  Texts of
+one id and length stand in the order of their digests.
 
 Defined results: a null text has no words, a null source is the last source, a
 document without words or sources is not taken; repeated rows have places of
@@ -32,7 +33,7 @@ WEIGHTS = (5, 2, 1)
 #: Words taken in all, and at most from one document or source, as shares of the words there are.
 TOTAL, REPEATS = 1.5, 2
 MAX_PATTERNS = 10_000
-BUCKET_DIGITS = 3  # of a hexadecimal hash
+BUCKET_DIGITS = 4  # of a hexadecimal hash
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float] = WEIGHTS, total: float = TOTAL,
@@ -122,7 +123,8 @@ def mix(documents: DataFrame, sources: Column, weights: Sequence[float] = WEIGHT
     whole = [F.struct("*").alias("row")] if carry else []
     sized = documents.select(
         *whole, F.col("doc_id").cast("long"), F.array_sort(F.array_distinct(sources)).alias("sources"),
-        n_words(F.col("text").cast("string")).alias("size"), digest.alias("digest"))
+        n_words(F.col("text").cast("string")).alias("size"), digest.alias("digest"),
+        F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("text_digest"))
     sized = sized.withColumns({"pattern": F.to_json("sources"), "bucket": F.left("digest", F.lit(BUCKET_DIGITS))})
     if not carry:
         sized = stored(sized, "llm-sized")
@@ -156,7 +158,7 @@ def mix(documents: DataFrame, sources: Column, weights: Sequence[float] = WEIGHT
 
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("pattern", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
-    inner = Window.partitionBy("pattern", "bucket").orderBy("digest", "doc_id", "size")
+    inner = Window.partitionBy("pattern", "bucket").orderBy("digest", "doc_id", "text_digest")
     placed = sized.withColumn("within", F.sum("size").over(
         inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
     # At most MAX_PATTERNS rows.

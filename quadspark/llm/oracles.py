@@ -107,7 +107,8 @@ REPETITION = f"""
 
 MIXING = f"""
     WITH d AS (SELECT doc_id, source, len({_WORDS.format('text')}) AS size,
-        md5('0:' || doc_id::VARCHAR || ':' || coalesce(length(text), 0)::VARCHAR) AS digest FROM documents),
+        md5('0:' || doc_id::VARCHAR || ':' || coalesce(length(text), 0)::VARCHAR) AS digest,
+        md5(coalesce(text, '')) AS text_digest FROM documents),
     sources AS (SELECT source, sum(size)::BIGINT AS source_size,
         [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM d GROUP BY source),
     filled AS (SELECT *, 2.0 * source_size AS most,
@@ -117,7 +118,7 @@ MIXING = f"""
             here AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     targets AS (SELECT source, source_size, round(least(most, weight * (SELECT max(unit) FROM filled)), 6) AS target FROM filled),
     placed AS (SELECT d.*, source_size, target, round(target) AS flow,
-        sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id ROWS UNBOUNDED PRECEDING) - size AS place
+        sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id, text_digest ROWS UNBOUNDED PRECEDING) - size AS place
         FROM d JOIN targets ON d.source IS NOT DISTINCT FROM targets.source)
     SELECT doc_id, size, source_size, target, (greatest(0, least(flow, place + size) - place)
         + greatest(0, least(flow, source_size + place + size) - source_size - place))::BIGINT AS taken

@@ -217,6 +217,18 @@ def test_mixed_texts(spark, documents, prose):
     assert mixing.mixed(given.where("doc_id = -1"), F.array("source")).count() == 0
 
 
+def test_texts_of_one_id_and_length_keep_their_order(documents):
+    from pyspark.sql import functions as F
+
+    rows = [(1, f"{a}{b} {b}{a}", "s" if a < "c" else "t" if a < "f" else "u") for a in "abcdefgh" for b in "abcdefgh"]
+    runs = []
+    for given in (rows, rows[::-1], sorted(rows, key=lambda r: r[1][::-1])):
+        out = mixing.mixed(documents(given).repartition(len(runs) + 1), F.array("source"))
+        runs.append(sorted((r.text, r.source) for r in out.collect()))
+    assert runs[0] == runs[1] == runs[2]
+    assert any(len(text) == 2 for text, _ in runs[0])  # one text was cut
+
+
 def test_too_many_patterns(documents, monkeypatch):
     from pyspark.sql import functions as F
 
