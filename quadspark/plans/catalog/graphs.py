@@ -1,15 +1,19 @@
 """G, Q18, X18 - X20: whole graphs and updates."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadspark.functions.terms import BNODE, Literal
-from quadspark.operators import canonical, graphs
+from quadspark.operators import canonical, graphs, versions
 from quadspark.operators.mapping import MappedGraph, TriplesMap, apply_mapping, pom, template
 from quadspark.operators.patterns import bgp, count_all, match
 from quadspark.operators.void import class_instances, property_partition
 from quadspark.plans.registry import query, table
 from quadspark.plans.script import run_script
 from quadspark.plans.testgraph import EX, graph, node
+from quadspark.session import scratch_path
 
 CUST = "'http://example.org/customer/' || "
 NAME = "'http://example.org/name'"
@@ -199,6 +203,46 @@ def x19_clear(spark, sf):
     return graphs.clear_graph(_two_graphs(spark, sf), None).select("o", "g")
 
 
+def _all_versions(spark, path, last):
+    """Rows of every number of a stored graph."""
+    parts = [versions.read_version(spark, path, n).withColumn("number", F.lit(n).cast("long")) for n in range(last + 1)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("x18_versions", f"""
+WITH c AS (SELECT {CUST} c_custkey AS s, p, c_mktsegment = 'MACHINERY' AS machinery
+    FROM customer, (VALUES ('name'), ('nation'), ('segment')) AS v(p)),
+d AS (SELECT 'http://example.org/supplier/' || s_suppkey AS s, 'name' AS p FROM supplier)
+SELECT 0::BIGINT AS number, s, p FROM c
+UNION ALL SELECT n, s, p FROM c, (VALUES (1::BIGINT), (2), (3)) AS v(n)
+WHERE NOT (machinery AND (p = 'segment' OR p = 'name' AND n < 3))
+UNION ALL SELECT n, s, p FROM d, (VALUES (2::BIGINT), (3)) AS v(n)
+""")
+def x18_versions(spark, sf):
+    path = scratch_path(spark, "versions")
+    versions.create(graph(spark, sf, "customer").quads([EX + "name", EX + "nation", EX + "segment"]), path)
+    patterns = [("?c", EX + "segment", Literal("MACHINERY")), ("?c", EX + "name", "?name")]
+    versions.modify_version(spark, path, patterns, delete=patterns)
+    versions.update(spark, path, insert=_names(spark, sf, "supplier"))
+    versions.compact(spark, path)
+    versions.update(spark, path, insert=_names(spark, sf, "customer", "c_mktsegment = 'MACHINERY'"))
+    return _all_versions(spark, path, 3).select("number", "s", F.substring_index("p", "/", -1).alias("p"))
+
+
+@query("x19_versions", f"""{_GRAPHS}
+SELECT 0::BIGINT AS number, * FROM ({_OUT.format('a', 'a')} UNION ALL {_OUT.format('b', 'b')} UNION ALL SELECT o, NULL FROM d)
+UNION ALL SELECT 1, * FROM ({_OUT.format('a', 'a')} UNION ALL {_OUT.format('a', 'b')} UNION ALL SELECT o, NULL FROM d)
+UNION ALL SELECT 2, * FROM ({_OUT.format('a', 'a')} UNION ALL SELECT o, NULL FROM a)
+UNION ALL SELECT 3, o, NULL FROM a""")
+def x19_versions(spark, sf):
+    path = scratch_path(spark, "versions")
+    versions.create(_two_graphs(spark, sf), path)
+    versions.copy_version(spark, path, EX + "a", EX + "b")
+    versions.copy_version(spark, path, EX + "b", None, move=True)
+    versions.update(spark, path, clear=[EX + "a"])
+    return _all_versions(spark, path, 3).select("number", "o", "g")
+
+
 @query("x20_intersection", f"""
 SELECT {CUST} c_custkey AS s, c_name AS o FROM customer WHERE c_acctbal > 0 AND c_mktsegment = 'BUILDING'
 """)
