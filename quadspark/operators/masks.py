@@ -6,6 +6,10 @@ other side that occurs, with a hash of the terms that this pair of masks has in
 common, and one equi-join on (masks, hash) finds the partners.  The plan does
 not grow with the number of variables; the rows grow with the number of masks
 that the other side really has.
+
+The plan knows the size of the stored rows, not that of the rows written for
+each mask, so it would broadcast rows that are many times larger than it thinks:
+the joins are told to sort and merge.
 """
 
 from __future__ import annotations
@@ -90,7 +94,7 @@ def join(left: DataFrame, right: DataFrame, shared: Sequence[str]) -> DataFrame:
             columns.append(F.when(F.col(v).isNotNull(), a).otherwise(b).alias(c))
     taken = {c for v in shared for c in columns_of(right, v)}
     columns += [F.col(f"__r_{c}").alias(c) for c in right.columns if c not in taken]
-    return l.join(r, on).select(*columns)
+    return l.hint("merge").join(r, on).select(*columns)
 
 
 def matched(
@@ -105,10 +109,10 @@ def matched(
     others = [c for c in right.columns if c not in {x for v in shared for x in columns_of(right, v)}]
     # The right side's own variables keep their names, as a condition writes them.
     r = r.select(*(F.col(c) for c in r.columns), *(F.col(f"__r_{c}").alias(c) for c in others)) if cond is not None else r
-    found = l.join(r, on if cond is None else on & cond, "left_semi").select("__id").distinct()
+    found = l.hint("merge").join(r, on if cond is None else on & cond, "left_semi").select("__id").distinct()
     free = [a for a in l_masks if any(not _common(a, b) for b in r_masks)] if not need_common and not right.isEmpty() else []
     if free and cond is not None:
         raise ValueError("a condition needs a variable that is bound on both sides")
     if free:
         found = found.unionByName(rows.filter(F.col("__mask").isin(free)).select("__id")).distinct()
-    return rows.join(found, "__id", "left_semi" if keep else "left_anti").select(*left.columns)
+    return rows.hint("merge").join(found, "__id", "left_semi" if keep else "left_anti").select(*left.columns)

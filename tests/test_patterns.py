@@ -134,6 +134,14 @@ def test_many_unbound_variables(spark, n):
     assert bag(join(left.limit(0), right), *everything) == []
 
 
+def test_rows_written_for_each_mask_are_not_broadcast(spark):
+    names, rows = ["k", "a", "b", "c"], [("k", "x", None, "z"), ("k", None, "y", "z"), ("k", None, None, None)]
+    left, right = (solutions(spark, [*names, last], [(*r, "v") for r in rows]) for last in "pq")
+    for found in (join(left, right), exists(left, right), not_exists(left, right)):
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_many_unbound_variables_with_nothing_in_common(spark):
     names = ["a", "b", "c"]
     left = solutions(spark, names, [("x", None, None), (None, "y", "z")])
