@@ -12,6 +12,7 @@ from quadspark.operators.mapping import MappedGraph, TriplesMap, expression, pom
 from quadspark.plans.metadata import dcat_records
 from quadspark.plans.registry import query, spread_table, table
 from quadspark.plans.testgraph import EX, graph, maps, node
+from quadspark.sources.storage import parts_of
 
 # Values of each property, as the oracles need them: property, class, key, value, datatype.
 _VALUES = """
@@ -219,7 +220,9 @@ UNION ALL SELECT f || '#plan', 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type'
 UNION ALL SELECT f || '#plan', 'http://www.example.org/urn', b || ':pom' FROM d
 """)
 def v10_dcat_records(spark, sf):
-    manifest = table(spark, sf, "part").select(
+    # Seven triples of a row are made distinct in memory: each task gets a bounded share of the rows.
+    part = table(spark, sf, "part").repartition(parts_of(spark, f"{sf}/part.parquet"), "p_partkey")
+    manifest = part.select(
         F.lit("org.example").alias("group"), F.concat(F.lit("part-"), F.col("p_partkey")).alias("artifact"),
         F.col("p_size").cast("string").alias("version"), F.lower("p_type").alias("type"))
     return dcat_records(manifest).select("s", "p", "o")

@@ -39,6 +39,15 @@ def spread_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+# Stored bytes of an input that one task multiplies where memory per task matters.
+PART_BYTES = 4 * 1024 * 1024
+
+
+def parts_of(spark: SparkSession, path: str) -> int:
+    """Tasks for the rows of an input: all cores, and so many that each task's share is bounded."""
+    return max(spark.sparkContext.defaultParallelism, -(-path_size(spark, path) // PART_BYTES))
+
+
 # Stored bytes of a lookup table that is sent to every executor; some ten times as many in memory at most.
 MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 

@@ -276,3 +276,17 @@ def test_negated_property_sets(spark):
     assert rows(paths.negated(g, ["p", "r"], ["p"]), "x", "y") == {("a", "c"), ("c", "a"), ("x", "b")}
     with pytest.raises(ValueError):
         paths.negated(g)
+
+
+def test_catalogue_records_are_made_by_many_tasks(spark, place):
+    """One small file of many rows: its triples are not all made distinct in the task that reads it."""
+    from quadspark.plans.catalog.statistics import v10_dcat_records
+    from quadspark.plans.registry import SCHEMAS
+
+    rows = [(i % 40 if i else None, "n", "b", "Type" if i % 3 else None, i % 2, 1.0) for i in range(90)]
+    spark.createDataFrame(rows, SCHEMAS["part"]).coalesce(1).write.parquet(f"{place}/part.parquet")
+    found = v10_dcat_records(spark, place)
+    assert "hashpartitioning(p_partkey" in found._jdf.queryExecution().executedPlan().toString()
+    triples = [tuple(r) for r in found.collect()]
+    # A dataset has a type, and links for each type of its rows; other triples are as many as files.
+    assert triples and len(triples) == len(set(triples))
