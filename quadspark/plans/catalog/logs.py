@@ -78,7 +78,7 @@ FROM events, range(-1, 1) AS r(run_id) WHERE event_type <> 'error'
 """)
 def s5_rdf_log(spark, sf):
     """A log as quads, written, read back as a log, and planned as a benchmark."""
-    path, quads = scratch_path(spark, "log"), scratch_path(spark, "log-quads") + "/log.nq"
+    path, quads = scratch_path(spark, "log"), scratch_path(spark, "log-quads") + "/log.nq.gz"
     _lines(spark, sf).select("value").write.text(path)
     log = querylog.enrich(read_query_log(spark, path, "apache"), ["form", "features"])
     write_rdf(querylog.rdfize_log(log, EX + "log/"), quads)
