@@ -112,14 +112,16 @@ def apply_mapping(
     triples_map: TriplesMap,
     sources: dict[str, DataFrame] | None = None,
     only: Iterable[str] | None = None,
+    subject_parts: int | None = None,
 ) -> DataFrame:
     """Quads of one source.
 
+    ``subject_parts`` deals the rows by their subject to so many tasks.
     ``only`` names the predicates wanted.  Catalyst cannot move a filter on the
     generated predicate below the generator, so the object maps are dropped here
     and their columns are never read.
     """
-    mapped = _map_source(df, [triples_map], sources or {}, None if only is None else set(only))
+    mapped = _map_source(df, [triples_map], sources or {}, None if only is None else set(only), subject_parts=subject_parts)
     return df.sparkSession.createDataFrame([], QUAD_SCHEMA) if mapped is None else mapped
 
 
@@ -160,6 +162,18 @@ class MappedGraph:
     #: Redistributes the rows of a source (by name) before they are multiplied into quads.
     spread: Callable[[str, DataFrame], DataFrame] | None = None
 
+    def quads_by_subject(self, parts: int) -> DataFrame:
+        """All quads of a graph of one map, those of a subject in one of as many tasks.
+
+        Rows of the source are moved before they are multiplied; what groups by the subject then needs no
+        further shuffle.  For subjects of few rows: those of one subject stay in one task.
+        """
+        (m,), (df,) = self.maps, self.sources.values()
+        types = {f.name: f.dataType for f in df.schema}
+        if not available(types, m.subject, m) or any(isinstance(om.object, ParentRef) for om in m.objects):
+            raise ValueError("quads by subject need the subject's columns, and objects of the same row")
+        return apply_mapping(df, m, subject_parts=parts)
+
     def quads(
         self, only: Iterable[str] | None = None, s: str | None = None, o: str | LiteralValue | None = None
     ) -> DataFrame:
@@ -174,7 +188,7 @@ class MappedGraph:
         return apply_mappings(sources, self.maps, only, s, o)
 
 
-def _map_source(df, maps, sources, only, wanted_s=None, wanted_o=None):
+def _map_source(df, maps, sources, only, wanted_s=None, wanted_o=None, subject_parts=None):
     def subject_test(m: TriplesMap) -> str | None:
         if wanted_s is None:
             return "true"
@@ -231,7 +245,7 @@ def _map_source(df, maps, sources, only, wanted_s=None, wanted_o=None):
                                  _both(chosen, test), computed_predicate))
         if len(rows) > start:
             subjects.append(m.subject)
-    results = [_exploded(df, types, subjects, rows), *joined] if rows else joined
+    results = [_exploded(df, types, subjects, rows, subject_parts), *joined] if rows else joined
     return reduce(lambda x, y: x.unionByName(y), results) if results else None
 
 
@@ -268,7 +282,7 @@ class _Row:
     computed_predicate: str | None = None
 
 
-def _exploded(df: DataFrame, types, subjects: Sequence[TermMap], rows: Sequence[_Row]) -> DataFrame:
+def _exploded(df: DataFrame, types, subjects: Sequence[TermMap], rows: Sequence[_Row], subject_parts: int | None = None) -> DataFrame:
     """One array of object values per source row; ``posexplode`` makes the triples.
 
     The subject and whatever else varies by row is computed below the generator,
@@ -287,6 +301,8 @@ def _exploded(df: DataFrame, types, subjects: Sequence[TermMap], rows: Sequence[
         below |= {f"__{name}{i}": text for name, text in texts if text is not None}
     source = df.filter(" AND ".join(f"({test})" for test in tests)) if tests else df
     wide = source.selectExpr("*", *(f"{text} AS {name}" for name, text in below.items()))
+    if subject_parts is not None:
+        wide = wide.repartition(subject_parts, *(f"__s{i}" for i in range(len(subjects))))
     # The array is written inside the generator: over a column, Spark would infer
     # filters on it and evaluate the values twice.
     values = f"posexplode(array({', '.join(r.value for r in rows)})) AS (__i, o)"

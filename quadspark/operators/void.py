@@ -144,6 +144,19 @@ def property_partition(graph) -> DataFrame:
     )
 
 
+def property_partition_by_subject(quads: DataFrame) -> DataFrame:
+    """``property_partition`` of quads whose subjects are each in one task.
+
+    Subjects are counted where they are, and only objects are shuffled.  The quads are asked for twice; a
+    shuffle below them is written once and read twice.
+    """
+    subjects = quads.groupBy("p", "s").agg(_count("__n")).groupBy("p").agg(
+        F.sum("__n").alias("triples"), F.count("s").alias("distinct_subjects"))
+    objects = quads.groupBy("p").agg(F.count_distinct(term_key("o")).alias("distinct_objects"))
+    same = objects.select(F.col("p").alias("__p"), "distinct_objects")
+    return subjects.join(same, F.col("p").eqNullSafe(F.col("__p"))).drop("__p")
+
+
 def node_kind_profile(graph) -> DataFrame:
     """Distinct nodes by kind and place, and distinct literals by datatype and language.
 

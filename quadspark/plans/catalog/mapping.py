@@ -27,9 +27,10 @@ from quadspark.operators.mapping import (
     template,
 )
 from quadspark.operators.patterns import match
-from quadspark.operators.void import property_partition
+from quadspark.operators.void import property_partition_by_subject
 from quadspark.plans.registry import query, table
 from quadspark.plans.testgraph import EX, MONEY, graph, maps, node
+from quadspark.sources.storage import parts_of
 
 TYPE = f"'{RDF_TYPE}'"
 STR = "'http://www.w3.org/2001/XMLSchema#string'"
@@ -62,7 +63,8 @@ FROM v GROUP BY 1
 """)
 def m1_lineitem(spark, sf):
     """Keys repeat in ``lineitem``: the mapped rows become a set first."""
-    return property_partition(as_set(graph(spark, sf, "lineitem").quads()))
+    parts = parts_of(spark, f"{sf}/lineitem.parquet")
+    return property_partition_by_subject(as_set(graph(spark, sf, "lineitem").quads_by_subject(parts)))
 
 
 @query("m2_template", """

@@ -40,7 +40,7 @@ def spread_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
 
 
 # Stored bytes of an input that one task multiplies where memory per task matters.
-PART_BYTES = 4 * 1024 * 1024
+PART_BYTES = 2 * 1024 * 1024
 
 
 def parts_of(spark: SparkSession, path: str) -> int:
