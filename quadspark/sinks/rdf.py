@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quadspark.functions.terms import IRI, LANG_STRING, LITERAL, QUAD_COLUMNS, XSD_STRING, as_quads
 from quadspark.operators.patterns import predicate_key
-from quadspark.sources.storage import path_exists
+from quadspark.sources.storage import path_exists, stored_lookup
 
 _MODES = {"ERROR": "errorifexists", "OVERWRITE": "overwrite", "SKIP": "ignore"}
 _CODECS = {"gz": "gzip", "gzip": "gzip", "bz2": "bzip2", "zst": "zstd", "deflate": "deflate"}
@@ -141,8 +141,9 @@ def trig_blocks(df: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     quads = as_quads(df)
     rows = quads.select("g", term_line(quads, False).alias("line"))
     sizes = rows.groupBy("g").agg(F.sum(F.length("line").cast("long")).alias("chars"))
-    large = sizes.filter(F.col("chars") > block_chars).select(
-        F.col("g").alias("__g"), F.ceil(F.col("chars") / block_chars).cast("int").alias("__blocks"))
+    # Sent to the lines where it is small: shuffled by graph, the lines of one large graph would meet in a task.
+    large = stored_lookup(sizes.filter(F.col("chars") > block_chars).select(
+        F.col("g").alias("__g"), F.ceil(F.col("chars") / block_chars).cast("int").alias("__blocks")), "large-graphs")
     # The default graph is null and joins by null-safe equality.
     cut = rows.join(large, F.col("g").eqNullSafe(F.col("__g")), "left").select(
         "g", "line", F.coalesce(F.pmod(F.xxhash64("line"), F.col("__blocks")), F.lit(0)).alias("__block"))
