@@ -162,17 +162,18 @@ class MappedGraph:
     #: Redistributes the rows of a source (by name) before they are multiplied into quads.
     spread: Callable[[str, DataFrame], DataFrame] | None = None
 
-    def quads_by_subject(self, parts: int) -> DataFrame:
-        """All quads of a graph of one map, those of a subject in one of as many tasks.
+    def quads_by_subject(self, parts: int, only: Iterable[str] | None = None) -> DataFrame:
+        """All quads, or those with the predicates given; those of a subject are in one of as many tasks.
 
-        Rows of the source are moved before they are multiplied; what groups by the subject then needs no
+        Rows of the sources are moved before they are multiplied; what groups by the subject then needs no
         further shuffle.  For subjects of few rows: those of one subject stay in one task.
         """
-        (m,), (df,) = self.maps, self.sources.values()
-        types = {f.name: f.dataType for f in df.schema}
-        if not available(types, m.subject, m) or any(isinstance(om.object, ParentRef) for om in m.objects):
-            raise ValueError("quads by subject need the subject's columns, and objects of the same row")
-        return apply_mapping(df, m, subject_parts=parts)
+        if len({m.source for m in self.maps}) < len(self.maps) or any(
+                isinstance(om.object, ParentRef) for m in self.maps for om in m.objects):
+            raise ValueError("quads by subject need one map for a source, and objects of the same row")
+        only = None if only is None else set(only)
+        return reduce(lambda x, y: x.unionByName(y), (
+            apply_mapping(self.sources[m.source], m, only=only, subject_parts=parts) for m in self.maps))
 
     def quads(
         self, only: Iterable[str] | None = None, s: str | None = None, o: str | LiteralValue | None = None
@@ -188,6 +189,17 @@ class MappedGraph:
         return apply_mappings(sources, self.maps, only, s, o)
 
 
+@dataclass(frozen=True)
+class GraphBySubject:
+    """A mapped graph whose quads are dealt by subject to so many tasks, for operators that group by subject."""
+
+    graph: MappedGraph
+    parts: int
+
+    def quads(self, only: Iterable[str] | None = None) -> DataFrame:
+        return self.graph.quads_by_subject(self.parts, only)
+
+
 def _map_source(df, maps, sources, only, wanted_s=None, wanted_o=None, subject_parts=None):
     def subject_test(m: TriplesMap) -> str | None:
         if wanted_s is None:

@@ -94,6 +94,27 @@ def class_partitions(graph) -> DataFrame:
     return per_property.unionByName(per_class)
 
 
+def class_property_partition_by_subject(graph) -> DataFrame:
+    """``class_property_partition`` of a graph whose quads are dealt by subject (``GraphBySubject``).
+
+    Subjects are counted where they are, and only objects are shuffled: no task holds both.
+    """
+    typed = _typed(graph)
+    subjects = typed.groupBy("class", "p", "s").agg(_count("__n")).groupBy("class", "p").agg(
+        F.sum("__n").alias("triples"), F.count("s").alias("distinct_subjects"))
+    objects = typed.groupBy("class", "p").agg(F.count_distinct(term_key("o")).alias("distinct_objects"))
+    return subjects.join(objects, ["class", "p"])
+
+
+def class_partitions_by_subject(graph) -> DataFrame:
+    """``class_partitions`` of a graph whose quads are dealt by subject."""
+    per_property = class_property_partition_by_subject(graph)
+    sums = per_property.groupBy("class").agg(F.sum("triples").alias("triples"), F.count("p").alias("properties"))
+    objects = _typed(graph).groupBy("class").agg(F.count_distinct(term_key("o")).alias("distinct_objects"))
+    per_class = sums.join(objects, "class").withColumns({"p": null(), "distinct_subjects": F.lit(None).cast("bigint")})
+    return per_property.withColumn("properties", F.lit(1).cast("bigint")).unionByName(per_class)
+
+
 def _by_class(typed: DataFrame) -> DataFrame:
     return typed.groupBy("class").agg(
         _count("triples"),

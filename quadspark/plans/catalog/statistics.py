@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from quadspark.functions.terms import BNODE, RDF_TYPE, XSD_INTEGER
 from quadspark.operators import void
-from quadspark.operators.mapping import MappedGraph, TriplesMap, expression, pom, reference, template
+from quadspark.operators.mapping import GraphBySubject, MappedGraph, TriplesMap, expression, pom, reference, template
 from quadspark.plans.metadata import dcat_records
 from quadspark.plans.registry import query, spread_table, table
-from quadspark.plans.testgraph import EX, graph, maps, node
+from quadspark.plans.testgraph import EX, GRAPH_TABLES, graph, maps, node
 from quadspark.sources.storage import parts_of
 
 # Values of each property, as the oracles need them: property, class, key, value, datatype.
@@ -96,6 +96,11 @@ SELECT 'http://example.org/' || c AS class, {_P} AS p, count(*) AS triples, coun
 """
 
 
+def _by_subject(spark, sf):
+    parts = sum(parts_of(spark, f"{sf}/{name}.parquet") for name in GRAPH_TABLES)
+    return GraphBySubject(graph(spark, sf), parts)
+
+
 @query("v3_class_partition", _V3)
 def v3_class_partition(spark, sf):
     return void.class_partition(graph(spark, sf))
@@ -103,7 +108,7 @@ def v3_class_partition(spark, sf):
 
 @query("v7_class_property_partition", _V7)
 def v7_class_property_partition(spark, sf):
-    return void.class_property_partition(graph(spark, sf))
+    return void.class_property_partition_by_subject(_by_subject(spark, sf))
 
 
 @query("v3_v7_class_partitions", f"""{_VALUES}
@@ -113,7 +118,7 @@ UNION ALL SELECT 'http://example.org/' || c, NULL, count(*), NULL, count(DISTINC
 FROM fact GROUP BY c
 """)
 def v3_v7_class_partitions(spark, sf):
-    return void.class_partitions(graph(spark, sf))
+    return void.class_partitions_by_subject(_by_subject(spark, sf))
 
 
 def _ranked(spark, sf):
