@@ -290,3 +290,74 @@ def test_catalogue_records_are_made_by_many_tasks(spark, place):
     triples = [tuple(r) for r in found.collect()]
     # A dataset has a type, and links for each type of its rows; other triples are as many as files.
     assert triples and len(triples) == len(set(triples))
+
+
+def _people(spark):
+    from quadspark.operators.mapping import MappedGraph, TriplesMap, pom, template
+
+    rows = [(i % 7 if i else None, "ab"[i % 2], i % 3 or None) for i in range(40)]
+    other = [(i, f"n{i % 2}") for i in range(5)]
+    sources = {"p": spark.createDataFrame(rows, "id int, name string, boss int"), "q": spark.createDataFrame(other, "id int, name string")}
+    # Both sources describe some of the same subjects.
+    return MappedGraph(sources, [
+        TriplesMap("p", template("http://e/{id}"), [pom("http://e/name", "name"), pom("http://e/boss", template("http://e/{boss}"))], ["http://e/P"]),
+        TriplesMap("q", template("http://e/{id}"), [pom("http://e/name", "name")], ["http://e/Q", "http://e/P"])])
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sets_and_property_counts_by_subject(spark):
+    from quadspark.operators.graphs import as_set
+    from quadspark.operators.void import property_partition, property_partition_by_subject
+
+    graph = _people(spark)
+    dealt = as_set(graph.quads_by_subject(3))
+    plan = _plan(dealt)  # before it runs, so that only one plan is told
+    assert "hashpartitioning(s#" not in plan and plan.count("Exchange") == 2  # one for a source
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, as_set(graph.quads()).collect()), key=str)
+    want = property_partition(as_set(graph.quads()))
+    found = property_partition_by_subject(dealt).select(*want.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_class_partitions_by_subject(spark):
+    from quadspark.operators import void
+    from quadspark.operators.mapping import GraphBySubject
+
+    graph = _people(spark)
+    dealt = GraphBySubject(graph, 3)
+    for name in ("class_partitions", "class_property_partition"):
+        want = getattr(void, name)(graph)
+        found = getattr(void, name + "_by_subject")(dealt).select(*want.columns)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert "hashpartitioning(s#" not in _plan(found) and "hashpartitioning(inst#" not in _plan(found)
+
+
+def test_lines_of_a_large_graph_are_not_shuffled_for_its_blocks(spark):
+    from quadspark.functions.terms import QUAD_SCHEMA
+    from quadspark.sinks.rdf import trig_blocks
+
+    rows = [(f"http://e/{i}", "iri", "http://e/p", "v" * 50, "literal", "http://www.w3.org/2001/XMLSchema#string", None,
+             "http://e/g" if i % 9 == 0 else None) for i in range(60)]
+    blocks = trig_blocks(spark.createDataFrame(rows, QUAD_SCHEMA), 1000)
+    plan = _plan(blocks)
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    texts = [r.value for r in blocks.collect()]
+    assert sum(t.count('"') // 2 for t in texts) == 60 and len(texts) > 4
+
+
+def test_quads_of_a_log_are_written_compressed(spark, place, monkeypatch):
+    import datetime
+
+    from quadspark.plans.catalog import logs
+    from quadspark.plans.registry import SCHEMAS
+    from quadspark.sinks.rdf import format_and_codec
+
+    paths, write = [], logs.write_rdf
+    monkeypatch.setattr(logs, "write_rdf", lambda df, path: (paths.append(path), write(df, path)))
+    rows = [(i, datetime.datetime(2024, 1, 1, 0, 0, i), 1, "click" if i % 3 else "error", 60.0, '{"k": 5}') for i in range(9)]
+    spark.createDataFrame(rows, SCHEMAS["events"]).write.parquet(f"{place}/events.parquet")
+    assert logs.s5_rdf_log(spark, place).count() == 12
+    assert [format_and_codec(p) for p in paths] == [("nq", "gzip")]
