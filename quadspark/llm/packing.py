@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadspark.llm.tables import doc_texts, release, stored
+from quadspark.llm.tables import BLANKS, doc_texts, release, stored
 from quadspark.llm.words import slices, texts
 
 CAPACITY, END_ID = 4096, 1
@@ -41,6 +41,8 @@ SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 12, 4
 WELL_FILLED = 0.999
 #: Chunks of text whose ids a Python worker remembers.
 REMEMBERED, LONG_CHUNK = 1_000_000, 64
+#: Bytes of text whose chunks are looked up at once (or one text, if longer), and chunks whose ids are joined at once.
+TEXT_BYTES, CHUNKS = 4 << 20, 1 << 20
 #: Fixed by the Unicode standard: the only character whose lower case is two characters whatever its neighbours.
 DOTTED = "\u0130"
 
@@ -48,10 +50,11 @@ DOTTED = "\u0130"
 
 
 class Encoder:
-    """Ids of texts, with the ids of chunks between ASCII white space remembered.
+    """Ids of texts, with the ids of their chunks remembered.
 
-    The tokenizer splits at white space before anything else, so the ids of a
-    text are those of its chunks.  Letters are encoded many words at a time:
+    The tokenizer splits at white space before anything else, and where letters
+    meet marks, so the ids of a text are those of its chunks.  A batch's chunks
+    are made distinct before they are looked up.  Letters are encoded many words at a time:
     each word is one piece, whose last id carries the vocabulary's end mark.
     """
 
@@ -81,7 +84,7 @@ class Encoder:
                 found.update((w, self._ids(w).tobytes()) for w in some)
         return found
 
-    def _encode_chunks(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+    def _encode_chunks(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         words: dict[bytes, str] = {}
         parts, found, known, rests = [], {}, self.chunks, self.rests
         for chunk in chunks:
@@ -111,45 +114,79 @@ class Encoder:
 
     def encode(self, documents: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        chunks = [_plain(d).split() for d in documents]
+        chunks, first = _chunks(documents)
+        coded = chunks.dictionary_encode()
+        place, used = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         known = self.chunks
-        new = self._encode_chunks(set().union(*chunks).difference(known))
+        new = self._encode_chunks([c for c in used if c not in known])
         if len(known) + len(new) > REMEMBERED:
-            kept = {c: known[c] for c in set().union(*chunks).intersection(known)}
+            kept = {c: known[c] for c in used if c in known}
             known.clear()
             known.update(kept)
         known.update(new)
-        out = [b"".join(map(known.__getitem__, d)) for d in chunks]
+        ids = [known[c] for c in used]
         for c in [c for c in new if len(c) > LONG_CHUNK]:
             del known[c]
-        return out
-
-
-#: Bytes of ASCII and Latin-1 characters in UTF-8; white space, full stops and commas, other marks, and letters.
-_LATIN = bytes([*range(0xC0), 0xC3])
-_CLASSES = bytes(32 if b in b" \t\n\x0b\x0c\r" else 46 if b in b".," else 33 if b < 128 and not chr(b).isalnum() else 97
-                 for b in range(256))
-
-
-def _plain(text: bytes) -> bytes:
-    """A text with the same tokens whose words repeat more often: in lower case, and apart from full stops and commas.
-
-    Left alone is what might change its tokens: names of special tokens, and
-    marks behind other marks, which are one piece with them.
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
+        before = np.zeros(len(place) + 1, np.int64)
+        np.cumsum(size[place], out=before[1:])
+        out = bytearray()
+        for a in range(0, len(place), CHUNKS):
+            some = place[a:a + CHUNKS]
+            many = before[a:a + len(some) + 1]
+            shift = np.repeat(start[some] - many[:-1], size[some])
+            out += flat[shift + np.arange(many[0], many[-1])].tobytes()
+        stops = (4 * before[first]).tolist()
+        return [bytes(out[a:b]) for a, b in zip(stops, stops[1:], strict=False)]
+
+
+#: Kinds of bytes.  A Latin-1 letter is a lead and a tail in UTF-8; both signs for times and division are others.
+_BLANK, _ALNUM, _MARK, _QUOTE, _LEAD, _TAIL, _OTHER = range(7)
+_KINDS = bytes(
+    _BLANK if b in BLANKS else _QUOTE if b == 39 else _ALNUM if b < 128 and chr(b).isalnum() else _MARK if b < 128
+    else _LEAD if b == 0xC3 else _TAIL if b < 0xC0 and b not in (0x97, 0xB7) else _OTHER for b in range(256))
+
+
+def _chunks(documents: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Chunks with the tokens of the texts, one after the other, and the number of those before each text and at the end.
+
+    Chunks end at white space, and where letters or digits meet ASCII marks, so
+    that words repeat more often: there a piece of the tokenizer ends as well,
+    but behind an apostrophe, which is one piece with some letters.  Chunks of
+    ASCII and Latin-1 letters and marks are in lower case; other characters may
+    join a letter to one that has no upper case.  Texts with names of special
+    tokens are only split at white space.
     """
-    if b"<|" in text:
-        return text
-    text = text.lower()  # ASCII only, which is what the tokenizer makes of it
-    classes = text.translate(_CLASSES)
-    if (b"!." in classes or b".." in classes or text.translate(None, _LATIN) or b"\xc2" in text
-            or b"\xc3\x97" in text or b"\xc3\xb7" in text):
-        return text
-    for mark in (b".", b","):
-        for blank in (b" ", b"\n"):
-            text = text.replace(mark + blank, b" " + mark + blank)
-        if text.endswith(mark):
-            text = text[:-1] + b" " + mark
-    return text
+    joined = b" ".join([*documents, b""])
+    last = np.cumsum(np.fromiter(map(len, documents), np.int64, len(documents)) + 1)
+    kind = np.frombuffer(joined.translate(_KINDS), np.uint8)
+    tail = kind == _TAIL
+    latin = np.zeros(len(kind), bool)
+    latin[1:] = tail[1:] & (kind[:-1] == _LEAD)
+    other = (kind == _OTHER) | (tail & ~latin)
+    alnum, mark = kind == _ALNUM, kind == _MARK
+    ends, begins = alnum | latin, alnum.copy()
+    begins[:-1] |= latin[1:]
+    cut = np.zeros(len(kind), bool)
+    cut[1:] = (ends[:-1] & (mark | (kind == _QUOTE))[1:]) | (mark[:-1] & begins[1:])
+    for i, text in enumerate(documents):
+        if b"<|" in text:
+            whole = slice(last[i] - 1 - len(text), last[i] - 1)
+            cut[whole], other[whole] = False, kind[whole] != _BLANK
+    solid = kind != _BLANK
+    cut[1:] |= ~solid[:-1]
+    cut[:1] = True
+    cut &= solid
+    starts = np.flatnonzero(cut)
+    stops = np.append(np.flatnonzero(cut[solid]), np.count_nonzero(solid))
+    data = np.frombuffer(joined.lower(), np.uint8)[solid]
+    if other.any():
+        same = np.repeat(np.logical_or.reduceat(other, starts), np.diff(stops))
+        data = np.where(same, np.frombuffer(joined, np.uint8)[solid], data)
+    chunks = pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(data)])
+    return chunks, np.append(0, np.searchsorted(starts, last))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -163,7 +200,7 @@ def _pieces(path: str, capacity: int, end_id: int):
             _ENCODERS[path] = Encoder(path)
         encoder = _ENCODERS[path]
         size = 4 * capacity
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             rows = [(i, at, ids[at:at + size]) for i, ids in enumerate(x + end for x in encoder.encode(texts(batch)))
                     for at in range(0, len(ids), size)]
             owner, at, ids = zip(*rows, strict=True)

@@ -48,6 +48,28 @@ def test_remembered_chunks_are_bounded(monkeypatch):
         assert len(encoder.chunks) <= 20 + 150
 
 
+def test_marks_do_not_make_other_words():
+    """Words are remembered once, whatever ASCII marks stand around them; the ids stay the tokenizer's."""
+    encoder = packing.Encoder(tokenizer_path())
+    texts = ["Alpha! alpha? (alpha) alpha-alpha, \"ALPHA\".", "été! (Été) été-alpha; alpha", "", " \n", "don't 'alpha' !'s 5's x'alpha"]
+    assert encoder.encode([t.encode() for t in texts]) == [
+        np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert {c for c in encoder.chunks if b"alpha" in c.lower()} == {b"alpha", b"'alpha"}
+    assert encoder.encode([]) == []
+
+
+def test_ids_at_marks_are_the_tokenizers():
+    """Any mix of letters, marks, joining characters, apostrophes and names of special tokens."""
+    encoder, rng = packing.Encoder(tokenizer_path()), random.Random(3)
+    parts = [*"JjIsStTrReEHwW'''.,;!-_(|<>9 \n\x1c\x00éÉß×÷İſ’漢я", "\u0301", "\u030c", "\u0331", "\u0338", "\u00a0", "\u037e", "\u212a",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "it's", "word", "Word,", "J\u030c"]
+    for _ in range(100):
+        some = rng.sample(parts, 12)
+        texts = ["".join(rng.choices(some, k=rng.randrange(30))) for _ in range(20)]
+        assert encoder.encode([t.encode() for t in texts]) == [
+            np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def places(rows):
     sequences = defaultdict(list)
     for r in rows:
