@@ -18,8 +18,9 @@ from quadspark.functions.terms import (
     XSD_STRING,
     null,
 )
-from quadspark.sources.querylog import UNITS
+from quadspark.sources.querylog import MARK, UNITS
 from quadspark.sources.rdf import read_rdf_lines
+from quadspark.sources.storage import stored_table
 
 # Our vocabulary for log records.
 LOG = "http://example.org/log#"
@@ -30,14 +31,26 @@ Enricher = Callable[[DataFrame], DataFrame]
 # --- R3: enrichers --------------------------------------------------------------
 
 # Comments, besides IRIs and strings: none of them holds keywords.
-_OPAQUE = rf"(?s){UNITS}|#[^\r\n]*+"
-# Names are no keywords: variables, and both parts of prefixed names.
-_BEFORE, _AFTER = r"(?i)(?<![\w?$:\-])", r"(?![\w:\-])"
+_OPAQUE = rf"(?s){MARK}(?:{UNITS}|#[^\r\n]*+)"
 FEATURES = ("filter", "optional", "union", "distinct", "limit", "aggregate")
-_AGGREGATES = _BEFORE + r"(?:COUNT|SUM|AVG|MIN|MAX|SAMPLE|GROUP_CONCAT)\s*\("
+_AGGREGATES = ("COUNT", "SUM", "AVG", "MIN", "MAX", "SAMPLE", "GROUP_CONCAT")
 FORMS = ("SELECT", "CONSTRUCT", "ASK", "DESCRIBE")
 
 
+def _keyword(*words: str) -> str:
+    """One of the words, in any case, as a group.
+
+    Names are no keywords: variables, and both parts of prefixed names.  What
+    stands before a word is looked at last, where the word is found; only
+    characters that begin a word are looked at further.
+    """
+    begins = "".join(sorted({w[0] for w in words}))
+    return rf"(?i)(?=[{begins}])({'|'.join(rf'{w}(?<![\w?$:\-]{w})' for w in words)})"
+
+
+_AFTER = r"(?![\w:\-])"
+
+
 def _bare(query: str = "query") -> Column:
     return F.regexp_replace(F.col(query), _OPAQUE, " ")
 
@@ -46,14 +59,14 @@ def query_features(log: DataFrame) -> DataFrame:
     """Flags for the constructs a query uses."""
     stripped = log.withColumn("__bare", _bare())
     for name in FEATURES:
-        pattern = _AGGREGATES if name == "aggregate" else f"{_BEFORE}{name}{_AFTER}"
+        pattern = _keyword(*_AGGREGATES) + r"\s*\(" if name == "aggregate" else _keyword(name) + _AFTER
         stripped = stripped.withColumn(f"uses_{name}", F.col("__bare").rlike(pattern))
     return stripped.drop("__bare")
 
 
 def query_form(log: DataFrame) -> DataFrame:
     """The query form, null if there is none."""
-    form = F.upper(F.regexp_extract(_bare(), f"{_BEFORE}({'|'.join(FORMS)}){_AFTER}", 1))
+    form = F.upper(F.regexp_extract(_bare(), _keyword(*FORMS) + _AFTER, 1))
     return log.withColumn("form", F.nullif(form, F.lit("")))
 
 
@@ -139,20 +152,39 @@ def log_of_quads(quads: DataFrame) -> DataFrame:
 
     Properties that are missing are null; flags and form appear where a query
     has them.  Quads may be repeated, merged, or without their graph.
+
+    The quads are read once, and the values of each node are stored.  Only where
+    an entry has several queries are its links read from the quads again.
     """
     flags = [f"uses_{name}" for name in FEATURES]
-    about = {
-        "query": {"query": LOG + "text", "query_hash": LOG + "hash", "form": LOG + "form", **{f: LOG + f for f in flags}},
-        "entry": {"source": LOG + "source", "seq": LOG + "position", "host": LOG + "host", "ts": LOG + "time"},
-    }
-
-    def values(kind: str) -> DataFrame:
-        # The values of a property of one node are combined before the shuffle.
-        own = quads.filter(F.col("p").isin(list(about[kind].values()))).groupBy(F.col("s").alias(f"__{kind}"))
-        return own.agg(*(F.min(F.when(F.col("p") == p, F.col("o"))).alias(name) for name, p in about[kind].items()))
-
-    links = quads.filter(F.col("p") == LOG + "entry").select(F.col("s").alias("__query"), F.col("o").alias("__entry")).distinct()
-    found = links.join(values("entry"), "__entry", "left").join(values("query"), "__query", "left")
+    about_query = {"query": LOG + "text", "query_hash": LOG + "hash", "form": LOG + "form", **{f: LOG + f for f in flags}}
+    about_entry = {"source": LOG + "source", "seq": LOG + "position", "host": LOG + "host", "ts": LOG + "time"}
+    entry = LOG + "entry"
+
+    def value(p: str) -> Column:
+        return F.min(F.when(F.col("p") == p, F.col("o")))
+
+    # A link belongs to its entry, so that it meets the entry's values.  The hash comes first: rows are
+    # sorted by their key, and IRIs begin alike.
+    link = F.col("p") == entry
+    rows = quads.filter(F.col("p").isin(entry, *about_query.values(), *about_entry.values())).select(
+        F.when(link, F.col("o")).otherwise(F.col("s")).alias("__node"), F.when(link, F.struct("s")).alias("__link"), "p", "o")
+    nodes = rows.groupBy(F.xxhash64("__node").alias("__hash"), "__node").agg(
+        F.min("__link").alias("__first"), F.max("__link").alias("__last"),
+        *(F.when(F.col("__node").isNotNull(), value(p)).alias(name) for name, p in about_entry.items()),
+        *(value(p).alias(name) for name, p in about_query.items()))
+    # The names of entries are not needed any more, but to find further links.
+    one, described = F.col("__first") == F.col("__last"), F.coalesce(*(F.col(name) for name in about_query)).isNotNull()
+    stored, _ = stored_table(
+        nodes.withColumn("__node", F.when(described | ~one, F.col("__node"))).drop("__hash"), "log-nodes")
+    found = stored.filter(one).select(F.col("__first.s").alias("__query"), *about_entry)
+    several = stored.filter(~one).select("__node", *about_entry)
+    if not several.isEmpty():
+        links = quads.filter(link).select(F.col("s").alias("__query"), F.col("o").alias("__entry")).distinct()
+        more = links.join(several, F.col("__entry").eqNullSafe(F.col("__node"))).select("__query", *about_entry)
+        found = found.unionByName(more)
+    queries = stored.filter(described).select(F.col("__node").alias("__query"), *about_query)
+    found = found.join(queries, "__query", "left")
     return found.select(
         "source", F.col("seq").cast("bigint").alias("seq"), null().alias("raw"), "host",
         F.to_timestamp("ts").alias("ts"), "query", "query_hash", "form", *(F.col(f).cast("boolean").alias(f) for f in flags))

@@ -29,12 +29,14 @@ _STRINGS = (
 )
 UNITS = rf"<[^<>\s\"{{}}|^`]*+>|{_STRINGS}"
 # A run of non-space characters in which units count as one.
-_RUN = rf"""((?:{UNITS}|[^\s"'<]++|["'<])++)\s*+"""
+_RUN = rf"""((?:[^\s"'<]+|{UNITS}|["'<])++)\s*+"""
+# What a unit or a comment begins with: other characters are passed over by one test.
+MARK = r"""(?=[<"'#])"""
 
 
 def normalize_query(query: Column) -> Column:
     """Drop comments, trim, and collapse white space outside strings to one space."""
-    bare = F.regexp_replace(query, rf"(?s)({UNITS})|#[^\r\n]*+", "$1")
+    bare = F.regexp_replace(query, rf"(?s){MARK}(?:({UNITS})|#[^\r\n]*+)", "$1")
     return F.rtrim(F.regexp_replace(F.ltrim(F.regexp_replace(bare, r"^\s+", "")), r"(?s)\s*+" + _RUN, "$1 "))
 
 

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from quadspark.functions.terms import BNODE, IRI, LANG_STRING, LITERAL, QUAD_COLUMNS, XSD_STRING, null
 
 # Line grammar.  Repetitions are possessive: they neither backtrack nor recurse,
-# so a literal of any length is matched in one pass.
+# so a literal of any length is matched in one pass.  A greedy run in a possessive
+# or atomic group is a tight loop in Java, and a class whose characters are all
+# named is one lookup; possessive runs and ranges take several times as long.
 _UCHAR = r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}"
-_IRI_BODY = rf'(?:[^\x00-\x20<>"{{}}|^`\\]|{_UCHAR})++'
+# Characters that an IRI cannot hold: those up to the space, and marks.
+NOT_IRI = "".join(rf"\x{i:02x}" for i in range(0x21)) + r'<>"{}|^`\\'
+_IRI_BODY = rf"(?:[^{NOT_IRI}]+|{_UCHAR})++"
 _BLANK = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_\-·]|\.(?=[\p{L}\p{N}_.\-]))*+"
-_STRING = r'[^"\\\r\n]*+(?:\\[^\r\n][^"\\\r\n]*+)*+'
+_STRING = r'(?>[^"\\\r\n]*)(?:\\[^\r\n](?>[^"\\\r\n]*))*+'
 _WS = r"[ \t]*+"
 _LINE = (
     rf"(?s)^{_WS}(?:<({_IRI_BODY})>|_:({_BLANK})){_WS}<({_IRI_BODY})>{_WS}"
@@ -56,22 +60,25 @@ def parse_rdf_lines(lines: DataFrame, line: str = "value", scope: Column | None
 
     Returns the quad columns and ``reject``: the raw line if it is malformed,
     else null.  Comments and blank lines give no row.  ``scope`` is put into
-    blank-node labels, which are local to their file.
+    blank-node labels, which are local to their file; it may use the other columns.
     """
     kept = lines.filter(~F.col(line).rlike(r"^[ \t]*+(?:#.*)?$"))
     parts = F.split(F.regexp_replace(F.col(line), _LINE, _SPLIT), "\n", -1)
-    # The groups leave through a generator: a filter on the result stays above
-    # it.  Pushed below, it would match every line once more.
-    matched = kept.select("*", F.explode(F.array(parts)).alias("__p"))
     # Only lines with a backslash are decoded; labels and tags hold none.
     decoded = F.when(F.contains(F.col(line), F.lit("\\")), F.transform("__p", unescape)).otherwise(F.col("__p"))
-    parsed = matched.withColumn("__p", decoded)
+    # The decoded groups leave through a generator: a filter on the result stays
+    # above it.  Pushed below, it would match and decode every line once more.
+    parsed = kept.withColumn("__p", parts).withColumn("__p", decoded).withColumn("__p", F.explode(F.array("__p")))
     group = [F.get(F.col("__p"), F.lit(i)) for i in range(_GROUPS)]
     s_iri, s_blank, p, o_iri, o_blank, text, dt, lang, g_iri, g_blank = group
     ok = F.size("__p") == _GROUPS
+    if scope is not None:
+        # Made once for a line, and only for lines with a blank node.
+        blank = (s_blank != "") | (o_blank != "") | (g_blank != "")
+        parsed = parsed.withColumn("__label", F.when(blank, scope))
 
     def label(value: Column) -> Column:
-        return value if scope is None else F.concat(scope, F.lit("-"), value)
+        return value if scope is None else F.concat(F.col("__label"), F.lit("-"), value)
 
     def pick(iri: Column, blank: Column, otherwise: Column) -> Column:
         return F.when(iri != "", iri).when(blank != "", label(blank)).otherwise(otherwise)
@@ -124,9 +131,8 @@ def scan_rdf_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     Plain and bz2 files are split among tasks; a gz file is one task.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("source"), dataset_scope().alias("__scope"))
-    return parse_rdf_lines(lines, scope=F.col("__scope")).drop("__scope")
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("source"))
+    return parse_rdf_lines(lines, scope=dataset_scope(F.col("source")))
 
 
 def read_rdf_lines(spark: SparkSession, paths: str | Sequence[str], on_reject: str = "fail") -> DataFrame:

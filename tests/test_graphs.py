@@ -361,3 +361,56 @@ def test_quads_of_a_log_are_written_compressed(spark, place, monkeypatch):
     spark.createDataFrame(rows, SCHEMAS["events"]).write.parquet(f"{place}/events.parquet")
     assert logs.s5_rdf_log(spark, place).count() == 12
     assert [format_and_codec(p) for p in paths] == [("nq", "gzip")]
+
+
+def test_quads_of_a_log_are_read_once(spark, place):
+    from quadspark.functions.terms import QUAD_SCHEMA
+    from quadspark.operators.querylog import LOG, log_of_quads, read_rdf_log
+    from quadspark.sinks.rdf import write_rdf
+
+    def quads(s, *values):
+        return [(f"http://e/{s}", "iri", LOG + p, o, "literal", "http://www.w3.org/2001/XMLSchema#string", None, None) for p, o in values]
+
+    entries = {1: "a", 2: "a", 3: None}
+    rows = [row for i, host in entries.items() for row in quads(f"entry{i}", ("position", str(i)), *([("host", host)] if host else []))]
+    rows += quads("entry1", ("host", "b"))  # of several values the least counts
+    # Entry 2 has three queries; entry 9 and query 4 are only named; query 1 is said twice.
+    links = [(1, 1), (1, 2), (2, 2), (3, 2), (4, 3), (1, 9), (1, 1)]
+    rows += [(f"http://e/query{q}", "iri", LOG + "entry", f"http://e/entry{e}", "iri", None, None, None) for q, e in links]
+    rows += 2 * quads("query1", ("text", "ASK {}"), ("hash", "h1"), ("uses_filter", "true"))
+    rows += quads("query2", ("hash", "h2"), ("form", "ASK")) + quads("query3", ("text", "SELECT"))
+    given = spark.createDataFrame(rows, QUAD_SCHEMA).repartition(3)
+    write_rdf(given, f"{place}/log.nq.gz")
+    about = {1: ("ASK {}", "h1", None, True), 2: (None, "h2", "ASK", None), 3: ("SELECT", None, None, None), 4: (None, None, None, None)}
+    want = sorted(((e if e in entries else None, entries.get(e), *about[q]) for q, e in set(links)), key=str)
+    columns = ["seq", "host", "query", "query_hash", "form", "uses_filter"]
+    for found in (log_of_quads(given), read_rdf_log(spark, f"{place}/log.nq.gz")):
+        assert sorted(map(tuple, found.select(*columns).collect()), key=str) == want
+    # Entries with one query each: no line is parsed again by the plan that joins them.
+    write_rdf(given.filter("not (p like '%entry' and o = 'http://e/entry2')"), f"{place}/once.nq.gz")
+    once = read_rdf_log(spark, f"{place}/once.nq.gz")
+    assert "Scan text" not in _plan(once) and once.count() == 3
+
+
+def test_lines_are_decoded_once(spark, place):
+    from quadspark.sources.rdf import read_rdf_lines
+
+    with open(f"{place}/a.nq", "w") as f:
+        f.write('<http://e/s> <http://e/p> "a\\"b" .\n_:x <http://e/p> <http://e/o\\u00e9> _:g .\n')
+    quads = read_rdf_lines(spark, f"{place}/a.nq").filter("p = 'http://e/p'")
+    assert _plan(quads.select("s", "p", "o")).count("from_json") == 1
+    first, second = sorted(quads.collect(), key=lambda r: r.s_kind, reverse=True)
+    assert (first.s, first.o, first.g) == ("http://e/s", 'a"b', None)
+    assert second.s.endswith("-x") and second.o == "http://e/oé" and second.g == "_:" + second.s[:-1] + "g"
+
+
+def test_words_of_a_query_are_found_where_no_name_holds_them(spark):
+    from quadspark.operators.querylog import FEATURES, enrich
+
+    cases = {
+        "SELECT * { FILTER(?x)} limit 1": ("SELECT", {"filter", "limit"}), "ask{ ?filter :limit x:union }": ("ASK", set()),
+        "select(count (?x) as ?n){}": ("SELECT", {"aggregate"}), "SELECT ?n { BIND(x:count(?y) AS ?n) } ": ("SELECT", set()),
+        "?select x:ask describe <limit> ?count(": ("DESCRIBE", set()), "filters prefilter filter:x -union \U0001f600UNION": (None, {"union"}),
+        "SELECT group_concat(?x) Distinct # optional": ("SELECT", {"aggregate", "distinct"}), "SELECT $sum(?x) optional": ("SELECT", {"optional"})}
+    rows = enrich(spark.createDataFrame([(q,) for q in cases], "query string"), ["form", "features"]).collect()
+    assert {r.query: (r.form, {f for f in FEATURES if r[f"uses_{f}"]}) for r in rows} == cases
