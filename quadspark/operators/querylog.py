@@ -160,15 +160,17 @@ def log_of_quads(quads: DataFrame) -> DataFrame:
     about_query = {"query": LOG + "text", "query_hash": LOG + "hash", "form": LOG + "form", **{f: LOG + f for f in flags}}
     about_entry = {"source": LOG + "source", "seq": LOG + "position", "host": LOG + "host", "ts": LOG + "time"}
     entry = LOG + "entry"
+    known = [entry, *about_query.values(), *about_entry.values()]
 
     def value(p: str) -> Column:
-        return F.min(F.when(F.col("p") == p, F.col("o")))
+        return F.min(F.when(F.col("__p") == known.index(p) + 1, F.col("o")))
 
     # A link belongs to its entry, so that it meets the entry's values.  The hash comes first: rows are
-    # sorted by their key, and IRIs begin alike.
+    # sorted by their key, and IRIs begin alike.  A number for the property makes them shorter.
     link = F.col("p") == entry
-    rows = quads.filter(F.col("p").isin(entry, *about_query.values(), *about_entry.values())).select(
-        F.when(link, F.col("o")).otherwise(F.col("s")).alias("__node"), F.when(link, F.struct("s")).alias("__link"), "p", "o")
+    rows = quads.filter(F.col("p").isin(known)).select(
+        F.when(link, F.col("o")).otherwise(F.col("s")).alias("__node"), F.when(link, F.struct("s")).alias("__link"),
+        F.array_position(F.array(*map(F.lit, known)), F.col("p")).alias("__p"), F.when(~link, F.col("o")).alias("o"))
     nodes = rows.groupBy(F.xxhash64("__node").alias("__hash"), "__node").agg(
         F.min("__link").alias("__first"), F.max("__link").alias("__last"),
         *(F.when(F.col("__node").isNotNull(), value(p)).alias(name) for name, p in about_entry.items()),
